@@ -1,19 +1,20 @@
-"""Exact order statistics per group without collecting a group.
+"""Exact order statistics per group without collecting a hot group.
 
 A built-in ``percentile`` holds every distinct value of a group in one buffer, and a
 window over the group sorts the whole group in one task. With a third of all rows on
-one key neither survives. Here the rows are first reduced to (group, value, count),
-which spreads a hot group over all tasks, and then groups part ways by size:
+one key neither survives, so groups part ways by their row count (a partially
+aggregated count over the key columns alone):
 
-* an ordinary group (at most ``hot_values`` distinct values) gets a running count over
-  its sorted values: one shuffle by key, bounded rows per key;
-* a hot group is located through a histogram whose number of bins is fixed by the
-  value range, not by the row count: a running sum over bins tells which bins hold
-  the wanted ranks, and only those are looked into, by (key, bin).
+* an ordinary group (at most ``hot_rows`` rows) is ranked by a window over its key:
+  one shuffle, and a bounded number of rows per key;
+* a hot group is first reduced to (key, value, count), which spreads it over all
+  tasks, and then located through a histogram whose number of bins is fixed by the
+  value range, not by the row count: a running sum over the bins tells which bins
+  hold the wanted ranks, and only those are looked into, by (key, bin).
 
 Both ways are exact: a bin only decides where to look, never what the value is. The
-list of hot groups is broadcast; it has at most one key per ``hot_values`` distinct
-(group, value) pairs, about a million keys at 10^12 pairs.
+list of hot groups is broadcast. It holds at most one key per ``hot_rows`` rows of the
+table, so 10^12 rows give at most 10^6 keys.
 """
 
 from collections.abc import Callable
@@ -26,8 +27,8 @@ from listwise.operators.joining import join_null_safe
 # bins per group each side of zero, whatever the number of rows.
 BINS_PER_EFOLD = 32768
 
-# A group with more distinct values than this is never sorted in one task.
-HOT_VALUES = 1_000_000
+# A group with more rows than this is never sorted in one task.
+HOT_ROWS = 1_000_000
 
 RankOf = Callable[[Column], Column]
 
@@ -38,31 +39,27 @@ def value_bin(value: Column, bins_per_efold: int = BINS_PER_EFOLD) -> Column:
     return F.when(value < 0, -depth).otherwise(depth)
 
 
-def value_counts(df: DataFrame, keys: list[str], value: str, newest: dict[str, str]) -> DataFrame:
-    """Distinct values of a group with their row counts; a NULL value counts no rows."""
-    carried = [F.max(source).alias(f"__x_{name}") for name, source in newest.items()]
-    return df.groupBy(*keys, F.col(value).alias("__v")).agg(F.count(value).alias("__n"), *carried)
-
-
-def hot_groups(counts: DataFrame, keys: list[str], hot_values: int) -> DataFrame:
-    """Groups with more than ``hot_values`` distinct values."""
-    return counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d")).where(
-        F.col("__d") > hot_values).select(*keys)
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int | None) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary groups, rows of hot groups)."""
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    hot = F.broadcast(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+                      .where(F.col("__rows") > limit).select(*keys))
+    return join_null_safe(df, hot, keys, "left_anti"), join_null_safe(df, hot, keys, "left_semi")
 
 
 def _running(*by: str):
     return Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _place_ordinary(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Rank range of each value of an ordinary group."""
-    return (counts.withColumn("__end", F.sum("__n").over(_running(*keys)))
-            .withColumn("__start", F.col("__end") - F.col("__n"))
-            .withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys))))
+def _value_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct values of hot groups with their bins and counts; NULL counts no rows."""
+    carried = [c for c in rows.columns if c.startswith("__x_")]
+    return (rows.groupBy(*keys, "__v").agg(F.count("__v").alias("__n"), *[F.max(c).alias(c) for c in carried])
+            .withColumn("__bin", value_bin(F.col("__v"))))
 
 
-def bin_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Per bin of a hot group: the rows below it, the rows in it and the group's total."""
+def _bin_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Per bin of a hot group: the rows below it, the rows in it, and the group's summary."""
     carried = [c for c in counts.columns if c.startswith("__x_")]
     hist = counts.groupBy(*keys, "__bin").agg(
         F.sum("__n").alias("__in"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
@@ -76,9 +73,17 @@ def bin_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
                        *[F.max(c).over(whole).alias(f"__w{c}") for c in carried])
 
 
+def _locate(counts: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+    """Rank range [start, end) of each value inside the kept bins."""
+    values = counts.select(*keys, "__bin", "__v", "__n")
+    end = F.col("__below") + F.sum("__n").over(_running(*keys, "__bin"))
+    return join_null_safe(values, offsets.drop("__in"), [*keys, "__bin"]).select(
+        "*", end.alias("__end"), (end - F.col("__n")).alias("__start"))
+
+
 def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str, RankOf],
                      total: str = "n", *, lowest: str | None = None, highest: str | None = None,
-                     newest: dict[str, str] | None = None, hot_values: int | None = None) -> DataFrame:
+                     newest: dict[str, str] | None = None, hot_rows: int | None = None) -> DataFrame:
     """One row per group: its row count and the value at each zero-based rank.
 
     ``ranks`` maps an output column to a function of the group's count of non-NULL
@@ -87,8 +92,9 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str
     come along in the same pass.
     """
     newest = newest or {}
-    counts = value_counts(df, keys, value, newest)
-    hot = F.broadcast(hot_groups(counts, keys, HOT_VALUES if hot_values is None else hot_values))
+    rows = df.select(*keys, F.col(value).alias("__v"),
+                     *[F.col(source).alias(f"__x_{name}") for name, source in newest.items()])
+    ordinary, hot = split_hot(rows, keys, hot_rows)
 
     def wanted(rank):
         r = rank(F.col("__total")).cast("long")
@@ -101,21 +107,20 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str
         out += [F.max(high).alias(highest)] if highest else []
         return out + [F.max(f"{prefix}{name}").alias(name) for name in newest]
 
-    ordinary = _place_ordinary(join_null_safe(counts, hot, keys, "left_anti"), keys)
-    ordinary = ordinary.groupBy(*keys).agg(*picks("__v", "__v", "__x_"))
+    # NULLs sort first and do not advance the running count.
+    end = F.count("__v").over(_running(*keys))
+    placed = ordinary.select("*", end.alias("__end"), (end - F.col("__v").isNotNull().cast("long")).alias("__start"),
+                             F.count("__v").over(Window.partitionBy(*keys)).alias("__total"))
+    ordinary_stats = placed.groupBy(*keys).agg(*picks("__v", "__v", "__x_"))
 
-    binned = join_null_safe(counts, hot, keys, "left_semi").withColumn("__bin", value_bin(F.col("__v")))
-    offsets = bin_offsets(binned, keys)
+    counts = _value_counts(hot, keys)
+    offsets = _bin_offsets(counts, keys)
     hit = F.col("__below") == 0
     for rank in ranks.values():
         r = rank(F.col("__total")).cast("long")
         hit = hit | F.coalesce((r >= F.col("__below")) & (r < F.col("__below") + F.col("__in")), F.lit(False))
-    values = binned.select(*keys, "__bin", "__v", "__n")
-    placed = (join_null_safe(values, offsets.where(hit).drop("__in"), [*keys, "__bin"])
-              .withColumn("__end", F.col("__below") + F.sum("__n").over(_running(*keys, "__bin")))
-              .withColumn("__start", F.col("__end") - F.col("__n")))
-    located = placed.groupBy(*keys).agg(*picks("__min", "__max", "__w__x_"))
-    return ordinary.unionByName(located)
+    hot_stats = _locate(counts, offsets.where(hit), keys).groupBy(*keys).agg(*picks("__min", "__max", "__w__x_"))
+    return ordinary_stats.unionByName(hot_stats)
 
 
 LOWER_MEDIAN: RankOf = lambda n: F.floor((n - 1) / 2)
@@ -182,24 +187,19 @@ def interpolated_quantiles(df: DataFrame, keys: list[str], value: str,
     return stats.select(*keys, total, *outs)
 
 
-def value_ranks(df: DataFrame, keys: list[str], value: str, name: str = "rank",
-                hot_values: int | None = None) -> DataFrame:
-    """Competition rank (1 + rows below) of each distinct value inside its group."""
-    counts = value_counts(df.where(F.col(value).isNotNull()), keys, value, {})
-    hot = F.broadcast(hot_groups(counts, keys, HOT_VALUES if hot_values is None else hot_values))
-    ordinary = _place_ordinary(join_null_safe(counts, hot, keys, "left_anti"), keys)
-    binned = join_null_safe(counts, hot, keys, "left_semi").withColumn("__bin", value_bin(F.col("__v")))
-    offsets = bin_offsets(binned, keys).select(*keys, "__bin", "__below")
-    located = (join_null_safe(binned, offsets, [*keys, "__bin"])
-               .withColumn("__end", F.col("__below") + F.sum("__n").over(_running(*keys, "__bin")))
-               .withColumn("__start", F.col("__end") - F.col("__n")))
-    columns = [*keys, F.col("__v").alias(value), (F.col("__start") + 1).alias(name)]
-    return ordinary.select(*columns).unionByName(located.select(*columns))
-
-
-def with_value_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank", **options) -> DataFrame:
-    """Each row with its competition rank; without keys, over the whole table."""
-    if keys:
-        return join_null_safe(df, value_ranks(df, keys, value, name, **options), [*keys, value], "left")
-    ranks = value_ranks(df.withColumn("__all", F.lit(1)), ["__all"], value, name, **options)
-    return join_null_safe(df, ranks.drop("__all"), [value], "left")
+def with_value_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank",
+                    hot_rows: int | None = None) -> DataFrame:
+    """Each row with the competition rank (1 + rows below) of its value in its group.
+
+    Without keys the whole table is one group, and a large table is then ranked as a
+    hot group: no global sort. Rows without a value keep a NULL rank.
+    """
+    by = keys or ["__all"]
+    rows = df if keys else df.withColumn("__all", F.lit(1))
+    ordinary, hot = split_hot(rows, by, hot_rows)
+    ranked = ordinary.withColumn(name, F.when(F.col(value).isNotNull(), F.rank().over(
+        Window.partitionBy(*by, F.col(value).isNull()).orderBy(value)).cast("long")))
+    counts = _value_counts(hot.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v")), by)
+    ranks = _locate(counts, _bin_offsets(counts, by).select(*by, "__bin", "__in", "__below"), by).select(
+        *by, F.col("__v").alias(value), (F.col("__start") + 1).alias(name))
+    return ranked.unionByName(join_null_safe(hot, ranks, [*by, value], "left")).drop("__all")

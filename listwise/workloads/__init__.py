@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("valuation",)
+FAMILIES = ("valuation", "identity")
 
 
 def load():

@@ -146,3 +146,97 @@ def decided_sql(name: str, bench: str, key: str = "slab_key", dispersion_limit:
   SELECT *, CASE WHEN reason LIKE 'BUY%' THEN CASE WHEN downgrade_reason IS NULL THEN 'BUY' ELSE 'WATCH' END
                  WHEN reason LIKE 'WATCH%' THEN 'WATCH' ELSE 'PASS' END AS decision
   FROM {name}_r)"""
+
+
+# --- titles ------------------------------------------------------------------------
+# Each item gets a title composed of its own and its part's columns, so that what the
+# extractor must find is known from those columns without reading the title.
+
+MAKER_HEADS = ("TOPPS", "PANINI", "Upper Deck", "FLEER", "FINEST", "ACME")
+
+
+def _pick(index, values):
+    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+
+
+def titled_items(spark, sf, where: str = "true") -> DataFrame:
+    """Items with the title a seller might write for them."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("slab_key"), "p_name", "p_type", "p_size")
+    df = items(spark, sf).where(where).join(part, "slab_key")
+    p, s = F.col("slab_key"), F.col("seller")
+    numeric = F.concat(F.lit("PSA "), ((F.col("quantity") % 10) + 1).cast("string"),
+                       F.when(F.col("discount") >= 0.095, " (OC)").when(F.col("discount") >= 0.085, " MC").otherwise(""))
+    grade = (F.when(s % 13 == 0, F.lit("PSA/DNA")).when(s % 13 == 4, F.lit("")).when(s % 13 == 1, "PSA AUTHENTIC").when(s % 13 == 2, "PSA 9 AUTO 10")
+             .when(s % 13 == 3, "BGS 9.5").otherwise(numeric))
+    serial = (F.when(s % 7 == 0, F.concat(F.col("quantity").cast("string"), F.lit("/99"))).when(s % 7 == 1, "#/50")
+              .when(s % 7 == 2, F.concat(F.lit("#"), F.col("quantity").cast("string"), F.lit("/199"))).otherwise(""))
+    flag = (F.when(F.col("line") == 1, "Rookie").when(F.col("line") == 2, "Auto").when(F.col("line") == 3, "Patch")
+            .otherwise(""))
+    title = F.concat_ws(
+        " ", (F.col("p_size") + 1960).cast("string"), _pick(p % 6, MAKER_HEADS), F.col("p_type"),
+        F.upper(F.substring_index("p_name", " ", 1)), F.when(p % 19 == 0, "NBA").otherwise(""),
+        F.when(p % 11 != 0, F.concat(F.lit("#"), p.cast("string"))).otherwise(""),
+        F.when(p % 17 == 0, "José").otherwise("Sam"), F.initcap(F.substring_index("p_name", " ", -1)),
+        flag, serial, grade)
+    return df.withColumn("title", F.trim(F.regexp_replace(title, " +", " ")))
+
+
+TITLED_SQL = ITEMS_SQL + """,
+parts AS (
+  SELECT slab_key_p, p_size + 1960 AS year, p_type, upper(split_part(p_name, ' ', 1)) AS tint,
+         upper(split_part(p_name, ' ', 2)) AS noun, slab_key_p % 6 AS m, slab_key_p % 19 = 0 AS nba,
+         CASE WHEN slab_key_p % 17 = 0 THEN 'JOSE' ELSE 'SAM' END AS first_name, slab_key_p % 11 <> 0 AS numbered
+  FROM (SELECT *, p_partkey AS slab_key_p FROM part)),
+facts AS (
+  SELECT i.*, year, tint, noun, nba, numbered, p_type, first_name,
+    ['TOPPS', 'PANINI', 'UPPER DECK', 'FLEER', 'TOPPS', NULL][m + 1] AS manufacturer,
+    ['HIGH', 'HIGH', 'HIGH', 'HIGH', 'MEDIUM', 'LOW'][m + 1] AS manufacturer_conf,
+    ['', '', '', '', 'FINEST ', 'ACME '][m + 1] AS lead,
+    CASE WHEN nba THEN 'BASKETBALL' END AS sport,
+    CASE WHEN tint IN ('RED', 'BLUE') THEN tint END AS parallel,
+    CASE WHEN line = 1 THEN ' ROOKIE' WHEN line = 2 THEN ' AUTO' WHEN line = 3 THEN ' PATCH' ELSE '' END AS flag_text,
+    CAST(line = 1 AS INTEGER) AS is_rookie,
+    CAST(line = 2 OR seller % 13 = 2 AS INTEGER) AS is_auto, CAST(line = 3 AS INTEGER) AS is_relic,
+    CASE WHEN seller % 7 IN (0, 2) THEN quantity END AS serial_num,
+    CASE seller % 7 WHEN 0 THEN 99 WHEN 1 THEN 50 WHEN 2 THEN 199 END AS print_run,
+    CASE WHEN seller % 13 IN (0, 3, 4) THEN NULL WHEN seller % 13 = 1 THEN 'AUTHENTIC' ELSE 'NUMERIC' END AS grade_type,
+    CASE WHEN seller % 13 IN (0, 3, 4) THEN NULL WHEN seller % 13 = 1 THEN 'AUTHENTIC' WHEN seller % 13 = 2 THEN '9'
+         ELSE CAST(quantity % 10 + 1 AS VARCHAR) END AS grade_value,
+    CASE WHEN seller % 13 > 4 THEN CASE WHEN discount >= 0.095 THEN 'OC' WHEN discount >= 0.085 THEN 'MC' END
+         END AS grade_qualifier,
+    CASE WHEN line = 2 AND seller % 7 = 0 AND quantity <= 10 THEN CAST(quantity AS VARCHAR) WHEN seller % 13 = 2 THEN '10' END AS auto_grade,
+    CASE WHEN seller % 13 = 3 THEN 'BGS' WHEN seller % 13 = 4 THEN 'NO GRADER' END AS excluded
+  FROM items i JOIN parts ON slab_key_p = slab_key),
+spans AS (
+  SELECT *, lead || p_type || CASE WHEN parallel IS NULL AND tint <> p_type THEN ' ' || tint ELSE '' END
+         || CASE WHEN nba THEN ' NBA' ELSE '' END AS short_span FROM facts),
+cards AS (
+  SELECT *, CASE WHEN numbered THEN CAST(slab_key AS VARCHAR) END AS card_number,
+    CASE WHEN numbered THEN first_name || ' ' || noun END AS athlete,
+    CASE WHEN numbered THEN short_span
+         ELSE short_span || ' ' || first_name || ' ' || noun || flag_text
+              || CASE WHEN seller % 13 = 0 AND seller % 7 > 1 THEN ' PSA/DNA' ELSE '' END END AS set_name
+  FROM spans),
+leveled AS (
+  SELECT *, CASE WHEN parallel IS NOT NULL THEN 'HIGH'
+                 WHEN len(string_split(set_name, ' ')) >= 5 THEN 'LOW' ELSE 'MEDIUM' END AS parallel_conf,
+         CASE WHEN numbered THEN 'HIGH' ELSE 'MISSING' END AS card_number_conf,
+         CASE WHEN manufacturer IS NULL THEN 'LOW' ELSE 'MEDIUM' END AS set_name_conf,
+         CASE WHEN grade_type IS NULL THEN 'MISSING' ELSE 'HIGH' END AS grade_conf
+  FROM cards),
+rated AS (
+  SELECT *, CASE WHEN card_number_conf = 'MISSING' OR grade_conf = 'MISSING' THEN 'MISSING'
+                 WHEN parallel_conf = 'LOW' OR set_name_conf = 'LOW' THEN 'LOW' ELSE 'MEDIUM' END AS identity_conf
+  FROM leveled),
+keyparts AS (
+  SELECT *, list_transform([sport, CAST(year AS VARCHAR), manufacturer, set_name, NULL, parallel, card_number, athlete],
+      lambda x: coalesce(nullif(regexp_replace(upper(x), '[^A-Z0-9]+', '', 'g'), ''), '-')) AS kp FROM rated),
+keyed AS (
+  SELECT *, substr(sha1(array_to_string(kp, '|') || '|' || is_auto || '|' || is_relic || '|'
+      || coalesce(CAST(print_run AS VARCHAR), '-')), 1, 16) AS card_key FROM keyparts),
+identity AS (
+  SELECT *, substr(sha1(card_key || '|' || coalesce(grade_type, '-') || '|' || coalesce(grade_value, '-') || '|'
+      || coalesce(grade_qualifier, '-') || '|' || coalesce(auto_grade, '-')), 1, 16) AS title_slab_key,
+    CASE WHEN identity_conf IN ('MEDIUM', 'HIGH') AND manufacturer IS NOT NULL THEN 'ok'
+         WHEN identity_conf IN ('MEDIUM', 'HIGH') THEN 'partial' ELSE 'failed' END AS parse_status
+  FROM keyed)"""
