@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("valuation", "identity")
+FAMILIES = ("valuation", "identity", "groups")
 
 
 def load():
