@@ -150,7 +150,7 @@ def repair_print_run(text: Column, print_run: Column) -> Column:
     out = F.coalesce(text, F.lit(""))
     run = F.coalesce(F.nullif(print_run.cast("int"), F.lit(0)).cast("string"), F.lit("(?!)"))
     padded = F.concat(F.lit(r"#\s*(0\d{1,4})\s*/\s*("), run, F.lit(r")\b"))
-    copy_no = F.regexp_extract(out, padded, F.lit(1)).try_cast("int")
+    copy_no = F.call_function("regexp_extract", out, padded, F.lit(1)).try_cast("int")
     stamped = F.regexp_replace(out, F.concat(F.lit(r"(?s)^(.*?)"), padded), F.lit("$1$2/$3"))
     out = F.when(copy_no <= print_run.cast("int"), stamped).otherwise(out)
     # "#200 ... #37/99": the second hash marks the serial, not a second card number.

@@ -88,6 +88,7 @@ def parse_titles(df: DataFrame, title: str = "title", prefix: str = "") -> DataF
     ``prefix`` names the outputs apart when a row carries more than one title.
     """
     c = F.col
+    given = df.columns
     df = df.withColumn("_text", T.normalize(F.coalesce(c(title), F.lit(""))))
     text = c("_text")
     auto_value = T.capture(text, V.AUTO_GRADE, 1)
@@ -222,8 +223,7 @@ def parse_titles(df: DataFrame, title: str = "title", prefix: str = "") -> DataF
         **{f"{name}_conf": c(f"_{name}_conf") for name in CONFIDENCES},
         "issues": F.array_compact(F.array(*issues)), "normalized": text,
     }
-    kept = [col for col in df.columns if not col.startswith("_") and col not in
-            {prefix + name for name in outputs}]
+    kept = [col for col in given if col not in {prefix + name for name in outputs}]
     # One generated row per title keeps later filters and join conditions above this
     # point: pushed into the chain of projections they would repeat every expression
     # they depend on, over and over.

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("valuation", "identity", "groups", "listings", "reconcile")
+FAMILIES = ("valuation", "identity", "groups", "listings", "reconcile", "evidence")
 
 
 def load():
