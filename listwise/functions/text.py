@@ -54,14 +54,19 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
+_SEP, _PAIR = "~", "|"
+
+
 def lit_array(values) -> Column:
+    """A constant string array, written as one literal that folds at planning time."""
     values = list(values)
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+    return F.split(F.lit(_SEP.join(values)), _SEP) if values else F.array().cast("array<string>")
 
 
 def lit_map(mapping: dict) -> Column:
-    flat = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.create_map(*flat)
+    """A constant string map, written as one literal that folds at planning time."""
+    text = _SEP.join(f"{k}{_PAIR}{v}" for k, v in mapping.items())
+    return F.str_to_map(F.lit(text), F.lit(_SEP), F.lit(r"\|"))
 
 
 def lookup(mapping: dict, key: Column) -> Column:
@@ -69,6 +74,15 @@ def lookup(mapping: dict, key: Column) -> Column:
     return F.try_element_at(lit_map(mapping), key)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    An outer expression used inside a lambda is evaluated again for every element;
+    bound this way it is a variable.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def capture(c: Column, pattern: str, group: int = 1) -> Column:
     """First match's group, NULL when nothing matched (or the group did not take part)."""
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
@@ -187,28 +201,32 @@ def maker_of_token(token: Column) -> Column:
 
 def canonical_brand(name: Column) -> Column:
     """First word of a maker name that is a known maker or product line."""
-    hits = F.filter(F.transform(words(normalize(name)), maker_of_token), lambda m: m.isNotNull())
-    return F.get(hits, F.lit(0))
+    return F.get(F.array_compact(F.transform(words(normalize(name)), maker_of_token)), F.lit(0))
 
 
 def brands_in(text: Column) -> Column:
     """Every maker a (normalised) title names."""
     toks = F.filter(F.split(F.coalesce(text, F.lit("")), r"[^A-Z0-9'-]+"), lambda t: t != "")
-    return F.array_sort(F.array_distinct(F.filter(F.transform(toks, maker_of_token), lambda m: m.isNotNull())))
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(toks, maker_of_token))))
 
 
 def synonym(token: Column) -> Column:
     return F.coalesce(lookup(V.TOKEN_SYNONYMS, token), token)
 
 
+def _maker_words() -> dict[str, list[str]]:
+    """Per maker, its own words and those of every alias."""
+    out: dict[str, list[str]] = {}
+    for alias, maker in V.MAKERS.items():
+        out.setdefault(maker, maker.split()).extend(alias.split())
+    return {maker: list(dict.fromkeys(tokens)) for maker, tokens in out.items()}
+
+
 def maker_tokens(maker: Column) -> Column:
     """Every token that may prefix a set name of this maker."""
     canon = F.upper(maker)
-    pairs = lit_array(sorted(f"{target}|{alias}" for alias, target in V.MAKERS.items()))
-    aliases = F.transform(F.filter(pairs, lambda p: F.substring_index(p, "|", 1) == canon),
-                          lambda p: F.substring_index(p, "|", -1))
-    return F.when(maker.isNull() | (maker == ""), F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.concat(words(canon), aliases)))
+    known = F.create_map(*[x for name, tokens in _maker_words().items() for x in (F.lit(name), lit_array(tokens))])
+    return F.coalesce(F.try_element_at(known, canon), words(canon), F.array().cast("array<string>"))
 
 
 def canonical_set(raw: Column, year: Column, maker: Column, season: Column | None = None) -> Column:
@@ -216,24 +234,28 @@ def canonical_set(raw: Column, year: Column, maker: Column, season: Column | Non
     text = F.regexp_replace(F.upper(raw), r"(?U)[^\w\s/&'-]", " ")
     text = F.regexp_replace(text, r"\b((?:18|19|20)\d{2})\s*-\s*(?:\d{4}|\d{2})\b", "$1")
     toks = words(F.regexp_replace(F.regexp_replace(text, "'", ""), "-", " "))
-    mine = maker_tokens(maker)
     season = F.lit(None).cast("string") if season is None else season.cast("string")
-    years = F.transform(F.array_compact(F.array(year.cast("string"), season)),
-                        lambda y: F.substring(y, 1, 4))
-
-    def prefix(t):
-        dated = t.rlike(r"^(18|19|20)\d{2}(/\d{2})?$") & (
-            (F.size(years) == 0) | F.array_contains(years, F.substring(t, 1, 4)))
-        return F.array_contains(mine, t) | dated
-
-    first_kept = F.array_position(F.transform(toks, lambda t: prefix(t)), F.lit(False))
-    kept = F.when(first_kept == 0, F.array().cast("array<string>")).otherwise(
-        F.slice(toks, F.greatest(first_kept, F.lit(1)).cast("int"), F.greatest(F.size(toks), F.lit(1))))
-    canon = F.array_join(F.transform(kept, synonym), " ")
-    canon = F.coalesce(lookup(V.PRODUCT_SYNONYMS, canon), canon)
+    years = F.array_compact(F.array(F.substring(year.cast("string"), 1, 4), F.substring(season, 1, 4)))
+
+    def strip_prefix(given: Column) -> Column:
+        def prefix(t):
+            dated = t.rlike(r"^(18|19|20)\d{2}(/\d{2})?$") & (
+                (F.size(given["years"]) == 0) | F.array_contains(given["years"], F.substring(t, 1, 4)))
+            return F.array_contains(given["mine"], t) | dated
+
+        first_kept = F.array_position(F.transform(given["toks"], prefix), F.lit(False)).cast("int")
+        return F.when(first_kept == 0, F.array().cast("array<string>")).otherwise(F.transform(
+            F.slice(given["toks"], F.greatest(first_kept, F.lit(1)), F.greatest(F.size(given["toks"]), F.lit(1))), synonym))
+
+    kept = let(F.struct(toks.alias("toks"), years.alias("years"), maker_tokens(maker).alias("mine")), strip_prefix)
+
+    def named(canon: Column) -> Column:
+        return F.coalesce(lookup(V.PRODUCT_SYNONYMS, canon), canon)
+
+    canon = let(F.array_join(kept, " "), named)
     for phrase, replacement in V.PHRASE_ALIASES.items():
         canon = F.regexp_replace(canon, rf"\b{phrase}\b", replacement)
-    return F.when(raw.isNotNull(), F.when(canon == "", F.lit(V.BASE)).otherwise(canon))
+    return F.when(raw.isNotNull(), F.coalesce(F.nullif(canon, F.lit("")), F.lit(V.BASE)))
 
 
 def _parallel_words(raw: Column) -> Column:
@@ -244,18 +266,16 @@ def _parallel_words(raw: Column) -> Column:
 def canonical_parallel(raw: Column, set_canon: Column, maker: Column) -> Column:
     """Sorted token multiset of a parallel, without set and maker words."""
     drop = F.concat(words(F.coalesce(set_canon, F.lit(""))), maker_tokens(maker))
-    toks = F.filter(F.transform(_parallel_words(raw), synonym), lambda t: ~F.array_contains(drop, t))
-    return F.when(raw.isNotNull(), F.array_sort(toks))
+    kept = let(F.struct(F.transform(_parallel_words(raw), synonym).alias("toks"), drop.alias("drop")),
+               lambda g: F.filter(g["toks"], lambda t: ~F.array_contains(g["drop"], t)))
+    return F.when(raw.isNotNull(), F.array_sort(kept))
 
 
 def identity_tokens(set_canon: Column, parallel: Column, maker: Column) -> Column:
     """Distinct set and parallel tokens together, without maker words."""
     in_set = F.filter(words(F.coalesce(set_canon, F.lit(""))), lambda t: t != V.BASE)
-    in_parallel = F.when(parallel.isNull() | (parallel == ""), F.array().cast("array<string>")).otherwise(
-        _parallel_words(parallel))
-    drop = maker_tokens(maker)
-    toks = F.transform(F.concat(in_set, in_parallel), synonym)
-    return F.array_sort(F.array_distinct(F.filter(toks, lambda t: ~F.array_contains(drop, t))))
+    toks = F.transform(F.concat(in_set, _parallel_words(F.coalesce(parallel, F.lit("")))), synonym)
+    return F.array_sort(F.array_except(toks, maker_tokens(maker)))
 
 
 def name_tokens(*values: Column) -> Column:
@@ -300,12 +320,17 @@ def parallel_difference(candidate: Column, comp: Column) -> tuple[Column, Column
 
     Team, city, league, accolade and generic words never decide.
     """
-    ignorable, true_parallel = lit_array(IGNORABLE), lit_array(TRUE_PARALLEL)
-    mine = F.transform(F.array_except(candidate, ignorable), synonym)
-    theirs = F.transform(F.array_except(comp, ignorable), synonym)
-    extra = F.array_sort(F.array_intersect(F.array_except(theirs, mine), true_parallel))
-    missing = F.array_sort(F.array_intersect(F.array_except(mine, theirs), true_parallel))
-    return extra, missing
+    def deciding(tokens: Column) -> Column:
+        return F.transform(F.filter(tokens, lambda t: ~t.isin(*IGNORABLE)), synonym)
+
+    def both(sides: Column) -> Column:
+        def true_only(tokens: Column) -> Column:
+            return F.array_sort(F.filter(tokens, lambda t: t.isin(*TRUE_PARALLEL)))
+        return F.struct(true_only(F.array_except(sides["theirs"], sides["mine"])).alias("extra"),
+                        true_only(F.array_except(sides["mine"], sides["theirs"])).alias("missing"))
+
+    found = let(F.struct(deciding(candidate).alias("mine"), deciding(comp).alias("theirs")), both)
+    return found["extra"], found["missing"]
 
 
 def python_list_text(tokens: Column) -> Column:

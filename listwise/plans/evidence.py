@@ -35,20 +35,22 @@ def _differ(a: Column, b: Column) -> Column:
     return ~T.norm(a).eqNullSafe(T.norm(b))
 
 
-def identity_differences(df: DataFrame) -> tuple[Column, Column]:
-    """(extra, missing) parallel words of the comp title against the candidate.
+def with_identity_differences(df: DataFrame) -> DataFrame:
+    """``__extra`` and ``__missing`` parallel words of the comp title against the candidate.
 
     The candidate's own subject words are noise; the comp's name slot is not, because a
     parallel may be sitting in it.
     """
     c = F.col
-    noise = T.name_tokens(c("c_subject"))
-    candidate = F.array_except(T.identity_tokens(
-        T.canonical_set(c("c_set"), c("c_year"), c("c_manufacturer")), c("c_parallel"), c("c_manufacturer")), noise)
-    comp = F.array_except(T.identity_tokens(
-        T.canonical_set(c("p_set_name"), c("p_year"), c("p_manufacturer")), c("p_parallel"), c("p_manufacturer")), noise)
-    title = F.array_except(F.array_union(T.tokens_of(c("p_normalized")), comp), noise)
-    return T.parallel_difference(candidate, title)
+    df = df.withColumns({
+        "__noise": T.name_tokens(c("c_subject")),
+        "__c_set": T.canonical_set(c("c_set"), c("c_year"), c("c_manufacturer")),
+        "__p_set": T.canonical_set(c("p_set_name"), c("p_year"), c("p_manufacturer"))})
+    candidate = T.identity_tokens(c("__c_set"), c("c_parallel"), c("c_manufacturer"))
+    comp = T.identity_tokens(c("__p_set"), c("p_parallel"), c("p_manufacturer"))
+    title = F.array_union(T.tokens_of(c("p_normalized")), comp)
+    extra, missing = T.parallel_difference(F.array_except(candidate, c("__noise")), F.array_except(title, c("__noise")))
+    return df.withColumns({"__extra": extra, "__missing": missing}).drop("__noise", "__c_set", "__p_set")
 
 
 def with_match(df: DataFrame) -> DataFrame:
@@ -58,9 +60,8 @@ def with_match(df: DataFrame) -> DataFrame:
     """
     c = F.col
     text = c("p_normalized")
-    extra, missing = identity_differences(df)
-    df = df.withColumns({
-        "__rival": T.capture(text, V.RIVAL_GRADE, 1), "__extra": extra, "__missing": missing,
+    df = with_identity_differences(df).withColumns({
+        "__rival": T.capture(text, V.RIVAL_GRADE, 1),
         "__grades": F.size(F.regexp_extract_all(text, F.lit(r"PSA\s*(?:10|[1-9](?:\.5)?)\b"), F.lit(0))),
         "__comp_subject": T.norm(c("p_athlete")), "__subject": T.norm(c("c_subject")),
         "__surname": F.upper(F.try_element_at(T.words(c("c_subject")), F.lit(-1))),

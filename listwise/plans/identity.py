@@ -236,13 +236,13 @@ def _stops_name(bare: Column) -> Column:
 
 
 def _rank(level: Column) -> Column:
-    return T.lookup(V.LEVELS, level)
+    return T.lookup(V.LEVELS, level).cast("int")
 
 
 def identity_confidence(prefix: str = "") -> Column:
     """The weakest of the identity-critical levels."""
     worst = F.least(*[_rank(F.col(f"{prefix}{f}_conf")) for f in V.IDENTITY_FIELDS])
-    return T.lookup({rank: level for level, rank in V.LEVELS.items()}, worst)
+    return T.lookup({rank: level for level, rank in V.LEVELS.items()}, worst.cast("string"))
 
 
 def parse_status(identity: Column, issues: Column) -> Column:

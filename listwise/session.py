@@ -13,6 +13,18 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# The JVM compiles no method above 8000 bytes of bytecode. A wide title projection fused
+# into one stage exceeds that and would run interpreted; below this limit Spark keeps
+# such a projection in smaller methods.
+RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set the runtime options this library relies on; safe on any session."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "listwise") -> SparkSession:
     """A session for tests and for the local bench; clusters bring their own."""
@@ -22,7 +34,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lis
                .config("spark.ui.enabled", "false"))
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer files than there are cores.
+
+    Reading titles is work for the processor, and one small file is one task. A table of
+    many files keeps its own partitions and pays no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def item_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                        F.date_format("l_shipdate", "yyyyMMdd"))
@@ -162,7 +172,7 @@ def _pick(index, values):
 def titled_items(spark, sf, where: str = "true") -> DataFrame:
     """Items with the title a seller might write for them."""
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("slab_key"), "p_name", "p_type", "p_size")
-    df = items(spark, sf).where(where).join(part, "slab_key")
+    df = spread(items(spark, sf).where(where)).join(part, "slab_key")
     p, s = F.col("slab_key"), F.col("seller")
     numeric = F.concat(F.lit("PSA "), ((F.col("quantity") % 10) + 1).cast("string"),
                        F.when(F.col("discount") >= 0.095, " (OC)").when(F.col("discount") >= 0.085, " MC").otherwise(""))
