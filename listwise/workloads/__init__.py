@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("valuation", "identity", "groups", "listings", "reconcile", "evidence")
+FAMILIES = ("valuation", "identity", "groups", "listings", "reconcile", "evidence", "audit")
 
 
 def load():
