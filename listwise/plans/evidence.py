@@ -385,6 +385,13 @@ def query_token_sources(queries: DataFrame) -> DataFrame:
     return df.select("item_id", "position", "term", source.alias("source"))
 
 
+def relaxed_allowed() -> Column:
+    """Whether a looser query could drop the parallel: only when nothing else distinguishes the card."""
+    c = F.col
+    plain = (F.coalesce(c("print_run"), F.lit(0)) == 0) & ~_flag(c("is_auto")) & c("auto_grade").isNull() & c("qualifier").isNull()
+    return plain & (c("parallel").isNull() | (c("parallel") == V.BASE))
+
+
 def pending_work(candidates: DataFrame, runs: DataFrame, terminal: tuple[str, ...], retry_failed: bool = False,
                  failed: tuple[str, ...] = ("failed",), item: str = "item_id") -> DataFrame:
     """Candidates without a finished run; failed runs come back only on request."""

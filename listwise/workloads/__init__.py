@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("valuation", "identity", "groups", "listings", "reconcile", "evidence", "audit")
+FAMILIES = ("valuation", "identity", "groups", "listings", "reconcile", "evidence", "audit", "feeds")
 
 
 def load():
