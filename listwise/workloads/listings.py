@@ -30,7 +30,7 @@ listing AS (SELECT *, CASE WHEN usd_proven AND sale_format = 'FIXED_PRICE_ONLY'
 
 
 def payload_text(spark, sf):
-    df = B.items(spark, sf).where("status = 'O'")
+    df = B.spread(B.items(spark, sf).where("status = 'O'"))
     fmt, ship, cur = F.col("seller") % 4, F.col("line") % 4, F.when(F.col("seller") % 9 == 0, "GBP").otherwise("USD")
     money = lambda value, currency=cur: F.struct(value.cast("string").alias("value"), currency.alias("currency"))
     options = (F.when(fmt == 0, F.array(F.lit("AUCTION"))).when(fmt == 1, F.array(F.lit("AUCTION"), F.lit("FIXED_PRICE")))
