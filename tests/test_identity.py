@@ -1,6 +1,5 @@
 """Golden titles, keys, second-source cases and sold-title matching."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from listwise.functions import keys as K
@@ -73,49 +72,48 @@ def test_filters_above_identity_stay_cheap(spark):
     assert joined.count() == 1
 
 
-@pytest.mark.parametrize("title, expected", [
+LAYOUTS = [
     ("Cortez Kennedy Auto Signed 1990 Topps #514 PSA 9", ("tolerant", 1990, "9", "514", "CORTEZ KENNEDY", 1)),
     ("PSA 8 Shaquille O'Neal 1992 Hoops #1", ("tolerant", 1992, "8", "1", "SHAQUILLE O'NEAL", 0)),
     ("Graded 2022 Bowman Jackson Holliday #BS6 PSA 10", ("tolerant", 2022, "10", "BS6", "JACKSON HOLLIDAY", 0)),
     ("Graded 2022 Topps NOW Alex Ovechkin #12 PSA 10", ("tolerant", 2022, "10", "12", "ALEX OVECHKIN", 0)),
-])
-def test_tolerant_layouts(spark, title, expected):
-    names = spark.createDataFrame([(n,) for n in "CORTEZ KENNEDY SHAQUILLE O'NEAL JACKSON HOLLIDAY ALEX OVECHKIN NOW".split()], "name string")
-    df = I.extract_identity(spark.createDataFrame([("x", title)], "item_id string, title string"))
-    r = L.tolerant_identity(df, names).collect()[0]
-    assert (r.provenance, r.year, r.grade_value, r.card_number, r.athlete, r.is_auto) == expected and r.complete
-
-
-@pytest.mark.parametrize("title, why", [
+]
+REFUSED = [
     ("A B 1990 Topps #1 PSA 9 BGS 9.5", "multiple graders or grades"),
     ("A B 1990 Topps #1 card 22 PSA 9", "multiple card-number forms"),
     ("A B 1990 Topps Gold Silver #1 PSA 9", "two competing parallel readings"),
-])
-def test_ambiguity_refuses(spark, title, why):
-    names = spark.createDataFrame([("ZZ",)], "name string")
-    df = I.extract_identity(spark.createDataFrame([("x", title)], "item_id string, title string"))
-    r = L.tolerant_identity(df, names).collect()[0]
-    assert r.provenance == "ambiguous" and why in r.ambiguity and not r.complete
-
-
-def test_team_colours_are_not_parallels(spark):
-    names = spark.createDataFrame([("DYLAN",), ("CREWS",)], "name string")
-    df = I.extract_identity(spark.createDataFrame([("x", "Dylan Crews 2023 Topps Chicago White Sox #1 PSA 9")], "item_id string, title string"))
-    assert L.tolerant_identity(df, names).collect()[0].parallel is None
-
-
-def reconcile(spark, title, aspects, names=None):
-    cards = I.extract_identity(spark.createDataFrame([("x", title)], "item_id string, title string"))
-    second = spark.createDataFrame([("x", 200, [tuple(a) for a in aspects.items()])],
+]
+WHITE_SOX = "Dylan Crews 2023 Topps Chicago White Sox #1 PSA 9"
+
+
+def test_tolerant_titles(spark):
+    words = "CORTEZ KENNEDY SHAQUILLE O'NEAL JACKSON HOLLIDAY ALEX OVECHKIN NOW DYLAN CREWS".split()
+    names = spark.createDataFrame([(n,) for n in words], "name string")
+    titles = [t for t, _ in LAYOUTS + REFUSED] + [WHITE_SOX]
+    df = I.extract_identity(spark.createDataFrame([(t, t) for t in titles], "item_id string, title string"))
+    got = {r.item_id: r for r in L.tolerant_identity(df, names).collect()}
+    for title, expected in LAYOUTS:
+        r = got[title]
+        assert (r.provenance, r.year, r.grade_value, r.card_number, r.athlete, r.is_auto) == expected and r.complete
+    for title, why in REFUSED:
+        assert got[title].provenance == "ambiguous" and why in got[title].ambiguity and not got[title].complete
+    assert got[WHITE_SOX].parallel is None
+
+
+def reconcile(spark, cases, names=None):
+    """Reconciled rows of (title, aspects) cases, in order."""
+    cards = I.extract_identity(spark.createDataFrame([(str(i), t) for i, (t, _) in enumerate(cases)], "item_id string, title string"))
+    second = spark.createDataFrame([(str(i), 200, [tuple(x) for x in a.items()]) for i, (_, a) in enumerate(cases)],
                                    "item_id string, http_status int, aspects array<struct<name: string, value: string>>")
-    return R.reconcile_identity(cards, second, names).collect()[0]
+    got = {r.item_id: r for r in R.reconcile_identity(cards, second, names).collect()}
+    return [got[str(i)] for i in range(len(cases))]
 
 
 CORE = {"Professional Grader": "PSA", "Grade": "9", "Player/Athlete": "A Player", "Card Number": "5", "Season": "2018",
         "Sport": "Basketball", "Set": "2018 Panini Prizm"}
 
 
-@pytest.mark.parametrize("title, change, cls, verdict", [
+RECONCILED = [
     ("2018 PANINI PRIZM #5 A PLAYER PSA 9", {}, "verified", "verified"),
     ("2018 PANINI PRIZM #5 A PLAYER PSA 9", {"Card Number": "6"}, "quarantined_material_conflict", "quarantined"),
     ("2018 PANINI PRIZM #5 A PLAYER PSA 9", {"Professional Grader": "Beckett"}, "quarantined_material_conflict", "quarantined"),
@@ -124,18 +122,21 @@ CORE = {"Professional Grader": "PSA", "Grade": "9", "Player/Athlete": "A Player"
     ("2018 PANINI PRIZM #5 A PLAYER ZEBRA PSA 9", {"Player/Athlete": "A Player", "Card Name": ""}, "verified", "verified"),
     ("2018 PANINI PRIZM #5 A PLAYER 3/50 PSA 9", {}, "held_for_parallel_resolution", "held_for_parallel_resolution"),
     ("2018 PANINI PRIZM #5 A PLAYER PSA 9", {"Parallel/Variety": "A PLAYER"}, "held_for_parallel_resolution", "held_for_parallel_resolution"),
-])
-def test_reconcile_cases(spark, title, change, cls, verdict):
-    r = reconcile(spark, title, {**CORE, **change})
-    assert (r.cls, r.verdict) == (cls, verdict), r
+]
+
+
+def test_reconcile_cases(spark):
+    rows = reconcile(spark, [(title, {**CORE, **change}) for title, change, _, _ in RECONCILED])
+    for row, (title, change, cls, verdict) in zip(rows, RECONCILED):
+        assert (row.cls, row.verdict) == (cls, verdict), (title, change)
 
 
 def test_slash_joined_names_need_the_vocabulary(spark):
     names = spark.createDataFrame([("JORDAN",), ("WILKINS",), ("MALONE",)], "name string")
-    aspects = {**CORE, "Set": "2018 Panini Hoops", "Parallel/Variety": "JORDAN/WILKINS/MALONE"}
-    title = "2018 PANINI HOOPS #5 A PLAYER PSA 9"
-    assert reconcile(spark, title, aspects, names).eff_parallel is None
-    assert reconcile(spark, title, aspects).eff_parallel == "JORDAN/WILKINS/MALONE"
+    case = [("2018 PANINI HOOPS #5 A PLAYER PSA 9",
+             {**CORE, "Set": "2018 Panini Hoops", "Parallel/Variety": "JORDAN/WILKINS/MALONE"})]
+    assert reconcile(spark, case, names)[0].eff_parallel is None
+    assert reconcile(spark, case)[0].eff_parallel == "JORDAN/WILKINS/MALONE"
 
 
 def candidate(spark, **change):
@@ -168,14 +169,18 @@ SOLD = [
 ]
 
 
-@pytest.mark.parametrize("title, change, state, code", SOLD)
-def test_sold_titles(spark, title, change, state, code):
-    rows = spark.createDataFrame([("v1|306942391283|0", title)], "candidate_item_id string, raw_title string")
-    r = E.classify_comps(rows, candidate(spark, **change)).collect()[0]
-    assert (r.state, r.reason_code) == (state, code), r.reason
+def test_sold_titles(spark):
+    ids = [f"v1|{306942390000 + i}|0" for i in range(len(SOLD))]
+    cands = candidate(spark, item_id="none")
+    for cid, (_, change, _, _) in zip(ids, SOLD):
+        cands = cands.unionByName(candidate(spark, item_id=cid, **change))
+    rows = spark.createDataFrame([(cid, case[0]) for cid, case in zip(ids, SOLD)], "candidate_item_id string, raw_title string")
+    got = {r.candidate_item_id: r for r in E.classify_comps(rows, cands).collect()}
+    for cid, (title, _, state, code) in zip(ids, SOLD):
+        assert (got[cid].state, got[cid].reason_code) == (state, code), (title, got[cid].reason)
 
 
-@pytest.mark.parametrize("fields, state, text", [
+GATES = [
     ({"raw_text": "x Fixed price Exclude listing"}, "accepted", None),
     ({"raw_text": "Edit Sell Similar"}, "rejected", "missing Exclude listing and sale format"),
     ({"raw_text": "50 results per page"}, "review_required", "truncated by pagination"),
@@ -184,12 +189,18 @@ def test_sold_titles(spark, title, change, state, code):
     ({"source_item_id": "3069423912"}, "accepted", None),
     ({"sale_type": "BEST_OFFER"}, "review_required", "best offer with no reliable accepted price"),
     ({"sale_type": "FIXED_PRICE"}, "accepted", None),
-])
-def test_sale_gates(spark, fields, state, text):
-    rows = spark.createDataFrame([("v1|306942391283|0", "2018 Panini Prizm #280 Luka Doncic PSA 10", *fields.values())],
-                                 ", ".join(f"{c} string" for c in ("candidate_item_id", "raw_title", *fields)))
-    r = E.classify_comps(rows, candidate(spark)).collect()[0]
-    assert r.state == state and (text is None or text in r.reason)
+]
+
+
+def test_sale_gates(spark):
+    names = ("raw_text", "quantity_sold", "source_item_id", "sale_type")
+    rows = spark.createDataFrame(
+        [(i, "v1|306942391283|0", "2018 Panini Prizm #280 Luka Doncic PSA 10", *[f.get(n) for n in names])
+         for i, (f, _, _) in enumerate(GATES)],
+        "i int, candidate_item_id string, raw_title string, " + ", ".join(f"{n} string" for n in names))
+    got = {r.i: r for r in E.classify_comps(rows, candidate(spark)).collect()}
+    for i, (fields, state, text) in enumerate(GATES):
+        assert got[i].state == state and (text is None or text in got[i].reason), fields
 
 
 def test_attribution_refuses_ambiguity(spark):
@@ -222,19 +233,18 @@ def test_text_functions(spark):
     assert one(spark, T.rule_for(lit("raw/ungraded - no PSA grade in title"))) == "ungraded"
 
 
-@pytest.mark.parametrize("text, expected", [
-    ("2024-03-05", "2024-03-05"), ("03/05/2024", "2024-03-05"), ("25/12/2023", "2023-12-25"), ("Mar 5, 2024", "2024-03-05"),
-    ("5 Mar 2024", "2024-03-05"), ("2024/03/05", "2024-03-05"), ("03-05-2024", "2024-03-05"), ("yesterday", None), ("", None)])
-def test_sale_dates(spark, text, expected):
-    got = one(spark, N.sale_date(F.lit(text)))
-    assert (got.isoformat() if got else None) == expected
+DATES = {"2024-03-05": "2024-03-05", "03/05/2024": "2024-03-05", "25/12/2023": "2023-12-25", "Mar 5, 2024": "2024-03-05",
+         "5 Mar 2024": "2024-03-05", "2024/03/05": "2024-03-05", "03-05-2024": "2024-03-05", "yesterday": None, "": None}
+MONEY = {"$1,234.50": (1234.5, "USD"), "£12": (12.0, "GBP"), "n/a": (None, None), "12.5": (12.5, None), "--": (None, None),
+         "free": (None, None)}
 
 
-@pytest.mark.parametrize("text, amount, currency", [
-    ("$1,234.50", 1234.5, "USD"), ("£12", 12.0, "GBP"), ("n/a", None, None), ("12.5", 12.5, None), ("--", None, None), ("free", None, None)])
-def test_money(spark, text, amount, currency):
-    a, c = N.money(F.lit(text))
-    assert (one(spark, a), one(spark, c)) == (amount, currency)
+def test_dates_and_money(spark):
+    df = spark.createDataFrame([(t,) for t in (*DATES, *MONEY)], "t string")
+    amount, currency = N.money(F.col("t"))
+    got = {r.t: r for r in df.select("t", N.sale_date(F.col("t")).cast("string").alias("d"), amount.alias("a"), currency.alias("c")).collect()}
+    assert {t: got[t].d for t in DATES} == DATES
+    assert {t: (got[t].a, got[t].c) for t in MONEY} == MONEY
 
 
 def test_transaction_keys_tell_sales_apart(spark):

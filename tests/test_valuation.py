@@ -16,16 +16,7 @@ from listwise.plans import valuation as P
 TODAY = dt.date(2024, 6, 30)
 
 
-def decide(spark, price, totals, shipping=0.0, active=True, newest=TODAY, uncertain=()):
-    listing = spark.createDataFrame([("a", "s", price, shipping, active)],
-                                    "item_id string, slab_key string, price double, shipping_cost double, active boolean")
-    schema = "slab_key string, total_price double, sale_date date"
-    comps = spark.createDataFrame([("s", t, newest) for t in totals] or [("other", 1.0, newest)], schema)
-    unsure = spark.createDataFrame([("s", t, newest) for t in uncertain], schema) if uncertain else None
-    return P.decide(listing, comps, TODAY, uncertain=unsure).collect()[0]
-
-
-@pytest.mark.parametrize("price, totals, options, decision, reason, guard", [
+CASES = [
     (75.0, [100.0] * 3, {}, "BUY", "BUY_DISCOUNT_AT_OR_ABOVE_25", None),
     (75.01, [100.0] * 3, {}, "WATCH", "WATCH_DISCOUNT_10_TO_25", None),
     (90.0, [100.0] * 3, {}, "WATCH", "WATCH_DISCOUNT_10_TO_25", None),
@@ -43,10 +34,22 @@ def decide(spark, price, totals, shipping=0.0, active=True, newest=TODAY, uncert
     (50.0, [100.0, 100.0, 251.0], {}, "WATCH", "BUY_DISCOUNT_AT_OR_ABOVE_25", "DOWNGRADED_HIGH_DISPERSION"),
     (50.0, [100.0] * 3, {"uncertain": [20.0] * 4}, "REVIEW_REQUIRED", "UNCERTAIN_EVIDENCE_WOULD_CHANGE_THE_DECISION", None),
     (50.0, [100.0] * 3, {"uncertain": [99.0]}, "BUY", "BUY_DISCOUNT_AT_OR_ABOVE_25", None),
-])
-def test_decisions(spark, price, totals, options, decision, reason, guard):
-    row = decide(spark, price, totals, **options)
-    assert (row.decision, row.reason, row.downgrade_reason) == (decision, reason, guard)
+]
+
+
+def test_decisions(spark):
+    listings, comps, unsure = [], [], []
+    for i, (price, totals, o, *_) in enumerate(CASES):
+        newest = o.get("newest", TODAY)
+        listings.append((i, f"s{i}", price, o.get("shipping", 0.0), o.get("active", True)))
+        comps += [(f"s{i}", t, newest) for t in totals]
+        unsure += [(f"s{i}", t, newest) for t in o.get("uncertain", ())]
+    schema = "slab_key string, total_price double, sale_date date"
+    df = spark.createDataFrame(listings, "i int, slab_key string, price double, shipping_cost double, active boolean")
+    decided = P.decide(df, spark.createDataFrame(comps, schema), TODAY, uncertain=spark.createDataFrame(unsure, schema))
+    got = {r.i: (r.decision, r.reason, r.downgrade_reason) for r in decided.collect()}
+    for i, (price, totals, options, *expected) in enumerate(CASES):
+        assert got[i] == tuple(expected), (price, totals, options)
 
 
 def brute_baseline(members, i):
