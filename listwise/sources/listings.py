@@ -22,10 +22,11 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_payloads(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Payload text in a column to the payload's fields; unreadable text is marked."""
-    df = df.withColumn("__p", F.from_json(F.col(raw), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"}))
+    # Generated as one row per payload, so that the text is parsed once and not per field.
+    read = df.select("*", F.inline(F.array(F.from_json(F.col(raw), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"}))))
     state = (F.when(F.col(raw).isNull() | F.trim(raw).isin("", "{}", "null"), F.lit("empty"))
-             .when(F.col("__p.itemId").isNull(), F.lit("unreadable")).otherwise(F.lit("read")))
-    return df.select(*df.drop("__p").columns, state.alias("payload_state"), "__p.*")
+             .when(F.col("itemId").isNull(), F.lit("unreadable")).otherwise(F.lit("read")))
+    return read.withColumn("payload_state", state)
 
 
 def stated_currencies(price: Column, bid: Column, shipping: Column) -> Column:
