@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from listwise.llm import chat, langid, packing, pii
+from listwise.llm import chat, decontaminate, fingerprints, langid, neardup, packing, pii
 from listwise.llm.common import crc_mod, table
 
 QUERIES: dict = {}
@@ -75,3 +75,23 @@ def op10(spark, sf):
     base = F.filter("spans", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
     return found.select("doc_id", *(count(k) for k in ("email", "ip", "card", "phone")),
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op3_decontamination")
+def op3(spark, sf):
+    """Documents that overlap a benchmark item."""
+    return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op7_near_duplicates")
+def op7(spark, sf):
+    """Components of near-duplicates over all documents."""
+    return neardup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op8_fingerprints")
+def op8(spark, sf):
+    """Sketches of all documents and of their edited texts."""
+    out = fingerprints.compare_edited(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", fingerprints.shown(F.col("sketch")).alias("fingerprint"),
+                      fingerprints.shown(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
