@@ -1,29 +1,54 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from listwise.llm import langid
-from listwise.llm.common import written
-from listwise.llm.queries import QUERIES
+from listwise.llm import decontaminate, langid, lines, neardup, packing
+from listwise.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; a document without one is rejected."""
+    """Documents whose words a language claims; a document without letters is rejected."""
     model = langid.learn(docs)
     return langid.predict(docs, model, keep=COLUMNS).where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 
 
-STAGES = [("language_id", language_id)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of recurring templates; a document left without a line goes."""
+    out = lines.dedup_lines(docs, keep=COLUMNS)
+    return (out.where((F.col("n_dropped") == 0) | (F.col("n_dropped") < F.col("n_lines")))
+            .withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS))
 
-#: The stages need models and clusters that SQL cannot express; tests hold each against brute force.
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates."""
+    kept = neardup.near_duplicates(docs).where("kept").select(F.struct("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.struct("doc_id") == F.col("_kept"), "left_semi").select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no benchmark item."""
+    return decontaminate.without_overlaps(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with a checksum of the ids of each."""
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("decontamination", decontamination), ("packing", pack)]
+
+#: The stages need models and components that SQL cannot express; tests hold each against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -39,3 +40,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def crc_mod(column, n: int):
     """crc32 of the value as text, modulo ``n``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+class WordHashes(dict):
+    """64-bit hashes of words as bytes, remembered up to a bound."""
+
+    BOUND = 1_000_000
+
+    def __missing__(self, word):
+        import xxhash
+        if len(self) > self.BOUND:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def mixed(h):
+    """64-bit numbers spread over all bits."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return h ^ (h >> np.uint64(33))

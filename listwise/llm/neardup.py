@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from listwise.llm.common import written
+from listwise.llm.common import WordHashes, mixed, written
 
 COORDINATES = 64
 MATCHES = 28
@@ -31,24 +31,7 @@ _A = (np.random.default_rng(20).integers(1, 2 ** 63, COORDINATES, np.uint64) * n
 _SHIFTS = np.random.default_rng(21).integers(1, 2 ** 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Words(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word):
-        import xxhash
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _Words()
-
-
-def _mixed(h):
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
+_WORDS = WordHashes()
 
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -64,7 +47,7 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     n = max(1, len(h) - size + 1)
     out = np.full(n, min(len(h), size), np.uint64)
     for k in range(min(size, len(h))):
-        out = _mixed(out * _SHIFTS[k] + h[k:k + n])
+        out = mixed(out * _SHIFTS[k] + h[k:k + n])
     return np.unique(out)
 
 

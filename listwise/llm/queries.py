@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from listwise.llm import chat, decontaminate, fingerprints, langid, neardup, packing, pii
-from listwise.llm.common import crc_mod, table
+from listwise.llm import chat, decontaminate, fingerprints, langid, lines, neardup, packing, pii, scoring, warc
+from listwise.llm.common import crc_mod, own_dir, table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -95,3 +95,36 @@ def op8(spark, sf):
     out = fingerprints.compare_edited(table(spark, sf, "documents"))
     return out.select("doc_id", "n_chars", "edited_sha256", fingerprints.shown(F.col("sketch")).alias("fingerprint"),
                       fingerprints.shown(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query("op5_lm_scoring")
+def op5(spark, sf):
+    """Every document scored by a model learned from those that are not held out."""
+    return scoring.score_texts(table(spark, sf, "documents"))
+
+
+@query("op2_line_dedup")
+def op2(spark, sf):
+    """Every document without the lines of recurring templates."""
+    return lines.dedup_lines(table(spark, sf, "documents"))
+
+
+@query("op4_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f""")
+def op4(spark, sf):
+    """All pages written to archives and read back through the capture index."""
+    pages = table(spark, sf, "pages")
+    folder = own_dir(spark, "warc")
+    shards = warc.index(warc.write(pages, folder), folder)
+    records = warc.read(warc.lookup(warc.surts(pages), shards, folder), folder)
+    whole = F.col("payload").isNotNull()
+    return records.select(F.col("page").try_cast("long").alias("page_id"),
+                          F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+                          F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+                          "record_type", F.col("refers_to").try_cast("long").alias("refers_to"))
