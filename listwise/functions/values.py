@@ -6,6 +6,12 @@ from listwise import fixed_values as V
 from listwise.functions.text import capture
 
 
+def number(c: Column) -> Column:
+    """Text to double; what does not read as a number, NaN included, is NULL."""
+    value = c.try_cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def as_number(c: Column) -> Column:
     """Text to double with symbols stripped; NULL when nothing numeric is left."""
     return F.regexp_replace(c.cast("string"), r"[^\d.\-]", "").try_cast("double")

@@ -1,20 +1,17 @@
-"""Exact order statistics per group without collecting a hot group.
+"""Exact order statistics per group without collecting any group.
 
 A built-in ``percentile`` holds every distinct value of a group in one buffer, and a
 window over the group sorts the whole group in one task. With a third of all rows on
-one key neither survives, so groups part ways by their row count (a partially
-aggregated count over the key columns alone):
-
-* an ordinary group (at most ``hot_rows`` rows) is ranked by a window over its key:
-  one shuffle, and a bounded number of rows per key;
-* a hot group is first reduced to (key, value, count), which spreads it over all
-  tasks, and then located through a histogram whose number of bins is fixed by the
-  value range, not by the row count: a running sum over the bins tells which bins
-  hold the wanted ranks, and only those are looked into, by (key, bin).
-
-Both ways are exact: a bin only decides where to look, never what the value is. The
-list of hot groups is broadcast. It holds at most one key per ``hot_rows`` rows of the
-table, so 10^12 rows give at most 10^6 keys.
+one key neither survives, so every group, large or small, goes one way:
+
+* the input is reduced to (key, value, count), partially aggregated, which spreads a
+  hot key over all tasks by its values;
+* a histogram per key, whose number of bins is fixed by the value range and not by the
+  row count, gives the rows below each bin by a running sum;
+* only bins that hold a wanted rank are looked into, by a running sum per (key, bin).
+
+The result is exact: a bin only decides where to look, never what the value is. NaN is
+no value and counts like NULL.
 """
 
 from collections.abc import Callable
@@ -23,12 +20,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from listwise.operators.joining import join_null_safe
 
-# Bins per e-fold of 1+|value|. A value range up to 1e9 gives at most about 680k
+# Bins per e-fold of 1+|value|. A value range up to 1e9 gives at most about 85k
 # bins per group each side of zero, whatever the number of rows.
-BINS_PER_EFOLD = 32768
-
-# A group with more rows than this is never sorted in one task.
-HOT_ROWS = 1_000_000
+BINS_PER_EFOLD = 4096
 
 RankOf = Callable[[Column], Column]
 
@@ -39,31 +33,25 @@ def value_bin(value: Column, bins_per_efold: int = BINS_PER_EFOLD) -> Column:
     return F.when(value < 0, -depth).otherwise(depth)
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int | None) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups)."""
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    hot = F.broadcast(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-                      .where(F.col("__rows") > limit).select(*keys))
-    return join_null_safe(df, hot, keys, "left_anti"), join_null_safe(df, hot, keys, "left_semi")
-
-
-def _running(*by: str):
-    return Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def stated(df: DataFrame, value: str) -> Column:
+    """The value, NULL for NaN."""
+    return F.when(~F.isnan(value), F.col(value)) if dict(df.dtypes)[value] in ("double", "float") else F.col(value)
 
 
 def _value_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct values of hot groups with their bins and counts; NULL counts no rows."""
+    """Distinct values of each group with their bins and counts; NULL counts no rows."""
     carried = [c for c in rows.columns if c.startswith("__x_")]
     return (rows.groupBy(*keys, "__v").agg(F.count("__v").alias("__n"), *[F.max(c).alias(c) for c in carried])
             .withColumn("__bin", value_bin(F.col("__v"))))
 
 
 def _bin_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Per bin of a hot group: the rows below it, the rows in it, and the group's summary."""
+    """Per bin of a group: the rows below it, the rows in it, and the group's summary."""
     carried = [c for c in counts.columns if c.startswith("__x_")]
     hist = counts.groupBy(*keys, "__bin").agg(
         F.sum("__n").alias("__in"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
         *[F.max(c).alias(c) for c in carried])
+    # Without keys the bins of the whole table meet in one task: a fixed number of rows.
     whole = Window.partitionBy(*keys)
     running = whole.orderBy("__bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return hist.select(*keys, "__bin", "__in",
@@ -76,57 +64,49 @@ def _bin_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
 def _locate(counts: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
     """Rank range [start, end) of each value inside the kept bins."""
     values = counts.select(*keys, "__bin", "__v", "__n")
-    end = F.col("__below") + F.sum("__n").over(_running(*keys, "__bin"))
+    within = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col("__below") + F.sum("__n").over(within)
     return join_null_safe(values, offsets.drop("__in"), [*keys, "__bin"]).select(
         "*", end.alias("__end"), (end - F.col("__n")).alias("__start"))
 
 
 def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str, RankOf],
                      total: str = "n", *, lowest: str | None = None, highest: str | None = None,
-                     newest: dict[str, str] | None = None, hot_rows: int | None = None) -> DataFrame:
+                     newest: dict[str, str] | None = None) -> DataFrame:
     """One row per group: its row count and the value at each zero-based rank.
 
-    ``ranks`` maps an output column to a function of the group's count of non-NULL
-    values; a rank outside the group yields NULL. ``lowest``, ``highest`` and
-    ``newest`` (output name to source column, by maximum over all rows of the group)
-    come along in the same pass.
+    ``ranks`` maps an output column to a function of the group's count of values; a rank
+    outside the group yields NULL. ``lowest``, ``highest`` and ``newest`` (output name to
+    source column, by maximum over all rows of the group) come along in the same pass.
+    Without keys the table is one group; an empty table has no group.
     """
     newest = newest or {}
-    rows = df.select(*keys, F.col(value).alias("__v"),
-                     *[F.col(source).alias(f"__x_{name}") for name, source in newest.items()])
-    ordinary, hot = split_hot(rows, keys, hot_rows)
+    rows = df.select(*keys, stated(df, value).alias("__v"), *[F.col(source).alias(f"__x_{name}") for name, source in newest.items()])
+    counts = _value_counts(rows, keys)
+    offsets = _bin_offsets(counts, keys)
 
     def wanted(rank):
         r = rank(F.col("__total")).cast("long")
         return (r >= F.col("__start")) & (r < F.col("__end"))
 
-    def picks(low, high, prefix):
-        out = [F.max("__total").alias(total)]
-        out += [F.max(F.when(wanted(rank), F.col("__v"))).alias(name) for name, rank in ranks.items()]
-        out += [F.min(low).alias(lowest)] if lowest else []
-        out += [F.max(high).alias(highest)] if highest else []
-        return out + [F.max(f"{prefix}{name}").alias(name) for name in newest]
-
-    # NULLs sort first and do not advance the running count.
-    end = F.count("__v").over(_running(*keys))
-    placed = ordinary.select("*", end.alias("__end"), (end - F.col("__v").isNotNull().cast("long")).alias("__start"),
-                             F.count("__v").over(Window.partitionBy(*keys)).alias("__total"))
-    ordinary_stats = placed.groupBy(*keys).agg(*picks("__v", "__v", "__x_"))
-
-    counts = _value_counts(hot, keys)
-    offsets = _bin_offsets(counts, keys)
     hit = F.col("__below") == 0
     for rank in ranks.values():
         r = rank(F.col("__total")).cast("long")
         hit = hit | F.coalesce((r >= F.col("__below")) & (r < F.col("__below") + F.col("__in")), F.lit(False))
-    hot_stats = _locate(counts, offsets.where(hit), keys).groupBy(*keys).agg(*picks("__min", "__max", "__w__x_"))
-    return ordinary_stats.unionByName(hot_stats)
+    picks = [F.max("__total").alias(total)]
+    picks += [F.max(F.when(wanted(rank), F.col("__v"))).alias(name) for name, rank in ranks.items()]
+    picks += [F.min("__min").alias(lowest)] if lowest else []
+    picks += [F.max("__max").alias(highest)] if highest else []
+    picks += [F.max(f"__w__x_{name}").alias(name) for name in newest]
+    out = _locate(counts, offsets.where(hit), keys).groupBy(*keys).agg(*picks)
+    return out if keys else out.where(F.col(total).isNotNull())
 
 
 LOWER_MEDIAN: RankOf = lambda n: F.floor((n - 1) / 2)
 UPPER_MEDIAN: RankOf = lambda n: F.floor(n / 2)
 SMALLEST: RankOf = lambda n: F.lit(0)
 LARGEST: RankOf = lambda n: n - 1
+INDEX_QUARTILES: dict[str, RankOf] = {"q1_index": lambda n: F.floor(n / 4), "q3_index": lambda n: F.floor(3 * n / 4)}
 
 
 def middle_of(low: str = "__lo", high: str = "__hi") -> Column:
@@ -165,9 +145,7 @@ def exclusive_quartiles(df: DataFrame, keys: list[str], value: str, total: str =
 
 def index_quartiles(df: DataFrame, keys: list[str], value: str, total: str = "n") -> DataFrame:
     """Quartiles read straight off the sorted list: positions n/4, n/2 and 3n/4."""
-    return order_statistics(df, keys, value, {
-        "q1_index": lambda n: F.floor(n / 4), "upper_median": UPPER_MEDIAN,
-        "q3_index": lambda n: F.floor(3 * n / 4)}, total)
+    return order_statistics(df, keys, value, {**INDEX_QUARTILES, "upper_median": UPPER_MEDIAN}, total)
 
 
 def interpolated_quantiles(df: DataFrame, keys: list[str], value: str,
@@ -187,19 +165,13 @@ def interpolated_quantiles(df: DataFrame, keys: list[str], value: str,
     return stats.select(*keys, total, *outs)
 
 
-def with_value_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank",
-                    hot_rows: int | None = None) -> DataFrame:
+def with_value_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank") -> DataFrame:
     """Each row with the competition rank (1 + rows below) of its value in its group.
 
-    Without keys the whole table is one group, and a large table is then ranked as a
-    hot group: no global sort. Rows without a value keep a NULL rank.
+    Without keys the whole table is one group, and there is no global sort. Rows without
+    a value keep a NULL rank.
     """
-    by = keys or ["__all"]
-    rows = df if keys else df.withColumn("__all", F.lit(1))
-    ordinary, hot = split_hot(rows, by, hot_rows)
-    ranked = ordinary.withColumn(name, F.when(F.col(value).isNotNull(), F.rank().over(
-        Window.partitionBy(*by, F.col(value).isNull()).orderBy(value)).cast("long")))
-    counts = _value_counts(hot.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v")), by)
-    ranks = _locate(counts, _bin_offsets(counts, by).select(*by, "__bin", "__in", "__below"), by).select(
-        *by, F.col("__v").alias(value), (F.col("__start") + 1).alias(name))
-    return ranked.unionByName(join_null_safe(hot, ranks, [*by, value], "left")).drop("__all")
+    counts = _value_counts(df.select(*keys, stated(df, value).alias("__v")).where("__v IS NOT NULL"), keys)
+    ranks = _locate(counts, _bin_offsets(counts, keys), keys).select(
+        *keys, F.col("__v").alias(value), (F.col("__start") + 1).alias(name))
+    return join_null_safe(df, ranks, [*keys, value], "left")

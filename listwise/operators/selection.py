@@ -1,5 +1,7 @@
 """Caps, shortlists, bands and first-of-a-kind picks."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from listwise import fixed_values as V
@@ -8,8 +10,9 @@ from listwise import fixed_values as V
 def cap_per_key(df: DataFrame, key: str, limit: int, order: list[str]) -> DataFrame:
     """At most ``limit`` rows per key in the given order; rows without a key are kept.
 
-    The limit is applied to each task's rows before the shuffle, so a hot key sends at
-    most ``limit`` rows per task.
+    Below Spark's window group limit threshold (1,000 by default) the limit is applied to
+    each task's rows before the shuffle, so a hot key sends at most ``limit`` rows per task;
+    above it the rows of a key are ranked in one task.
     """
     ranked = df.where(F.col(key).isNotNull()).withColumn(
         "__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("__n") <= limit)
@@ -76,39 +79,48 @@ def auction_reason(sale_format: Column, end_time: Column, bid: Column) -> Column
 
 
 def geometric_bands(df: DataFrame, value: str, low: float, high: float, ceiling: int = V.PAGING_CEILING,
-                    min_width: float = V.MIN_BAND_WIDTH, depth: int = 14) -> DataFrame:
+                    min_width: float = V.MIN_BAND_WIDTH) -> DataFrame:
     """Split [low, high) at geometric midpoints until every band holds at most ``ceiling`` rows.
 
-    Counts are real, one aggregation into 2**depth leaves; everything after works on
-    that fixed number of rows. A band still too dense at the narrowest width is
-    reported as excluded, never dropped.
+    Counts are real and go by the rounded edges that are reported. One aggregation by value,
+    then one by every band the value is in; the bands that can be reached are bounded by the
+    range and ``min_width``, whatever the number of rows. A band still too dense at the
+    narrowest width is reported as excluded, never dropped.
     """
-    leaves = 2 ** depth
-    position = F.log(F.col(value) / F.lit(float(low))) / F.log(F.lit(float(high)) / F.lit(float(low)))
-    leaf = F.least(F.floor(position * leaves), F.lit(leaves - 1)).cast("int")
-    counted = (df.where((F.col(value) >= low) & (F.col(value) < high)).select(leaf.alias("leaf"))
-               .groupBy("leaf").agg(F.count(F.lit(1)).alias("n")))
-    nodes = counted.select("n", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(depth)),
-        lambda d: F.struct(d.alias("depth"), F.floor(F.col("leaf") / F.pow(F.lit(2.0), depth - d)).cast("int").alias("node"))
-    )).alias("p")).groupBy(F.col("p.depth").alias("depth"), F.col("p.node").alias("node")).agg(F.sum("n").alias("n"))
-
-    def edge(at: Column) -> Column:
-        return F.round(F.lit(float(low)) * F.pow(F.lit(float(high) / float(low)), at / F.pow(F.lit(2.0), F.col("depth"))), 2)
-
-    nodes = nodes.withColumns({"low": edge(F.col("node")), "high": edge(F.col("node") + 1)})
-    splittable = (F.col("n") > ceiling) & (F.col("high") - F.col("low") > min_width) & (F.col("depth") < depth)
+    ratio = float(high) / float(low)
+    # So many halvings make the widest band, the one below ``high``, narrower than min_width.
+    depth = max(0, math.ceil(math.log2(high * math.log(ratio) / min_width)))
+
+    def edge(at: Column, level: Column) -> Column:
+        return F.round(F.lit(float(low)) * F.pow(F.lit(ratio), at / F.pow(F.lit(2.0), level)), 2)
+
+    counted = df.where((F.col(value) >= low) & (F.col(value) < high)).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    at = counted.select("v", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("depth"))
+    position = F.log(F.col("v") / F.lit(float(low))) / F.log(F.lit(ratio)) * F.pow(F.lit(2.0), F.col("depth"))
+    at = at.withColumn("node", F.greatest(F.lit(0), F.least(F.floor(position), F.pow(F.lit(2.0), F.col("depth")) - 1)).cast("long"))
+    # Rounding may put a value beside an edge into the neighbouring band.
+    at = at.withColumn("node", F.col("node") - (F.col("v") < edge(F.col("node"), F.col("depth"))).cast("long")
+                       + (F.col("v") >= edge(F.col("node") + 1, F.col("depth"))).cast("long"))
+    parent = F.floor(F.col("node") / 2)
+    wide = edge(parent + 1, F.col("depth") - 1) - edge(parent, F.col("depth") - 1) > min_width
+    nodes = at.where((F.col("depth") == 0) | wide).groupBy("depth", "node").agg(F.sum("n").alias("n"))
+    nodes = nodes.withColumns({"low": edge(F.col("node"), F.col("depth")), "high": edge(F.col("node") + 1, F.col("depth"))})
+    splittable = (F.col("n") > ceiling) & (F.col("high") - F.col("low") > min_width)
     split = nodes.where(splittable)
     children = split.select((F.col("depth") + 1).alias("depth"), F.explode(F.array(
         F.col("node") * 2, F.col("node") * 2 + 1)).alias("node"))
-    root = df.sparkSession.range(1).select(F.lit(0).alias("depth"), F.lit(0).alias("node"))
+    root = df.sparkSession.range(1).select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("node"))
     bands = children.unionByName(root).join(nodes.select("depth", "node", "n"), ["depth", "node"], "left")
-    bands = bands.withColumns({"n": F.coalesce("n", F.lit(0)), "low": edge(F.col("node")), "high": edge(F.col("node") + 1)})
+    bands = bands.withColumns({"n": F.coalesce("n", F.lit(0)), "low": edge(F.col("node"), F.col("depth")),
+                               "high": edge(F.col("node") + 1, F.col("depth"))})
     return bands.where(~splittable).select("low", "high", "n", (F.col("n") > ceiling).alias("excluded"))
 
 
 def strided(bands: DataFrame, count: int, order: str = "low") -> DataFrame:
-    """``count`` bands spread evenly by position over a list of bands (a fixed, small number)."""
+    """``count`` bands spread evenly by position over a list of bands.
+
+    The bands are ordered in one task: their number is bounded by their range and width.
+    """
     numbered = bands.withColumn("i", F.row_number().over(Window.orderBy(order)) - 1).withColumn(
         "n_bands", F.count(F.lit(1)).over(Window.partitionBy()))
     step = F.ceil(F.col("i") * count / F.col("n_bands"))

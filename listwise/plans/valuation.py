@@ -8,7 +8,7 @@ from listwise import fixed_values as V
 from listwise.functions import values as N
 from listwise.operators.joining import join_null_safe
 from listwise.operators.order_stats import (
-    exclusive_quartiles, group_median, index_quartiles, with_value_rank)
+    INDEX_QUARTILES, LOWER_MEDIAN, UPPER_MEDIAN, exclusive_quartiles, group_median, middle_of, order_statistics, with_value_rank)
 
 
 def dispersion(n: Column, low: Column, high: Column) -> Column:
@@ -198,10 +198,9 @@ def markup_bands(report: DataFrame) -> DataFrame:
 
 
 def markup_quartiles(report: DataFrame) -> DataFrame:
-    valued = report.where(F.col("population") == "valued").select(F.lit("valued").alias("population"), "markup_percent")
-    index = index_quartiles(valued, ["population"], "markup_percent", "listings")
-    middle = group_median(valued, ["population"], "markup_percent", "median_markup", "__n").drop("__n")
-    return index.join(middle, "population").select("population", "listings", "q1_index", "median_markup", "q3_index")
+    valued = report.where(F.col("population") == "valued")
+    stats = order_statistics(valued, [], "markup_percent", {**INDEX_QUARTILES, "__lo": LOWER_MEDIAN, "__hi": UPPER_MEDIAN}, "listings")
+    return stats.select(F.lit("valued").alias("population"), "listings", "q1_index", middle_of().alias("median_markup"), "q3_index")
 
 
 def cohort_rollup(report: DataFrame, cohort_column: str = "cohort") -> DataFrame:

@@ -40,13 +40,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lis
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when nothing names one,
-    as in tests, is a scratch folder made.
+    The cluster names it in ``spark.checkpoint.dir``. Without the setting only a local
+    master, whose tasks all run on this machine, gets a scratch folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="listwise-")
         spark.sparkContext.setCheckpointDir(named)
     return named

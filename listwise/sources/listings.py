@@ -48,7 +48,7 @@ def shipping_state(kind: Column, cost: Column) -> tuple[Column, Column]:
     known = (kind == "FIXED") & cost.isNotNull() & (cost != "")
     state = (F.when(kind == "CALCULATED", F.lit("CALCULATED_UNKNOWN")).when(known, F.lit("KNOWN"))
              .otherwise(F.lit("NOT_RETURNED")))
-    return state, F.when(known, cost.try_cast("double"))
+    return state, F.when(known, N.number(cost))
 
 
 def flatten_listings(df: DataFrame, fetched_at: Column, run_id: Column | None = None) -> DataFrame:
@@ -62,8 +62,8 @@ def flatten_listings(df: DataFrame, fetched_at: Column, run_id: Column | None =
     df = df.withColumns({
         "sale_format": sale_format(c("buyingOptions")), "shipping_state": state, "shipping_cost": shipping,
         "usd_proven": currencies == F.array(F.lit(V.VALUATION_CURRENCY)),
-        "fixed_asking_price": F.when(F.array_contains(options, "FIXED_PRICE"), c("price.value").try_cast("double")),
-        "current_bid_price": c("currentBidPrice.value").try_cast("double")})
+        "fixed_asking_price": F.when(F.array_contains(options, "FIXED_PRICE"), N.number(c("price.value"))),
+        "current_bid_price": N.number(c("currentBidPrice.value"))})
     complete = (c("usd_proven") & (c("sale_format") == "FIXED_PRICE_ONLY") & c("fixed_asking_price").isNotNull()
                 & (c("shipping_state") == "KNOWN"))
     return df.select(
@@ -74,7 +74,7 @@ def flatten_listings(df: DataFrame, fetched_at: Column, run_id: Column | None =
         F.get(c("categories"), F.lit(0))["categoryId"].alias("category_id"), "condition",
         c("itemWebUrl").alias("url"), fetched_at.alias("fetched_at"), F.lit(1).alias("active"),
         F.nullif(c("seller.username"), F.lit("")).alias("seller"),
-        c("seller.feedbackPercentage").try_cast("double").alias("seller_feedback_pct"),
+        N.number(c("seller.feedbackPercentage")).alias("seller_feedback_pct"),
         c("seller.feedbackScore").try_cast("int").alias("seller_feedback_score"),
         (F.lit(None).cast("string") if run_id is None else run_id).alias("discovery_run_id"),
         "current_bid_price", c("currentBidPrice.currency").alias("current_bid_currency"), "fixed_asking_price",
@@ -164,8 +164,26 @@ def write_derived(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def replace_scope(df: DataFrame, path: str, scope: str) -> None:
-    """Replace only the partitions of ``scope`` that ``df`` holds."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).parquet(path)
+def replace_scope(df: DataFrame, path: str, scope: str, values: list) -> None:
+    """Replace the partitions of ``scope`` named by ``values`` by the rows of ``df``.
+
+    A named value of which ``df`` has no row loses its old rows: its place in the table is
+    taken by one row without an item, which ``read_scoped`` leaves out. Rows of ``df``
+    outside the named values are an error of the caller and are not written.
+    """
+    spark = df.sparkSession
+    kind = df.schema[scope].dataType
+    named = spark.createDataFrame([(v,) for v in values], f"`{scope}` {kind.simpleString()}")
+    inside = df.join(named, scope, "left_semi").withColumn("__row", F.lit(True))
+    gone = named.join(inside.select(scope).distinct(), scope, "left_anti").select(
+        *[F.col(scope) if c == scope else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns],
+        F.lit(False).alias("__row"))
+    (inside.unionByName(gone).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).parquet(path))
+
+
+def read_scoped(spark: SparkSession, path: str) -> DataFrame:
+    """A table kept by ``replace_scope``."""
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    return (df.where("coalesce(__row, true)") if "__row" in df.columns else df).drop("__row")
 
 

@@ -1,13 +1,11 @@
 """Listing feeds as Structured Streaming jobs."""
 
 import os
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from listwise.operators.sequences import state_changes
 from listwise.sources.listings import newest_per_key
 
 
@@ -41,35 +39,41 @@ def first_sales(feed: DataFrame, key: str, event_time: str, horizon: str = "7 da
     return feed.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
 
 
-ALERT_SCHEMA = ("item_id string, observed_at timestamp, state string, bid_count int, previous_state string, "
-                "previous_at timestamp, previous_count int")
-STATE_SCHEMA = "state string, bid_count int, observed_at timestamp"
+def alert_stream(feed: DataFrame, store: str, checkpoint: str, chunk: Column, trigger: dict | None = None) -> StreamingQuery:
+    """One alert per item per state change, with the previous observation, in ``store/alerts``.
 
+    The feed carries item_id, observed_at, seq, state, bid_count and end_time. A batch is
+    compared with the last observation of each item, kept in ``store/held`` until the item's
+    end has passed in the feed. A row that is not after the held one is late: it neither
+    alerts nor replaces it, and goes to ``store/late``. An unknown count is a state of its
+    own. A batch that is run again overwrites its own partitions.
+    """
+    values = ["observed_at", "seq", "state", "bid_count", "end_time"]
 
-def _alert(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    """Alerts of one item from its new observations; the state is one observation."""
-    if held.hasTimedOut:
-        held.remove()
-        return
-    last = held.get if held.exists else None
-    seen = pd.concat(list(batches)).sort_values(["observed_at", "seq"])
-    out = []
-    for row in seen.itertuples(index=False):
-        now = (row.state, int(row.bid_count), row.observed_at)
-        if last is not None and now[:2] != tuple(last[:2]):
-            out.append((key[0], now[2], now[0], now[1], last[0], last[2], int(last[1])))
-        last = now
-    held.update(last)
-    held.setTimeoutTimestamp(max(int(pd.Timestamp(last[2]).timestamp() * 1000), held.getCurrentWatermarkMs()) + 30 * 86_400_000)
-    names = [f.split()[0] for f in ALERT_SCHEMA.split(", ")]
-    yield pd.DataFrame(out, columns=names)
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select("item_id", *values)
+        held = rows.limit(0)
+        if batch_id:
+            held = spark.read.schema(rows.schema).parquet(os.path.join(store, "held", f"batch={batch_id - 1}"))
+        last = held.select("item_id", F.struct("observed_at", "seq").alias("__last"))
+        known = rows.join(last, "item_id", "left")
+        on_time = F.col("__last").isNull() | (F.struct("observed_at", "seq") > F.col("__last"))
+        new = known.where(on_time).drop("__last")
+        both = new.withColumn("__new", F.lit(True)).unionByName(held.withColumn("__new", F.lit(False)))
+        changed = state_changes(both, "item_id", ["observed_at", "seq"], ["state", "bid_count"], chunk).where("__new")
+        known.where(~on_time).drop("__last").write.mode("overwrite").parquet(os.path.join(store, "late", f"batch={batch_id}"))
+        changed.select("item_id", "observed_at", "state", "bid_count", F.col("previous.state").alias("previous_state"),
+                       F.col("previous.observed_at").alias("previous_at"), F.col("previous.bid_count").alias("previous_count")
+                       ).write.mode("overwrite").parquet(os.path.join(store, "alerts", f"batch={batch_id}"))
+        newest = newest_per_key(new.unionByName(held), ["item_id"], ["observed_at", "seq"])
+        clock = newest.agg(F.max("observed_at").alias("__now"))
+        newest.crossJoin(clock).where(F.col("end_time").isNull() | (F.col("end_time") > F.col("__now"))).drop("__now").select(
+            "item_id", *values).write.mode("overwrite").parquet(os.path.join(store, "held", f"batch={batch_id}"))
 
+    return (feed.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
-def state_change_alerts(feed: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """One alert per item per state change, with the previous state, count and time.
 
-    The feed carries item_id, observed_at, seq, state and bid_count. Per item the state
-    is a single observation, dropped thirty days after the item was last seen.
-    """
-    return (feed.withWatermark("observed_at", lateness).groupBy("item_id")
-            .applyInPandasWithState(_alert, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))
+def read_alerts(spark: SparkSession, store: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(store, "alerts")).drop("batch")

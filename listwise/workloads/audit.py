@@ -55,14 +55,16 @@ def membership_diff(spark, sf):
     return A.membership_diff(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'P'"), ["o_custkey"])
 
 
-@query("accounting", f"""{STATES_SQL}, u AS (SELECT count(*) AS n FROM sold),
-s AS (SELECT count(*) FILTER (state = 'accepted') AS accepted, count(*) FILTER (state = 'rejected') AS rejected,
-             count(*) FILTER (state = 'review_required') AS review_required FROM v1)
-SELECT n AS unique_extracted, n AS collisions, accepted, rejected, review_required, 0::BIGINT AS missing, 0::BIGINT AS unexpected, true AS balanced FROM u, s""")
+@query("accounting", f"""{STATES_SQL}, c AS (SELECT * FROM v1 JOIN (SELECT item_id, line FROM sold) USING (item_id))
+SELECT count(*) FILTER (line <> 1) AS unique_extracted, count(*) FILTER (line <> 1) AS collisions,
+  count(*) FILTER (line <> 2 AND state = 'accepted') AS accepted, count(*) FILTER (line <> 2 AND state = 'rejected') AS rejected,
+  count(*) FILTER (line <> 2 AND state = 'review_required') AS review_required,
+  count(*) FILTER (line = 2) AS missing, count(*) FILTER (line = 1) AS unexpected, count(*) FILTER (line IN (1, 2)) = 0 AS balanced FROM c""")
 def accounting(spark, sf):
+    """First lines were classified but not extracted, second lines extracted but not classified."""
     first, _ = states(spark, sf)
-    ids = first.select("item_id")
-    return A.accounting(ids.unionAll(ids), first, "item_id")
+    ids = first.where("line <> 1").select("item_id")
+    return A.accounting(ids.unionAll(ids), first.where("line <> 2"), "item_id")
 
 
 @query("duplicate_ids", "SELECT l_orderkey, count(*) AS rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
@@ -76,9 +78,9 @@ def state_counts(spark, sf):
     return A.state_counts(states(spark, sf)[0], "slab_key")
 
 
-@query("reason_counts", f"{STATES_SQL} SELECT coalesce(reason, '(no reason recorded)') AS reason, count(*) AS rows FROM v2 GROUP BY 1 ORDER BY 2 DESC LIMIT 10")
+@query("reason_counts", f"{STATES_SQL} SELECT coalesce(reason, '(no reason recorded)') AS reason, count(*) AS rows FROM v2 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def reason_counts(spark, sf):
-    return A.reason_counts(states(spark, sf)[1]).orderBy(F.desc("rows")).limit(10)
+    return A.reason_counts(states(spark, sf)[1]).orderBy(F.desc("rows"), "reason").limit(10)
 
 
 _SNAP = """{name}_n AS (SELECT slab_key, count(*) FILTER (state = 'accepted') AS accepted, count(*) FILTER (state = 'rejected') AS rejected,

@@ -30,7 +30,7 @@ listing AS (SELECT *, CASE WHEN usd_proven AND sale_format = 'FIXED_PRICE_ONLY'
 
 
 def payload_text(spark, sf):
-    df = B.spread(B.items(spark, sf).where("status = 'O'"))
+    df = B.items(spark, sf).where("status = 'O'")
     fmt, ship, cur = F.col("seller") % 4, F.col("line") % 4, F.when(F.col("seller") % 9 == 0, "GBP").otherwise("USD")
     money = lambda value, currency=cur: F.struct(value.cast("string").alias("value"), currency.alias("currency"))
     options = (F.when(fmt == 0, F.array(F.lit("AUCTION"))).when(fmt == 1, F.array(F.lit("AUCTION"), F.lit("FIXED_PRICE")))
@@ -198,15 +198,15 @@ def bands_fixed(spark, sf):
     return B.listings(spark, sf).groupBy(N.price_band(F.col("price")).alias("band")).agg(F.count(F.lit(1)).alias("listings"))
 
 
-_BANDS = """leaf AS (SELECT CAST(least(floor(ln(o_totalprice / 100) / ln(600000.0::DOUBLE / 100) * 16384), 16383) AS INTEGER) AS leaf
-         FROM orders WHERE o_totalprice >= 100 AND o_totalprice < 600000),
-node AS (SELECT CAST(d AS INTEGER) AS depth, leaf >> (14 - CAST(d AS INTEGER)) AS node, count(*) AS n FROM leaf, range(15) t(d) GROUP BY ALL),
-split AS (SELECT * FROM node WHERE n > 100 AND depth < 14
-   AND round(100 * pow(6000, (node + 1) / pow(2, depth)), 2) - round(100 * pow(6000, node / pow(2, depth)), 2) > 1),
-kids AS (SELECT depth + 1 AS depth, node * 2 + b AS node FROM split, (VALUES (0), (1)) t(b) UNION ALL SELECT 0, 0),
-bands AS (SELECT k.depth, k.node, coalesce(n, 0) AS n, round(100 * pow(6000, k.node / pow(2, k.depth)), 2) AS low,
-   round(100 * pow(6000, (k.node + 1) / pow(2, k.depth)), 2) AS high FROM kids k LEFT JOIN node USING (depth, node)
-   WHERE (k.depth, k.node) NOT IN (SELECT (depth, node) FROM split))"""
+_BANDS = """RECURSIVE b AS (
+  SELECT 0 AS depth, 0::BIGINT AS node, 100.0::DOUBLE AS low, 600000.0::DOUBLE AS high,
+    (SELECT count(*) FROM orders WHERE o_totalprice >= 100 AND o_totalprice < 600000) AS n
+  UNION ALL
+  SELECT depth, node, low, high, (SELECT count(*) FROM orders WHERE o_totalprice >= k.low AND o_totalprice < k.high) AS n
+  FROM (SELECT depth + 1 AS depth, node * 2 + c AS node, round(100 * pow(6000::DOUBLE, (node * 2 + c) / pow(2, depth + 1)), 2) AS low,
+          round(100 * pow(6000::DOUBLE, (node * 2 + c + 1) / pow(2, depth + 1)), 2) AS high
+        FROM b, (VALUES (0), (1)) t(c) WHERE n > 100 AND high - low > 1) k),
+bands AS (SELECT * FROM b WHERE NOT (n > 100 AND high - low > 1))"""
 
 
 @query("bands_geometric", f"WITH {_BANDS} SELECT low, high, n, n > 100 AS excluded FROM bands")
@@ -259,8 +259,8 @@ def latest_non_empty(spark, sf):
 
 
 @query("priority_order", f"""WITH {B.LISTINGS_SQL}, g AS (SELECT slab_key, count(*) AS n, max(price) / min(price) AS spread FROM listings GROUP BY slab_key)
-SELECT slab_key, spread, slab_key % 4 = 0 AS reusable FROM g ORDER BY reusable, spread DESC, slab_key LIMIT 60""")
+SELECT slab_key, spread, slab_key % 4 = 0 AS reusable FROM g ORDER BY reusable, spread DESC, slab_key""")
 def priority_order(spark, sf):
     from listwise.plans.groups import price_spread
     groups = price_spread(B.listings(spark, sf)).withColumn("reusable", F.col("slab_key") % 4 == 0)
-    return groups.orderBy("reusable", F.desc("spread"), "slab_key").limit(60).select("slab_key", "spread", "reusable")
+    return groups.orderBy("reusable", F.desc("spread"), "slab_key").select("slab_key", "spread", "reusable")

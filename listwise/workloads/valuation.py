@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from listwise.operators import order_stats as O
 from listwise.plans import valuation as P
 from listwise.workloads import base as B
 from listwise.workloads.registry import query
@@ -203,7 +204,7 @@ def exclusive_quartiles(spark, sf):
 @query("index_quartiles", f"""{BENCH}, {_QUARTILES}
 SELECT slab_key, n, a[n // 4 + 1] AS q1_index, a[n // 2 + 1] AS upper_median, a[3 * n // 4 + 1] AS q3_index FROM arr""")
 def index_quartiles(spark, sf):
-    return P.index_quartiles(B.accepted(spark, sf).where("total_price IS NOT NULL"), ["slab_key"], "total_price")
+    return O.index_quartiles(B.accepted(spark, sf).where("total_price IS NOT NULL"), ["slab_key"], "total_price")
 
 
 @query("research_watch", f"""{BENCH}, {_QUARTILES},
@@ -240,11 +241,10 @@ SELECT 'priced' AS population, any_value(n) AS listings, max(x) FILTER (name = '
        max(x) FILTER (name = 'p75') AS p75, max(x) FILTER (name = 'median') AS median,
        max(x) FILTER (name = 'p25') AS p25, max(x) FILTER (name = 'worst') AS worst FROM v""")
 def gap_distribution(spark, sf):
-    from listwise.operators.order_stats import interpolated_quantiles
     rows = P.decide(B.listings(spark, sf), B.accepted(spark, sf), B.TODAY).select(
-        F.lit("priced").alias("population"), "gross_pct").where("gross_pct IS NOT NULL")
-    return interpolated_quantiles(rows, ["population"], "gross_pct", {
-        "best": 1.0, "p90": 0.9, "p75": 0.75, "median": 0.5, "p25": 0.25, "worst": 0.0}, "listings")
+        "gross_pct").where("gross_pct IS NOT NULL")
+    return O.interpolated_quantiles(rows, [], "gross_pct", {
+        "best": 1.0, "p90": 0.9, "p75": 0.75, "median": 0.5, "p25": 0.25, "worst": 0.0}, "listings").withColumn("population", F.lit("priced"))
 
 
 STAGES = {"stale_rules": {"max_age_days": 100000, "dispersion_limit": 1000000.0, "with_shipping": False},

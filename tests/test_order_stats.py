@@ -1,4 +1,4 @@
-"""Order statistics against brute force, by the ordinary and by the hot way."""
+"""Order statistics against brute force."""
 
 import random
 import statistics
@@ -19,11 +19,10 @@ def frame(spark, data):
     return spark.createDataFrame([(k, v) for k, vs in data.items() for v in [*vs, None]], "k string, v double")
 
 
-@pytest.mark.parametrize("hot_rows", [None, 5, 0])
-def test_median_min_max(spark, hot_rows):
+def test_median_min_max(spark):
     data = {**groups(), "empty": []}
     got = {r.k: r for r in O.group_median(frame(spark, data), ["k"], "v", "mid", "n", lowest="low", highest="high",
-                                          newest={"last": "v"}, hot_rows=hot_rows).collect()}
+                                          newest={"last": "v"}).collect()}
     assert set(got) == set(data)
     for k, vs in data.items():
         assert got[k].n == len(vs)
@@ -33,10 +32,7 @@ def test_median_min_max(spark, hot_rows):
             assert got[k].mid is None
 
 
-@pytest.mark.parametrize("hot_rows", [None, 3])
-def test_exclusive_quartiles(spark, hot_rows, monkeypatch):
-    if hot_rows is not None:
-        monkeypatch.setattr(O, "HOT_ROWS", hot_rows)
+def test_exclusive_quartiles(spark):
     data = groups()
     got = {r.k: r for r in O.exclusive_quartiles(frame(spark, data), ["k"], "v").collect()}
     for k, vs in data.items():
@@ -48,13 +44,12 @@ def test_exclusive_quartiles(spark, hot_rows, monkeypatch):
     assert got["niemann"].p25 == pytest.approx(134.99) and got["niemann"].p75 == pytest.approx(252.495)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 3])
-def test_value_rank(spark, hot_rows):
+def test_value_rank(spark):
     data = groups()
     df = frame(spark, data)
     flat = sorted(v for vs in data.values() for v in vs)
     for keys in (["k"], []):
-        for r in O.with_value_rank(df, keys, "v", hot_rows=hot_rows).collect():
+        for r in O.with_value_rank(df, keys, "v").collect():
             pool = data[r.k] if keys else flat
             assert r["rank"] == (None if r.v is None else 1 + sum(x < r.v for x in pool))
 
@@ -64,3 +59,19 @@ def test_bins_never_step_down(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
     bins = [r.b for r in df.select("i", O.value_bin(df["v"]).alias("b")).orderBy("i").collect()]
     assert bins == sorted(bins)
+
+
+@pytest.mark.parametrize("copies", [1, 400])
+def test_nan_is_no_value(spark, copies):
+    """Whatever the size of the group."""
+    df = spark.createDataFrame([("a", v) for v in [1.0, 2.0, 3.0] * copies + [float("nan")] * 2], "k string, v double")
+    row = O.group_median(df, ["k"], "v").first()
+    assert (row.n, row["median"]) == (3 * copies, 2.0)
+    assert {(r.v, r["rank"]) for r in O.with_value_rank(df, ["k"], "v").where("v = 2.0").collect()} == {(2.0, copies + 1)}
+    assert O.with_value_rank(df, [], "v").where("isnan(v) AND rank IS NOT NULL").count() == 0
+
+
+def test_table_as_one_group(spark):
+    df = frame(spark, {"a": [5.0, 1.0], "b": [3.0]})
+    assert [(r.n, r["median"]) for r in O.group_median(df, [], "v").collect()] == [(3, 3.0)]
+    assert O.group_median(df.limit(0), [], "v").count() == 0

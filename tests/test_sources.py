@@ -23,7 +23,17 @@ def test_exports_with_preamble_and_aliases(spark, tmp_path):
     assert rows["Offer card"].sold_price is None and rows["Offer card"].displayed_original_price == 9.0
     assert rows["Real offer"].sold_price == 7.0 and rows["Real offer"].actual_price_known
     assert rows["Backed out"].sold_price == 10.0
-    assert [r.file.rsplit("/", 1)[1] for r in X.files_without_header(spark, str(tmp_path)).collect()] == ["c.csv"]
+    (tmp_path / "d.csv").write_text("x\n" * 25 + "Title,Sold price\nlate,$1\n")
+    assert {(r.file.rsplit("/", 1)[1], r.reason) for r in X.rejected_exports(spark, str(tmp_path)).collect()} == {
+        ("c.csv", "no header"), ("d.csv", "header after more than 24 lines")}
+
+
+def test_exports_have_any_width(spark, tmp_path):
+    names = [f"extra {i}" for i in range(58)] + ["Title", "Sold price"]
+    (tmp_path / "wide.csv").write_text(",".join(names) + "\n" + ",".join(["x"] * 58 + ["wide card", "$3.00"]) + "\n")
+    (tmp_path / "slim.csv").write_text("Title,Sold price\nslim card,$4.00\n")
+    got = {r.raw_title: r.sold_price for r in X.translate_rows(X.read_exports(spark, str(tmp_path))).collect()}
+    assert got == {"wide card": 3.0, "slim card": 4.0}
 
 
 def test_import_needs_its_columns(spark, tmp_path):
@@ -83,9 +93,12 @@ def test_scoped_sweep_spares_unknown_sellers(spark):
 
 def test_replace_scope_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.createDataFrame([("a", 1), ("b", 1)], "c string, v int").write.partitionBy("c").parquet(path)
-    S.replace_scope(spark.createDataFrame([("a", 2)], "c string, v int"), path, "c")
-    assert {(r.c, r.v) for r in spark.read.parquet(path).collect()} == {("a", 2), ("b", 1)}
+    schema = "c string, v int"
+    spark.createDataFrame([("a", 1), ("b", 1), ("d", 1)], schema).write.partitionBy("c").parquet(path)
+    S.replace_scope(spark.createDataFrame([("a", 2)], schema), path, "c", ["a"])
+    assert {(r.c, r.v) for r in S.read_scoped(spark, path).collect()} == {("a", 2), ("b", 1), ("d", 1)}
+    S.replace_scope(spark.createDataFrame([("d", 3), ("x", 9)], schema), path, "c", ["a", "d"])
+    assert {(r.c, r.v) for r in S.read_scoped(spark, path).collect()} == {("b", 1), ("d", 3)}
 
 
 def test_null_identity_borrows_no_evidence(spark):
