@@ -76,20 +76,19 @@ def shown(sketch: Column) -> Column:
 
 
 def followers(keys: DataFrame) -> DataFrame:
-    """(key, next): for each distinct key the next smaller one, and the greatest for the smallest.
+    """(key, next): for each distinct key, a struct, the next smaller one, and the greatest for the smallest.
 
     Keys are dealt by range and written, so that their partition numbers stay; each partition is
-    ordered on its own, and only its greatest key meets those of the other partitions. A null key
-    comes after all others.
+    ordered on its own, and only its greatest key meets those of the other partitions. A struct of a
+    null comes after all others.
     """
-    dealt = written(keys.select(F.struct(F.col("key").alias("v")).alias("key")).distinct()
-                    .repartitionByRange(F.desc("key")).withColumn("part", F.spark_partition_id()), "order")
+    dealt = written(keys.select("key").distinct().repartitionByRange(F.desc("key")).withColumn("part", F.spark_partition_id()), "order")
     heads = dealt.groupBy("part").agg(F.max("key").alias("head"))
     all_heads = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = heads.select("part", F.coalesce(F.lead("head").over(Window.partitionBy(F.lit(0)).orderBy("part")),
                                             F.max("head").over(all_heads)).alias("beyond"))
     inner = dealt.withColumn("next", F.lead("key").over(Window.partitionBy("part").orderBy(F.desc("key"))))
-    return inner.join(after, "part").select(F.col("key.v").alias("key"), F.coalesce("next", "beyond").getField("v").alias("next"))
+    return inner.join(after, "part").select("key", F.coalesce("next", "beyond").alias("next"))
 
 
 def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
@@ -100,18 +99,19 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text", k: in
     are one document with the greatest of their texts, a null key comes last, a document alone is its
     own next. Columns other than the two are not read.
     """
-    source = df.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    # One shuffle of the texts by key, with their sketches; both joins below read it.
+    # As a struct a null key equals itself, and grouping and joins hash it alike.
+    source = df.select(F.struct(F.col(key).alias("v")).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    # One shuffle of the texts by key, with their sketches; all three joins below read it.
     own = sketched(source, "text", "sketch", k).groupBy("key").agg(F.max(F.struct("text", "sketch")).alias("d"))
     own = own.select("key", F.col("d.text").alias("text"), F.col("d.sketch").alias("sketch"))
     order = followers(source.select("key"))
     asks = own.select(F.col("key").alias("asker"), F.floor(F.length("text") / 3).cast("int").alias("need"))
-    asks = asks.join(order.withColumnRenamed("key", "of"), F.col("asker").eqNullSafe(F.col("of"))).select("asker", "need", "next")
-    heads = own.join(asks, F.col("key").eqNullSafe(F.col("next"))).select(
+    asks = asks.join(order.withColumnRenamed("key", "of"), F.col("asker") == F.col("of")).select("asker", "need", "next")
+    heads = own.join(asks, F.col("key") == F.col("next")).select(
         "asker", F.expr("left(text, need)").alias("head"), F.col("sketch").alias("next_sketch"))
-    edited = own.join(heads, F.col("key").eqNullSafe(F.col("asker"))).withColumn("n_chars", F.length("text").cast("long"))
+    edited = own.join(heads, F.col("key") == F.col("asker")).withColumn("n_chars", F.length("text").cast("long"))
     edited = edited.withColumn("edited", F.concat(F.expr("left(text, CAST(n_chars - floor(n_chars / 3) AS INT))"), "head"))
     edited = sketched(edited, "edited", "edited_sketch", k)
-    return edited.select(F.col("key").alias(key), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "edited_sketch",
+    return edited.select(F.col("key.v").alias(key), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "edited_sketch",
                          resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"),
                          resemblance(F.col("sketch"), F.col("next_sketch"), k).alias("near_next"))
