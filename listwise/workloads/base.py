@@ -212,10 +212,10 @@ spans AS (
          || CASE WHEN nba THEN ' NBA' ELSE '' END AS short_span FROM facts),
 cards AS (
   SELECT *, CASE WHEN numbered THEN CAST(slab_key AS VARCHAR) END AS card_number,
-    CASE WHEN numbered THEN first_name || ' ' || noun END AS athlete,
+    CASE WHEN numbered THEN first_name || ' ' || noun || CASE WHEN excluded = 'BGS' AND flag_text = '' AND seller % 7 > 1 THEN ' BGS 9.5' ELSE '' END END AS athlete,
     CASE WHEN numbered THEN short_span
          ELSE short_span || ' ' || first_name || ' ' || noun || flag_text
-              || CASE WHEN seller % 13 = 0 AND seller % 7 > 1 THEN ' PSA/DNA' ELSE '' END END AS set_name
+              || CASE WHEN seller % 13 = 0 AND seller % 7 > 1 THEN ' PSA/DNA' WHEN excluded = 'BGS' THEN ' BGS 9.5' ELSE '' END END AS set_name
   FROM spans),
 leveled AS (
   SELECT *, CASE WHEN parallel IS NOT NULL THEN 'HIGH'
