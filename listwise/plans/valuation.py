@@ -16,13 +16,19 @@ def dispersion(n: Column, low: Column, high: Column) -> Column:
     return F.when((n >= 2) & (low > 0), high / low)
 
 
+def in_valuation_currency(comps: DataFrame) -> DataFrame:
+    """``total_price`` as the converted total where the rows carry one: another currency is no price."""
+    return comps.withColumn("total_price", F.col("converted_total")) if "converted_total" in comps.columns else comps
+
+
 def benchmark(comps: DataFrame, key: str, total: str = "total_price", sold_on: str = "sale_date") -> DataFrame:
     """Per key: priced comps, median, min, max, dispersion and the newest sale.
 
+    Totals are in the valuation currency: rows that carry ``converted_total`` count by it.
     The newest sale counts every comp passed in, priced or not. A comp's NULL key
     matches no listing, so it is dropped before the shuffle.
     """
-    comps = comps.where(F.col(key).isNotNull())
+    comps = in_valuation_currency(comps.where(F.col(key).isNotNull()))
     stats = group_median(comps, [key], total, "median_total", "comp_count", lowest="min_total",
                          highest="max_total", newest={"most_recent_sale": sold_on})
     return stats.withColumn("dispersion", dispersion(F.col("comp_count"), F.col("min_total"), F.col("max_total")))
@@ -83,6 +89,7 @@ def decide(listings: DataFrame, comps: DataFrame, today, key: str = "slab_key",
     if uncertain is None:
         return plain
     columns = [key, "total_price", "sale_date"]
+    comps, uncertain = in_valuation_currency(comps), in_valuation_currency(uncertain)
     unsure = uncertain.where(F.col("total_price").isNotNull()).select(*columns)
     touched = unsure.groupBy(key).agg(F.count(F.lit(1)).alias("uncertain_comp_count"))
     # Only keys with uncertain comps need the second benchmark.

@@ -143,8 +143,10 @@ SELECT item_id, price AS sold_price, shipping_cost AS shipping, price + coalesce
 def import_sold(spark, sf):
     df = B.items(spark, sf).where("status = 'F'")
     s = F.col("seller") % 4
-    dates = F.when(F.col("line") % 3 == 0, F.date_format("day", "yyyy-MM-dd")).when(
-        F.col("line") % 3 == 1, F.date_format("day", "MMM d, yyyy")).otherwise(F.date_format("day", "yyyy/MM/dd"))
+    # One spelling per line number, un-padded ones among them; the day comes first only where it can be no month.
+    dates = F.coalesce(*[F.when(F.col("line") == n, F.date_format("day", spelling)) for n, spelling in enumerate(
+        ("yyyy-MM-dd", "MMM d, yyyy", "yyyy/MM/dd", "yyyy-M-d", "M/d/yyyy"), 1)],
+        F.when((F.col("line") == 6) & (F.dayofmonth("day") > 12), F.date_format("day", "d/M/yyyy")), F.date_format("day", "M-d-yyyy"))
     rows = df.select(
         "item_id", F.concat(F.lit("$"), F.col("price").cast("string")).alias("sold_price"),
         F.col("shipping_cost").cast("string").alias("shipping"),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from listwise import fixed_values as V
 from listwise.operators import order_stats as O
 from listwise.plans import valuation as P
 from listwise.workloads import base as B
@@ -15,9 +16,17 @@ BENCH = f"WITH {B.BASE_SQL}, {B.benchmark_sql('bench', 'accepted')}"
 DECIDED = f"{BENCH}, {B.decided_sql('decided', 'bench')}"
 
 
-@query("decide", f"{DECIDED} SELECT {_COLUMNS_SQL} FROM decided")
+# Sales in three currencies: only those in dollars are prices, all count as sales.
+_USD = f"""WITH {B.BASE_SQL}, usd AS (SELECT * REPLACE (CASE WHEN seller % 9 > 1 THEN total_price END AS total_price) FROM accepted),
+{B.benchmark_sql('bench', 'usd')}, {B.decided_sql('decided', 'bench')}"""
+
+
+@query("decide", f"{_USD} SELECT {_COLUMNS_SQL} FROM decided")
 def decide(spark, sf):
-    return P.decide(B.listings(spark, sf), B.accepted(spark, sf), B.TODAY).select(*DECISION_COLUMNS)
+    comps = B.accepted(spark, sf).withColumn(
+        "currency", F.when(F.col("seller") % 9 == 0, "GBP").when(F.col("seller") % 9 == 1, "EUR").otherwise("USD"))
+    comps = comps.withColumn("converted_total", F.when(F.col("currency") == V.VALUATION_CURRENCY, F.col("total_price")))
+    return P.decide(B.listings(spark, sf), comps, B.TODAY).select(*DECISION_COLUMNS)
 
 
 BOTH = f"""{DECIDED}, touched AS (SELECT slab_key, count(*) AS uncertain_comp_count FROM uncertain GROUP BY slab_key),
