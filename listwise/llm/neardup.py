@@ -6,11 +6,13 @@ within their ``m - MATCHES + 1`` rarest pairs, m being the pairs of a set that a
 (prefix filter on rarity): only these are merged, the long lists of frequent pairs are skipped.
 Candidates that agree on ``MATCHES`` coordinates are confirmed on the whole sets.
 
-No list is paired with itself. In each round every list sends its members to one head only; sets
-known to be linked become one component, and a list whose members are in one component is done.
-Every ``ROUNDS`` heads in a row, each component of a list keeps its own head, so that a large group
-of copies meets a small one through few members first. What remains afterwards is compared in full,
-but only across components.
+No list is paired with itself. In two rounds every list sends its members to one head: first the
+most central set, whose pairs are the most frequent ones, then the most central set of another
+component. Sets known to be linked become one component, and a list whose members are in one
+component is done. Sets of the lists still open meet across components only, by their rarest
+shingles and at positions that leave room for enough common ones (positional prefix filter on the
+whole sets, which loses nothing), so a set with too many shingles of its own meets nobody, however
+large its list.
 
 A pair at the least similarity, 0.75, agrees on 48 of 64 coordinates on average and on fewer than 28
 with a probability below 1e-8.
@@ -26,7 +28,7 @@ COORDINATES = 64
 MATCHES = 28
 SHINGLE = 5
 SIMILAR = 75
-ROUNDS = 3
+ROUNDS = 2
 _A = (np.random.default_rng(20).integers(1, 2 ** 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
 _SHIFTS = np.random.default_rng(21).integers(1, 2 ** 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -97,12 +99,55 @@ def _postings(reps: DataFrame) -> DataFrame:
 
 
 def _prefixes(reps: DataFrame) -> DataFrame:
-    """(rep, pair): the rarest pairs of each set that any match must share."""
+    """(rep, central, pair): the rarest pairs of each set that any match must share.
+
+    ``central`` orders sets by how many of their pairs others have, then by how often.
+    """
     postings = _postings(reps)
     shared = postings.groupBy("pair").count().where("count > 1")
     own = (postings.join(shared, "pair").groupBy("rep")
-           .agg(F.sort_array(F.collect_list(F.struct("count", "pair"))).alias("pairs")).where(F.size("pairs") >= MATCHES))
-    return own.select("rep", F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("p")).select("rep", F.col("p.pair").alias("pair"))
+           .agg(F.sort_array(F.collect_list(F.struct("count", "pair"))).alias("pairs"), F.struct(F.count("*"), F.sum("count")).alias("central"))
+           .where(F.size("pairs") >= MATCHES))
+    return own.select("rep", "central", F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("p")
+                      ).select("rep", "central", F.col("p.pair").alias("pair"))
+
+
+def _across(open_sets: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that may be similar, by their rarest shingles.
+
+    Shingles are ordered by their number of open sets; those of one set come first and are not
+    posted. Where two similar sets first have a shingle in common, at positions i and j, what is left
+    of each must hold all their common shingles: that bounds i and j, and for the smaller set j alone.
+    """
+    kind = open_sets.schema["rep"].dataType.simpleString()
+
+    def spread(batches):
+        for batch in batches:
+            found = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            n = np.array([len(x) for x in found], np.int64)
+            at = pa.array(np.repeat(np.arange(len(found)), n))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.repeat(n, n)),
+                                              pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))],
+                                             names=["rep", "component", "n", "shingle"])
+
+    posted = (open_sets.join(sets, "rep").select("rep", "component", "shingles")
+              .mapInArrow(spread, f"rep {kind}, component {kind}, n long, shingle long"))
+    shared = posted.groupBy("shingle").count().where("count > 1")
+    own = (posted.join(shared, "shingle").groupBy("rep", "component", "n")
+           .agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("s")))
+    own = own.withColumn("single", F.col("n") - F.size("s"))
+    probe = (F.floor((100 - similar) * F.col("n") / 100) + 1 - F.col("single")).cast("int")
+    lists = (own.where(probe > 0).select("rep", "component", "n", "single", F.posexplode_outer(F.slice("s", F.lit(1), probe)).alias("p", "e"))
+             .select("rep", "component", "n", (F.col("single") + F.col("p")).alias("i"), F.col("e.shingle").alias("shingle")))
+    lists = written(lists, "rare-shingles")
+    x = lists.select("shingle", F.col("rep").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("i").alias("i_a"))
+    y = (lists.where((100 + similar) * (F.col("n") - F.col("i")) >= 2 * similar * F.col("n"))
+         .select("shingle", F.col("rep").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("i").alias("i_b")))
+    room = similar * (F.col("n_a") + F.col("n_b"))
+    pairs = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("c_a") != F.col("c_b")) & (100 * F.col("n_b") >= similar * F.col("n_a"))
+                   & ((F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("b") < F.col("a"))))
+                   & ((100 + similar) * (F.col("n_a") - F.col("i_a")) >= room) & ((100 + similar) * (F.col("n_b") - F.col("i_b")) >= room))
+    return pairs.select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -185,38 +230,27 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
     sets = written(texts.join(wanted, "rep", "left_semi").mapInArrow(read, f"rep {kind}, shingles binary")
                    .where(F.length("shingles") > 0), "sets")
 
-    labels, edges, tried = None, None, None
-    for turn in range(ROUNDS + 1):
-        now = prefixes if labels is None else (
-            prefixes.join(labels, "rep", "left").select("rep", "pair", F.coalesce("component", "rep").alias("component")))
-        if labels is None:
-            heads = prefixes.groupBy("pair").agg(F.min("rep").alias("b"))
-            pairs = prefixes.join(heads, "pair").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-        else:
-            open_lists = now.groupBy("pair").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            now = written(now.join(open_lists, "pair"), "open")
-            if turn < ROUNDS:
-                # Two heads: the first member of the smallest and of the greatest component of a list.
-                heads = now.groupBy("pair").agg(F.min(F.struct("component", "rep")).alias("one"), F.max(F.struct("component", "rep")).alias("two"))
-                sent = now.join(heads, "pair").select(F.col("rep").alias("a"), "component", F.explode(F.array("one", "two")).alias("h"))
-                pairs = sent.where(F.col("component") != F.col("h.component")).select("a", F.col("h.rep").alias("b"))
-            else:
-                other = now.select("pair", F.col("rep").alias("b"), F.col("component").alias("other"))
-                pairs = now.select("pair", F.col("rep").alias("a"), "component").join(other, "pair").where("component < other").select("a", "b")
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        if labels is None:
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = written(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = written(_confirmed(pairs, reps, sets, similar), "found")
-        edges = new if edges is None else edges.unionByName(new)
-        if labels is not None and new.isEmpty():
-            if turn < ROUNDS:
-                continue
-            break
+    ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    heads = prefixes.groupBy("pair").agg(F.max(F.struct("central", "rep")).alias("head"))
+    pairs = prefixes.join(heads, "pair").select(F.col("rep").alias("a"), F.col("head.rep").alias("b")).where("a <> b").select(*ordered).distinct()
+    tried = written(pairs, "pairs")
+    edges = written(_confirmed(tried, reps, sets, similar), "found")
+    for turn in range(1, ROUNDS + 1):
         labels = components(edges)
+        now = prefixes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        lists = now.groupBy("pair").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                        F.max(F.struct("central", "rep", "component")).alias("one")).where("low <> high")
+        now = written(now.join(lists.select("pair", "one"), "pair"), "open")
+        if turn < ROUNDS:
+            others = now.where(F.col("component") != F.col("one.component")).groupBy("pair").agg(F.max(F.struct("central", "rep", "component")).alias("two"))
+            sent = now.join(others, "pair").select("rep", "component", F.explode(F.array("one", "two")).alias("head"))
+            pairs = sent.where(F.col("component") != F.col("head.component")).select(F.col("rep").alias("a"), F.col("head.rep").alias("b"))
+        else:
+            pairs = _across(now.select("rep", "component").distinct(), sets, similar)
+        pairs = written(pairs.select(*ordered).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
+        edges = edges.unionByName(written(_confirmed(pairs, reps, sets, similar), "found"))
+    labels = components(edges)
     roots = members.join(labels, "rep", "left").select("set_high", "set_low", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(roots, ["set_high", "set_low"], "left")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.coalesce("component", "key")).otherwise(F.col("key")))
