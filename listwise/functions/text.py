@@ -350,11 +350,26 @@ def visible_text(html: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """The five XML entities, the no-break space and the common quotes."""
-    for entity, text in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                         ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+    """The five XML entities, the no-break space, and every character given by its number."""
+    for entity, text in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
         c = F.replace(c, F.lit(entity), F.lit(text))
-    return c
+    return F.replace(let(c, _numbered_characters), F.lit("&amp;"), F.lit("&"))
+
+
+def _numbered_characters(c: Column) -> Column:
+    """``&#39;`` and ``&#x27;`` as the characters they name; anything else after ``&#`` stays."""
+    pieces = F.split(c, "&#")
+
+    def decoded(piece: Column) -> Column:
+        code = F.regexp_extract(piece, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        number = F.when(F.lower(F.substring(code, 1, 1)) == "x", F.conv(F.substring(code, 2, 6), 16, 10)).otherwise(code).try_cast("int")
+        named = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(F.when(named, number).otherwise(F.lit(32))), 8, "0")), "UTF-32")
+        return F.when(F.coalesce(named, F.lit(False)), F.concat(character, F.regexp_replace(piece, r"^[^;]*;", ""))).otherwise(
+            F.concat(F.lit("&#"), piece))
+
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))), decoded)
+    return F.when(c.contains("&#"), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
 
 
 def page_title(html: Column) -> Column:

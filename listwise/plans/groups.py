@@ -170,7 +170,7 @@ def weak_pairs(members: DataFrame, key: str = "slab_key") -> DataFrame:
 def sample_buckets(groups: DataFrame, per_bucket: int, seed: int, key: str = "slab_key",
                    bucket: str = "bucket") -> DataFrame:
     """Up to ``per_bucket`` groups of each bucket, the same ones on any partitioning."""
-    draw = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    draw = F.sha1(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)))
     ranked = Window.partitionBy(bucket).orderBy(draw, F.col(key))
     return groups.withColumn("draw", F.row_number().over(ranked)).where(F.col("draw") <= per_bucket)
 

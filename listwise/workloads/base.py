@@ -181,6 +181,15 @@ def titled_items(spark, sf, where: str = "true") -> DataFrame:
     return df.withColumn("title", F.trim(F.regexp_replace(title, " +", " ")))
 
 
+# The composed title itself, in capitals, over the columns of ``facts``.
+TITLE_TEXT_SQL = """array_to_string(list_filter([CAST(year AS VARCHAR),
+    ['TOPPS', 'PANINI', 'UPPER DECK', 'FLEER', 'FINEST', 'ACME'][(slab_key % 6) + 1], upper(p_type), tint, CASE WHEN nba THEN 'NBA' END,
+    CASE WHEN numbered THEN '#' || slab_key END, first_name, noun, trim(flag_text),
+    CASE seller % 7 WHEN 0 THEN quantity || '/99' WHEN 1 THEN '#/50' WHEN 2 THEN '#' || quantity || '/199' END,
+    CASE seller % 13 WHEN 0 THEN 'PSA/DNA' WHEN 1 THEN 'PSA AUTHENTIC' WHEN 2 THEN 'PSA 9 AUTO 10' WHEN 3 THEN 'BGS 9.5' WHEN 4 THEN ''
+      ELSE 'PSA ' || (quantity % 10 + 1) || CASE WHEN discount >= 0.095 THEN ' (OC)' WHEN discount >= 0.085 THEN ' MC' ELSE '' END END],
+    lambda x: x <> ''), ' ')"""
+
 TITLED_SQL = ITEMS_SQL + """,
 parts AS (
   SELECT slab_key_p, p_size + 1960 AS year, p_type, upper(split_part(p_name, ' ', 1)) AS tint,

@@ -47,13 +47,14 @@ def product_id_state(spark, sf):
 
 
 @query("title_divergence", f"""WITH {B.TITLED_SQL},
-t AS (SELECT slab_key, item_id, unnest(list_distinct(list_filter([flag, CASE WHEN line = 3 THEN 'PATCH' END,
-         CASE WHEN line = 2 THEN NULL END], lambda x: x = 'PATCH'))) AS token FROM identity WHERE status = 'O' AND seller % 13 > 4 AND seller % 7 > 2 AND discount < 0.085 AND seller > 4),
-m AS (SELECT slab_key, count(*) AS n FROM identity WHERE status = 'O' AND seller % 13 > 4 AND seller % 7 > 2 AND discount < 0.085 AND seller > 4 GROUP BY slab_key)
-SELECT slab_key, token, count(*) AS titles, any_value(n) AS n FROM t JOIN m USING (slab_key) GROUP BY ALL HAVING count(*) < any_value(n)""")
+m AS (SELECT slab_key, {B.TITLE_TEXT_SQL} AS title FROM identity WHERE status = 'O'),
+bare AS (SELECT slab_key, regexp_replace(regexp_replace(regexp_replace(title, '\\bPSA\\s*(10|[1-9](\\.5)?)\\b', ' ', 'g'), '#\\s*/\\s*\\d{{1,5}}\\b', ' ', 'g'),
+   '\\b\\d{{1,4}}\\s*/\\s*\\d{{1,5}}\\b', ' ', 'g') AS title FROM m),
+t AS (SELECT slab_key, unnest(list_distinct(list_filter(regexp_split_to_array(title, '[^A-Z0-9''./-]+'), lambda x: x NOT IN ('', 'PSA', 'ROOKIE', 'AUTO')))) AS token FROM bare),
+n AS (SELECT slab_key, count(*) AS n FROM m GROUP BY slab_key)
+SELECT slab_key, token, count(*) AS titles, any_value(n) AS n FROM t JOIN n USING (slab_key) GROUP BY ALL HAVING count(*) < any_value(n)""")
 def title_divergence(spark, sf):
-    plain = "status = 'O' AND seller % 13 > 4 AND seller % 7 > 2 AND discount < 0.085 AND seller > 4"
-    return G.divergent_tokens(B.titled_items(spark, sf, plain))
+    return G.divergent_tokens(B.titled_items(spark, sf, "status = 'O'"))
 
 
 # Members of a group as the screen expects them; the flags follow from item columns.
@@ -136,10 +137,20 @@ def group_statistics(spark, sf):
     return df.select("item_id", "slab_key").join(stats, "slab_key").drop("slab_key")
 
 
-@query("risk_sample")
+@query("risk_sample", f"""{MEMBERS},
+g AS (SELECT slab_key, count(*) AS n, min(parallel_conf) AS level, slab_key % 2 <> 0 AS plain,
+   CASE WHEN count(nullif(price, 0)) >= 2 AND min(nullif(price, 0)) > 0 THEN max(nullif(price, 0)) / min(nullif(price, 0)) ELSE 1.0 END AS spread
+   FROM members GROUP BY slab_key HAVING count(*) > 1),
+b AS (SELECT slab_key, level || ' parallel confidence' AS bucket FROM g WHERE level IN ('HIGH', 'MEDIUM')
+  UNION ALL SELECT slab_key, 'no parallel vocabulary' FROM g WHERE plain
+  UNION ALL (SELECT slab_key, 'widest price spread' FROM g ORDER BY spread DESC, slab_key LIMIT 25)
+  UNION ALL (SELECT slab_key, 'largest group size' FROM g ORDER BY n DESC, slab_key LIMIT 25)),
+r AS (SELECT slab_key, bucket, row_number() OVER (PARTITION BY bucket ORDER BY sha1(slab_key || '|11'), slab_key) AS draw FROM b)
+SELECT slab_key, bucket, n, spread, draw FROM r JOIN g USING (slab_key) WHERE draw <= 25""")
 def risk_sample(spark, sf):
-    """Seeded samples per risk bucket; the draw is Spark's own hash, so there is no SQL twin."""
-    return G.sample_buckets(G.risk_buckets(members(spark, sf), 25), 25, 11)
+    """Seeded samples per risk bucket."""
+    return G.sample_buckets(G.risk_buckets(members(spark, sf), 25), 25, 11).select(
+        "slab_key", "bucket", "n", "spread", F.col("draw").cast("long").alias("draw"))
 
 
 # --- peers ----------------------------------------------------------------------------
