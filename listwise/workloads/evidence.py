@@ -9,40 +9,43 @@ from listwise.session import settle
 from listwise.workloads import base as B
 from listwise.workloads.registry import query
 
-# One candidate per numbered part of a known maker; the part's residue disturbs one field.
+# One candidate per part; the part's residue disturbs one field. Titles of every eleventh part state no number.
 CANDIDATES_SQL = f"""WITH {B.TITLED_SQL},
 cands AS (SELECT slab_key_p AS p, 'v1|' || (1000000 + slab_key_p) || '|0' AS cid, year + CAST(slab_key_p % 5 = 3 AS INTEGER) AS c_year,
-   ['TOPPS', 'PANINI', 'UPPER DECK', 'FLEER'][m + 1] AS c_maker, CASE WHEN slab_key_p % 5 = 4 THEN 'X' || slab_key_p ELSE CAST(slab_key_p AS VARCHAR) END AS c_number,
+   ['TOPPS', 'PANINI', 'UPPER DECK', 'FLEER', 'TOPPS', NULL][m + 1] AS c_maker, CASE WHEN slab_key_p % 5 = 4 THEN 'X' || slab_key_p ELSE CAST(slab_key_p AS VARCHAR) END AS c_number,
    CASE WHEN slab_key_p % 5 = 1 THEN 'JO OTHER' ELSE first_name || ' ' || noun END AS c_subject,
    CASE WHEN slab_key_p % 5 = 2 THEN 'GOLD' WHEN tint IN ('RED', 'BLUE') THEN tint END AS c_parallel,
-   p_type || CASE WHEN tint NOT IN ('RED', 'BLUE') AND tint <> p_type THEN ' ' || tint ELSE '' END || CASE WHEN nba THEN ' NBA' ELSE '' END AS c_set
-   FROM parts WHERE numbered AND m < 4),
+   ['', '', '', '', 'FINEST ', 'ACME '][m + 1] || p_type || CASE WHEN tint NOT IN ('RED', 'BLUE') AND tint <> p_type THEN ' ' || tint ELSE '' END || CASE WHEN nba THEN ' NBA' ELSE '' END AS c_set
+   FROM parts),
 comps AS (SELECT i.*, c.*, quantity = 13 AS lot FROM identity i JOIN cands c ON c.p = i.slab_key WHERE status = 'F'),
 matched AS (SELECT *, CASE
    WHEN lot THEN 'disqualified' WHEN seller % 13 = 3 THEN 'rival_grader' WHEN grade_type IS NULL THEN 'ungraded'
    WHEN grade_type = 'AUTHENTIC' THEN 'grade_type' WHEN grade_value <> '9' THEN 'grade' WHEN grade_qualifier IS NOT NULL THEN 'qualifier'
    WHEN auto_grade IS NOT NULL THEN 'autograph_grade' WHEN is_auto = 1 THEN 'autograph_status' WHEN c_year <> year THEN 'year'
-   WHEN c_number <> card_number THEN 'card_number' WHEN print_run IS NOT NULL THEN 'print_run' WHEN c_subject = 'JO OTHER' THEN 'subject'
+   WHEN c_number IS DISTINCT FROM card_number THEN 'card_number' WHEN print_run IS NOT NULL THEN 'print_run' WHEN c_subject = 'JO OTHER' THEN 'subject'
    WHEN p % 5 = 2 AND parallel IS NOT NULL THEN 'extra_parallel' WHEN p % 5 = 2 THEN 'missing_parallel' END AS code FROM comps),
 reasoned AS (SELECT *, CASE code WHEN 'disqualified' THEN 'lot or multi-card listing' WHEN 'rival_grader' THEN 'graded by BGS, not PSA'
    WHEN 'ungraded' THEN 'raw/ungraded - no PSA grade in title' WHEN 'grade_type' THEN 'grade type AUTHENTIC != NUMERIC'
    WHEN 'grade' THEN 'PSA grade ' || grade_value || ' != 9' WHEN 'qualifier' THEN 'qualifier ' || grade_qualifier || ' != None'
    WHEN 'autograph_grade' THEN 'autograph grade ' || auto_grade || ' != None'
    WHEN 'autograph_status' THEN 'autograph status differs (comp=True, candidate=False)'
-   WHEN 'year' THEN 'year ' || year || ' != ' || c_year WHEN 'card_number' THEN 'card number ' || card_number || ' != ' || c_number
+   WHEN 'year' THEN 'year ' || year || ' != ' || c_year WHEN 'card_number' THEN 'card number ' || coalesce(card_number, 'None') || ' != ' || c_number
    WHEN 'print_run' THEN 'print run ' || print_run || ' != None' WHEN 'subject' THEN 'subject ' || athlete || ' != JO OTHER'
    WHEN 'extra_parallel' THEN 'parallel/set differs - comp is [''' || parallel || '''], candidate is not'
    WHEN 'missing_parallel' THEN 'parallel/set differs - comp never states [''GOLD'']' END AS why FROM matched),
 gated AS (SELECT *, CASE WHEN quantity = 17 THEN 'zero' WHEN line >= 5 OR line <= 2 THEN 'sale' WHEN line = 3 THEN 'active' ELSE 'cut' END AS gate,
    seller % 19 = 0 AS self, line = 5 AND quantity % 4 = 0 AS offer FROM reasoned),
 decided AS (SELECT *, CASE WHEN offer THEN 'review_required' WHEN gate IN ('zero', 'active') THEN 'rejected' WHEN gate = 'cut' OR self THEN 'review_required'
-     WHEN code IS NULL THEN 'accepted' WHEN code = 'missing_parallel' THEN 'review_required' ELSE 'rejected' END AS state,
+     WHEN code IS NULL THEN 'accepted' WHEN code = 'missing_parallel' THEN 'review_required'
+     WHEN code = 'card_number' AND card_number IS NULL AND NOT (p % 5 = 2 AND parallel IS NOT NULL) THEN 'review_required' ELSE 'rejected' END AS state,
    CASE WHEN offer THEN 'best offer with no reliable accepted price - the displayed amount is an asking or strike-through price, not the transaction total'
      WHEN gate = 'zero' THEN CASE WHEN self THEN 'same_listing_duplicate' ELSE 'not_a_sale' END || ' - quantity_sold is zero'
      WHEN gate = 'active' THEN CASE WHEN self THEN 'same_listing_duplicate' ELSE 'not_a_sale' END || ' - active-listing layout; missing Exclude listing and sale format'
      WHEN gate = 'cut' THEN CASE WHEN self THEN 'cancelled_or_relisted_sale' ELSE 'uncertain' END || ' - row truncated by pagination; structure cannot be established'
      WHEN self THEN 'cancelled_or_relisted_sale - same eBay listing as the candidate (item ' || (1000000 + p) || '); the card is listed again, so completion is unproven'
-     WHEN code = 'missing_parallel' THEN why || ' (field absent from title, not a conflict)' ELSE why END AS reason FROM gated)"""
+     WHEN code = 'card_number' AND card_number IS NULL AND p % 5 = 2 AND parallel IS NOT NULL
+       THEN 'parallel/set differs - comp is [''' || parallel || '''], candidate is not'
+     WHEN code = 'missing_parallel' OR (code = 'card_number' AND card_number IS NULL) THEN why || ' (field absent from title, not a conflict)' ELSE why END AS reason FROM gated)"""
 
 # Classification repairs "#2/199" into "2/199" first, after which "AUTO 2/199" reads as an autograph grade.
 _REPAIRED = "CASE WHEN line = 2 AND seller % 7 IN (0, 2) AND quantity <= 10 THEN CAST(quantity AS VARCHAR) {other} END AS auto_grade"
@@ -57,12 +60,11 @@ NINES_SQL = CANDIDATES_SQL.replace(
 def candidates(spark, sf):
     p, tint = F.col("p_partkey"), F.upper(F.substring_index("p_name", " ", 1))
     colour = F.when(tint.isin("RED", "BLUE"), tint)
-    part = B.table(spark, sf, "part").where((p % 11 != 0) & (p % 6 < 4))
-    return part.select(
+    return B.table(spark, sf, "part").select(
         F.concat(F.lit("v1|"), (p + 1000000).cast("string"), F.lit("|0")).alias("item_id"), p.alias("slab_key"),
         (F.col("p_size") + 1960 + (p % 5 == 3).cast("int")).alias("year"),
-        F.get(F.array(*[F.lit(m) for m in ("TOPPS", "PANINI", "UPPER DECK", "FLEER")]), (p % 6).cast("int")).alias("manufacturer"),
-        F.concat_ws(" ", "p_type", F.when(colour.isNull() & (tint != F.col("p_type")), tint), F.when(p % 19 == 0, "NBA")).alias("set"),
+        F.get(F.array(*[F.lit(m) for m in ("TOPPS", "PANINI", "UPPER DECK", "FLEER", "TOPPS")]), (p % 6).cast("int")).alias("manufacturer"),
+        F.concat_ws(" ", F.when(p % 6 == 4, "FINEST").when(p % 6 == 5, "ACME"), "p_type", F.when(colour.isNull() & (tint != F.col("p_type")), tint), F.when(p % 19 == 0, "NBA")).alias("set"),
         F.when(p % 5 == 1, "JO OTHER").otherwise(F.concat_ws(
             " ", F.when(p % 17 == 0, "JOSE").otherwise("SAM"), F.upper(F.substring_index("p_name", " ", -1)))).alias("subject"),
         F.when(p % 5 == 4, F.concat(F.lit("X"), p.cast("string"))).otherwise(p.cast("string")).alias("card_number"),
@@ -72,7 +74,7 @@ def candidates(spark, sf):
 
 
 def sold_titles(spark, sf):
-    df = B.titled_items(spark, sf, "status = 'F' AND slab_key % 11 <> 0 AND slab_key % 6 < 4")
+    df = B.titled_items(spark, sf, "status = 'F'")
     own = (F.col("slab_key") + 1000000).cast("string")
     line = F.col("line")
     offer = (line == 5) & (F.col("quantity") % 4 == 0)
@@ -170,7 +172,7 @@ def research_queries(spark, sf):
 
 @query("query_token_sources", f"""{CANDIDATES_SQL},
 t AS (SELECT source, count(*) AS terms FROM (SELECT unnest(['candidate.year', 'candidate.card_number', 'candidate.psa_grade', 'candidate.psa_grade']) AS source FROM cands
-   UNION ALL SELECT 'candidate.subject' FROM cands, range(2) UNION ALL SELECT 'candidate.manufacturer' FROM cands, range(2) t(i) WHERE i = 0 OR c_maker = 'UPPER DECK'
+   UNION ALL SELECT 'candidate.subject' FROM cands, range(2) UNION ALL SELECT 'candidate.manufacturer' FROM cands, range(2) t(i) WHERE c_maker = 'UPPER DECK' OR (i = 0 AND c_maker IS NOT NULL)
    UNION ALL SELECT 'candidate.parallel' FROM cands WHERE c_parallel IS NOT NULL
    UNION ALL SELECT 'candidate.set' FROM (SELECT unnest(string_split(c_set, ' ')) FROM cands)) GROUP BY 1)
 SELECT * FROM t""")
