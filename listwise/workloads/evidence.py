@@ -47,8 +47,8 @@ decided AS (SELECT *, CASE WHEN offer THEN 'review_required' WHEN gate IN ('zero
        THEN 'parallel/set differs - comp is [''' || parallel || '''], candidate is not'
      WHEN code = 'missing_parallel' OR (code = 'card_number' AND card_number IS NULL) THEN why || ' (field absent from title, not a conflict)' ELSE why END AS reason FROM gated)"""
 
-# Classification repairs "#2/199" into "2/199" first, after which "AUTO 2/199" reads as an autograph grade.
-_REPAIRED = "CASE WHEN line = 2 AND seller % 7 IN (0, 2) AND quantity <= 10 THEN CAST(quantity AS VARCHAR) {other} END AS auto_grade"
+# Classification repairs a second "#", as in "#2/199", into "2/199" first, after which "AUTO 2/199" reads as an autograph grade.
+_REPAIRED = "CASE WHEN line = 2 AND (seller % 7 = 0 OR (seller % 7 = 2 AND numbered)) AND quantity <= 10 THEN CAST(quantity AS VARCHAR) {other} END AS auto_grade"
 CLASSIFIED_SQL = CANDIDATES_SQL.replace(
     "SELECT i.*, c.*", f"SELECT i.* REPLACE ({_REPAIRED.format(other='ELSE auto_grade')}), c.*")
 # The same sales with every numeric grade read as a plain nine.
