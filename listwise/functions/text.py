@@ -372,6 +372,12 @@ def _numbered_characters(c: Column) -> Column:
     return F.when(c.contains("&#"), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
 
 
+def date_range(html: Column) -> Column:
+    """The date range a page shows as selected: a stated span first, then a pair of dates; else unknown."""
+    text = F.regexp_replace(F.coalesce(html, F.lit("")), r"\s+", " ")
+    return F.coalesce(*[F.nullif(F.regexp_extract(text, "(?i)" + pattern, 0), F.lit("")) for pattern in V.DATE_RANGES], F.lit("unknown"))
+
+
 def page_title(html: Column) -> Column:
     return F.lower(F.trim(unescape(F.regexp_extract(
         F.coalesce(html, F.lit("")), r"(?is)<title[^>]*>(.*?)</title\s*>", 1))))

@@ -281,6 +281,28 @@ def unique_sale_key(df: DataFrame) -> Column:
                                                F.col("shipping"), F.col("sale_date")))
 
 
+def import_ledger(rows: DataFrame, candidates: DataFrame, stored: DataFrame, order: str = "item_id") -> DataFrame:
+    """Prepared rows as one import: every row with its candidate, its sale key and what became of it.
+
+    ``added`` rows are new by (candidate, source, sale key), the first in ``order`` of their
+    batch; the others of that key, and keys already ``stored``, are ``duplicate``. A row
+    whose title no single candidate accepts is ``unattributed`` and kept with the reason.
+    """
+    c, keys = F.col, ["candidate_item_id", "source", "sale_key"]
+    df = attribute(shape_sold_rows(rows), candidates).withColumn("sale_key", unique_sale_key(rows))
+    known = stored.select(*keys, F.lit(True).alias("__stored")).distinct()
+    first = df.where(c("candidate_item_id").isNotNull()).groupBy(*keys).agg(F.min(order).alias("__first"))
+    df = df.join(known, keys, "left").join(first, keys, "left")
+    status = (F.when(c("candidate_item_id").isNull(), "unattributed").when(c("__stored"), "duplicate")
+              .when(c(order) == c("__first"), "added").otherwise("duplicate"))
+    return df.withColumn("status", status).drop("__stored", "__first")
+
+
+def uncertain_evidence(classified: DataFrame) -> DataFrame:
+    """Rows to value a second time: sales of the candidate's own, relisted item."""
+    return classified.where((F.col("state") == "review_required") & (F.col("reason_code") == "same_item"))
+
+
 def missing_evidence_relabel(rows: DataFrame) -> DataFrame:
     """Old rejections for absent evidence become REVIEW_REQUIRED; they stay out of valuation."""
     absent = F.coalesce((F.col("accepted") == 0) & F.col("rejection_reason").rlike(V.MISSING_EVIDENCE_TEXT), F.lit(False))
@@ -367,7 +389,7 @@ def research_queries(candidates: DataFrame) -> DataFrame:
                         F.when(auto | c("auto_grade").isNotNull(), "autograph_status"),
                         F.when(c("qualifier").isNotNull(), "qualifier"))
     return df.withColumns({"sendable": c("violations") == "", "fields_that_must_match": must,
-                           "fields_that_must_not_be_relaxed": never, "query_tier": F.lit("STRICT")})
+                           "fields_that_must_not_be_relaxed": never, "relaxed_allowed": relaxed_allowed(), "query_tier": F.lit("STRICT")})
 
 
 def query_token_sources(queries: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def own_dir(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return os.path.join(shared_dir(spark), f"run-{uuid.uuid4().hex}")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local one."""
     spark = df.sparkSession

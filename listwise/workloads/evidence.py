@@ -164,10 +164,10 @@ def import_sold(spark, sf):
 q AS (SELECT cid, p, concat_ws(' ', c_year, c_subject, c_maker, c_set, '#' || c_number, c_parallel, 'PSA', '9') AS raw, c_parallel FROM cands)
 SELECT cid AS item_id, array_to_string(list_filter(string_split(raw, ' '), lambda x, i: list_position(string_split(raw, ' '), x) = i), ' ') AS search_query,
   '' AS violations, 'subject|year|card_number|psa_grade|parallel|autograph_status' AS fields_that_must_match,
-  'card_number|psa_grade' || CASE WHEN c_parallel IS NOT NULL THEN '|parallel' ELSE '' END AS fields_that_must_not_be_relaxed FROM q""")
+  'card_number|psa_grade' || CASE WHEN c_parallel IS NOT NULL THEN '|parallel' ELSE '' END AS fields_that_must_not_be_relaxed, c_parallel IS NULL AS relaxed_allowed FROM q""")
 def research_queries(spark, sf):
     return E.research_queries(candidates(spark, sf)).select("item_id", "search_query", "violations", "fields_that_must_match",
-                                                           "fields_that_must_not_be_relaxed")
+                                                           "fields_that_must_not_be_relaxed", "relaxed_allowed")
 
 
 @query("query_token_sources", f"""{CANDIDATES_SQL},
@@ -194,3 +194,30 @@ def pending_work(spark, sf):
     runs = cands.select(F.col("item_id").alias("candidate_id"), F.when(F.col("slab_key") % 3 == 0, "completed")
                         .when(F.col("slab_key") % 3 == 1, "failed").otherwise("running").alias("status"))
     return E.pending_work(cands, runs, ("completed", "no_results", "failed"), retry_failed=True).select("item_id")
+
+
+@query("uncertain_evidence", f"""{CLASSIFIED_SQL}
+SELECT item_id, cid AS candidate_item_id FROM decided WHERE state = 'review_required' AND self AND NOT offer AND gate = 'sale'""")
+def uncertain_evidence(spark, sf):
+    return E.uncertain_evidence(classified(spark, sf)).select("item_id", "candidate_item_id")
+
+
+# Line 6 is imported twice, line 7 is stored already.
+@query("import_ledger", f"""{CANDIDATES_SQL},
+near AS (SELECT m.item_id, count(o.cid) AS n, min(o.cid) AS id FROM matched m LEFT JOIN cands o ON o.c_year = m.year AND o.c_number = m.card_number
+   AND (contains(replace(m.athlete, ' ', ''), replace(o.c_subject, ' ', '')) OR contains(replace(o.c_subject, ' ', ''), replace(m.athlete, ' ', '')))
+   GROUP BY m.item_id),
+a AS (SELECT item_id, line, CASE WHEN code IS NULL THEN cid WHEN n = 1 THEN id END AS candidate_item_id FROM matched JOIN near USING (item_id)),
+batch AS (SELECT *, item_id AS row_id FROM a UNION ALL SELECT *, item_id || '-again' FROM a WHERE line = 6)
+SELECT row_id, candidate_item_id, CASE WHEN candidate_item_id IS NULL THEN 'unattributed' WHEN line = 7 OR row_id <> item_id THEN 'duplicate' ELSE 'added' END AS status,
+  CASE WHEN candidate_item_id IS NULL THEN 'row matches no pilot candidate' END AS attribution_error FROM batch""")
+def import_ledger(spark, sf):
+    sold = sold_titles(spark, sf).select(
+        "line", F.col("item_id").alias("row_id"), F.col("item_id").alias("source_item_id"), "raw_title", F.lit("export").alias("source"),
+        F.col("sold_price").cast("string").alias("sold_price"), F.lit("").alias("shipping"), F.lit("USD").alias("currency"),
+        F.date_format("sale_date", "M/d/yyyy").alias("sale_date"))
+    again = sold.where("line = 6").withColumn("row_id", F.concat("row_id", F.lit("-again")))
+    stored = E.attribute(sold.where("line = 7"), candidates(spark, sf)).select(
+        "candidate_item_id", "source", F.col("source_item_id").alias("sale_key"))
+    return E.import_ledger(sold.unionByName(again), candidates(spark, sf), stored, "row_id").select(
+        "row_id", "candidate_item_id", "status", "attribution_error")

@@ -8,6 +8,7 @@ from listwise.functions import keys as K
 from listwise.functions import values as N
 from listwise.operators import selection as X
 from listwise.operators import sequences as Q
+from listwise.session import own_dir
 from listwise.sources import listings as S
 from listwise.workloads import base as B
 from listwise.workloads.registry import query
@@ -68,6 +69,22 @@ def payload_flatten(spark, sf):
     return listing_rows(spark, sf).select(*_FLAT, "bid_count", "seller_feedback_score")
 
 
+@query("payload_files", f"WITH {PAYLOADS_SQL} SELECT {', '.join(_FLAT)} FROM listing")
+def payload_files(spark, sf):
+    """The same payloads as files of one JSON object a line, read with a stated schema."""
+    path = own_dir(spark)
+    payload_text(spark, sf).select("raw").write.text(path)
+    read = S.read_payloads(spark, path)
+    return S.flatten_listings(read, F.lit("2024-01-01").cast("timestamp")).select(*_FLAT)
+
+
+@query("iso_dates", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders")
+def iso_dates(spark, sf):
+    """Dates out of the first ten characters of an instant; every seventh is no date."""
+    text = F.when(F.col("o_orderkey") % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("2024-13-45T00:00:00Z")
+    return B.table(spark, sf, "orders").select("o_orderkey", N.iso_date(text).alias("day"))
+
+
 @query("currency_proof", f"WITH {PAYLOADS_SQL} SELECT usd_proven, sale_format, shipping_state, count(*) AS listings FROM listing GROUP BY ALL")
 def currency_proof(spark, sf):
     return listing_rows(spark, sf).groupBy("usd_proven", "sale_format", "shipping_state").agg(F.count(F.lit(1)).alias("listings"))
