@@ -83,7 +83,17 @@ def op3(spark, sf):
     return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT b, root FROM reach JOIN links ON a = reach.doc_id),
+top AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM top LEFT JOIN n USING (doc_id)""")
 def op7(spark, sf):
     """Components of near-duplicates over all documents."""
     return neardup.near_duplicates(table(spark, sf, "documents"))
@@ -103,7 +113,23 @@ def op5(spark, sf):
     return scoring.score_texts(table(spark, sf, "documents"))
 
 
-@query("op2_line_dedup")
+@query("op2_line_dedup", """
+WITH x AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
+k AS (SELECT *, list_filter(regexp_split_to_array(regexp_replace(line, '\\S*[0-9]\\S*', '<*>', 'g'), '\\s+'), lambda t: t <> '') AS tok FROM x),
+dl AS (SELECT tok, doc_id, min(no) AS no FROM k WHERE len(tok) > 0 GROUP BY tok, doc_id),
+pl AS (SELECT tok, len(tok) AS size, tok[1:4] AS head, count(*) AS n FROM dl GROUP BY tok),
+leaf AS (SELECT size, head FROM pl GROUP BY size, head HAVING sum(n) >= 5),
+spot AS (SELECT tok, size, head, n, unnest(tok) AS token, generate_subscripts(tok, 1) AS p FROM pl JOIN leaf USING (size, head)),
+rare AS (SELECT size, head, p, token, sum(n) < 5 AS rare FROM spot GROUP BY ALL),
+tm AS (SELECT tok, list(CASE WHEN rare THEN '<*>' ELSE token END ORDER BY p) AS t FROM spot JOIN rare USING (size, head, p, token)
+       GROUP BY tok HAVING sum(CAST(rare AS INTEGER)) <= 0.3::DOUBLE * count(*)),
+rc AS (SELECT t, min((doc_id, no)) AS first FROM dl JOIN tm USING (tok) GROUP BY t HAVING count(DISTINCT doc_id) >= 5),
+gone AS (SELECT doc_id, no FROM k JOIN tm USING (tok) JOIN rc USING (t) WHERE (doc_id, no) <> first),
+kept AS (SELECT k.doc_id, count(*) FILTER (len(tok) > 0) AS n_lines, count(gone.no) AS n_dropped,
+           string_agg(line, chr(10) ORDER BY k.no) FILTER (gone.no IS NULL) AS text FROM k LEFT JOIN gone ON gone.doc_id = k.doc_id AND gone.no = k.no GROUP BY k.doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN kept k USING (doc_id)""")
 def op2(spark, sf):
     """Every document without the lines of recurring templates."""
     return lines.dedup_lines(table(spark, sf, "documents"))
