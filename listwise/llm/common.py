@@ -42,17 +42,10 @@ def crc_mod(column, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
-class WordHashes(dict):
-    """64-bit hashes of words as bytes, remembered up to a bound."""
-
-    BOUND = 1_000_000
-
-    def __missing__(self, word):
-        import xxhash
-        if len(self) > self.BOUND:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def word_hashes(words, n: int) -> np.ndarray:
+    """64-bit hashes of ``n`` words given as bytes."""
+    import xxhash
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
 
 
 def mixed(h):

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from listwise.llm.common import WordHashes, mixed, written
+from listwise.llm.common import mixed, word_hashes, written
 
 COORDINATES = 64
 MATCHES = 28
@@ -33,8 +33,6 @@ _A = (np.random.default_rng(20).integers(1, 2 ** 63, COORDINATES, np.uint64) * n
 _SHIFTS = np.random.default_rng(21).integers(1, 2 ** 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_WORDS = WordHashes()
-
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of a UTF-8 text.
@@ -45,7 +43,7 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(words, len(words))
     n = max(1, len(h) - size + 1)
     out = np.full(n, min(len(h), size), np.uint64)
     for k in range(min(size, len(h))):

@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from listwise.llm.common import WordHashes, crc_mod, mixed, written
+from listwise.llm.common import crc_mod, mixed, word_hashes, written
 
-BUNDLE_BYTES = 12_000_000
+BUNDLE_BYTES = 8_000_000
 #: Characters of text for each slice of the key space, and so about the bytes one task adds up.
 SLICE_CHARS = 64_000_000
 TUNED_CLASS = 9
@@ -28,7 +28,6 @@ START, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC6A4A7935BD1E995)
 BUCKETS = 48
 #: Histogram cells by the natural logarithm of a ratio to the uniform estimate.
 CELLS, CELL = 128, 0.25
-_HASHES = WordHashes()
 
 
 def tokens_of(texts):
@@ -38,7 +37,7 @@ def tokens_of(texts):
     out = np.full(int(sizes.sum()), END, np.uint64)
     inner = np.ones(len(out), bool)
     inner[np.cumsum(sizes) - 1] = False
-    out[inner] = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(lists)), np.uint64, len(out) - len(sizes))
+    out[inner] = word_hashes(chain.from_iterable(lists), len(out) - len(sizes))
     return out, sizes
 
 
