@@ -1,16 +1,19 @@
-"""Benchmark decontamination by spaced seeds, as columns: only built-in functions.
+"""Benchmark decontamination by short runs of tokens, as columns: only built-in functions.
 
-A mask is a fixed pattern of token positions; the hash of the tokens under it does not see the
-positions between, so a substitution there does not hide an overlap. Hashes of all windows of the
-test items meet those of all windows of the documents, and around each hit the two token sequences
-are compared on its diagonal: an overlap counts when ``least`` of ``window`` aligned tokens agree.
+A window of ``width`` tokens of which ``miss`` may differ falls into ``miss + 1`` stretches of equal
+tokens, so one stretch has at least ``(width - miss) / (miss + 1)`` tokens: no pattern of
+substitutions that the threshold allows breaks every run of that length. Hashes of these runs of the
+test items meet those of the documents, and around each hit the two token sequences are compared on
+its diagonal: an overlap counts when ``least`` of ``window`` aligned tokens agree.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Each mask: the positions it reads. Both read five tokens in a span of seven.
-MASKS = ((0, 1, 3, 4, 6), (0, 2, 3, 5, 6))
-SPAN = 7
+#: The longest run that is looked up, as positions and length; widths that allow more misses in proportion take a shorter one.
+MASKS = ((0, 1, 2),)
+SPAN = 3
 WINDOW = 20
 LEAST = 0.75
 #: Up to so many seeds (about 50 bytes each) every task holds them all; beyond, both sides are shuffled.
@@ -22,47 +25,59 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
-def seeds(words: Column) -> Column:
-    """Hashes under each mask at every place where the span fits: those of one mask, then of the next."""
-    places = F.sequence(F.lit(0), F.greatest(F.size(words) - SPAN, F.lit(0)))
+def run_of(width: int, least: float = LEAST) -> int:
+    """Tokens of a run that every pattern of equal tokens has which ``least`` of ``width`` allows."""
+    equal = next((e for e in range(width + 1) if e >= least * width), width)
+    return max(1, min(SPAN, math.ceil(equal / (width - equal + 1))))
+
+
+def seeds(words: Column, runs: list[int]) -> Column:
+    """Hashes of the runs at every place: those of one length, then of the next; null where a run does not fit."""
+    places = F.sequence(F.lit(0), F.size(words) - 1)
 
-    def under(mask):
-        return F.transform(places, lambda i: F.xxhash64(*(F.get(words, i + p) for p in mask), F.lit(mask[1])))
+    def of(run):
+        return F.transform(places, lambda i: F.when(i + run <= F.size(words), F.xxhash64(*(F.get(words, i + p) for p in range(run)), F.lit(run))))
 
-    return F.when(F.size(words) >= SPAN, F.concat(*(under(m) for m in MASKS))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(words) > 0, F.concat(*(of(r) for r in runs))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _placed(df: DataFrame, *names: str) -> DataFrame:
-    """A row per seed with its place in the words; one without a seed where there is none.
+def _placed(df: DataFrame, runs: list[int], *names: str) -> DataFrame:
+    """A row per seed with its place in the words and its length; one without a seed where there is none.
 
     The outer form matters: for the inner one Spark infers a filter on the seeds and computes all of
     them, and the words once for every place, a second time below this step.
     """
-    return (df.withColumn("_seeds", seeds(F.col("words")))
-            .select(*names, "words", (F.size("words") - (SPAN - 1)).alias("_n"), F.posexplode_outer("_seeds").alias("_p", "seed"))
-            .withColumn("place", F.col("_p") % F.col("_n")).drop("_p", "_n"))
+    return (df.withColumn("_seeds", seeds(F.col("words"), runs))
+            .select(*names, "words", F.size("words").alias("_n"), F.posexplode_outer("_seeds").alias("_p", "seed"))
+            .withColumn("place", F.col("_p") % F.col("_n"))
+            .withColumn("run", F.get(F.array(*(F.lit(r) for r in runs)), F.floor(F.col("_p") / F.col("_n")).cast("int"))).drop("_p", "_n"))
 
 
 def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text",
              window: int = WINDOW, least: float = LEAST) -> DataFrame:
     """Rows (key, item key, n_equal, n_compared) for every document that overlaps a test item.
 
-    The row tells the best window of the pair. An item shorter than ``window`` must agree as a whole;
-    an item of fewer than seven tokens has no evidence and matches nothing, nor do null, empty and
-    shorter documents. Repeated rows and items of equal text are answered each by their keys; null
+    The row tells the best window of the pair. An item shorter than ``window`` must agree as a whole,
+    one of a few tokens too: up to three of them have to be equal. Items and documents without a token
+    match nothing. Repeated rows and items of equal text are answered each by their keys; null
     keys stay null. Columns other than keys and texts are not read.
     """
     bench = items.select(F.col(item_key).alias("item"), tokens(F.col(text).cast("string")).alias("words"))
     corpus = docs.select(F.col(key).alias("key"), tokens(F.col(text).cast("string")).alias("words"))
-    needles = _placed(bench, "item").select("seed", "item", F.col("place").alias("item_place"), F.col("words").alias("item_words")).where("seed IS NOT NULL").distinct()
+    # The lengths of runs in use: a row for each width of item, so at most ``window`` of them.
+    width = F.least(F.size("words"), F.lit(window))
+    runs = sorted({run_of(r.width, least) for r in bench.select(width.alias("width")).distinct().collect() if r.width}) or [SPAN]
+    wanted = F.get(F.array(*(F.lit(run_of(w, least)) for w in range(window + 1))), width)
+    needles = (_placed(bench, runs, "item").where((F.col("run") == wanted) & F.col("seed").isNotNull())
+               .select("seed", "item", F.col("place").alias("item_place"), "run", F.col("words").alias("item_words")).distinct())
     # Only the seeds are counted; where they are many, Spark shuffles by seed.
     small = needles.select("seed").count() <= BROADCAST_SEEDS
     needles = needles.select("seed", "item", "item_place", F.size("item_words").alias("item_size"),
-                             *_region_bounds("item_place", F.size("item_words"), window),
+                             *_region_bounds("item_place", F.col("run"), F.size("item_words"), window),
                              "item_words")
     needles = needles.select("seed", "item", "item_place", "low", "item_size",
                              F.slice("item_words", F.col("low") + 1, F.col("high") - F.col("low")).alias("item_part"))
-    hits = _placed(corpus, "key").join(F.broadcast(needles) if small else needles, "seed")
+    hits = _placed(corpus, runs, "key").drop("run").join(F.broadcast(needles) if small else needles, "seed")
     # The documents' words beside the part of the item, null where the document has ended or not begun.
     begin = F.col("place") - F.col("item_place") + F.col("low")
     hits = hits.select("key", "item", F.least(F.col("item_size"), F.lit(window)).alias("width"), "item_part",
@@ -78,9 +93,9 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: s
                       F.col("best.width").cast("long").alias("n_compared"))
 
 
-def _region_bounds(place: str, size: Column, window: int):
+def _region_bounds(place: str, run: Column, size: Column, window: int):
     """The part of an item that windows holding the seed at ``place`` can touch: low (inclusive), high."""
-    return (F.greatest(F.col(place) + SPAN - window, F.lit(0)).alias("low"), F.least(F.col(place) + window, size).alias("high"))
+    return (F.greatest(F.col(place) + run - window, F.lit(0)).alias("low"), F.least(F.col(place) + window, size).alias("high"))
 
 
 def without_overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:

@@ -54,3 +54,48 @@ def test_shuffled_way_and_filter(spark, monkeypatch):
     monkeypatch.setattr(dec, "BROADCAST_SEEDS", 0)
     assert [r.doc_id for r in dec.overlaps(docs, items).collect()] == [1]
     assert dec.overlaps(docs, items.limit(0)).count() == 0 and dec.overlaps(docs.limit(0), items).count() == 0
+
+
+def best_of_all(doc, item):
+    """Most equal tokens of an item's window on any diagonal, seed or none."""
+    d, t = tokens(doc), tokens(item)
+    width = min(len(t), dec.WINDOW)
+    most = 0
+    for shift in range(-len(t), len(d) + 1):
+        same = [0 <= j + shift < len(d) and d[j + shift] == w for j, w in enumerate(t)]
+        most = max([most, *(sum(same[s:s + width]) for s in range(len(t) - width + 1))])
+    return (most, width) if width and most >= dec.LEAST * width else None
+
+
+def test_every_pattern_has_a_run():
+    for width in range(1, dec.WINDOW + 1):
+        run, full = dec.run_of(width), (1 << width) - 1
+        for bits in range(1 << width):
+            if bits.bit_count() >= dec.LEAST * width:
+                left = bits
+                for _ in range(run - 1):
+                    left &= left >> 1
+                assert left, (width, f"{bits & full:b}")
+
+
+def test_against_all_diagonals_without_seeds(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    sizes = (1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 16, 20, 21, 45, 60)
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate(sizes)] + [(50, ""), (51, None), (52, "...")]
+    docs = []
+    for k, (i, text) in enumerate(items[:len(sizes)] * 6):
+        part = text.split()
+        width = min(len(part), dec.WINDOW)
+        if k < 2 * len(sizes):  # every 4th token is another
+            for j in range(1 + k // len(sizes), len(part), 4):
+                part[j] = "other"
+        else:  # as many others as the threshold allows, and one more
+            for j in rng.sample(range(len(part)), min(len(part), width // 4 + k % 2)):
+                part[j] = "other"
+        docs.append((k, " ".join([word() for _ in range(rng.randint(0, 8))] + part + [word() for _ in range(rng.randint(0, 8))])))
+    got = dec.overlaps(spark.createDataFrame(docs + [(200, None), (201, "")], "doc_id long, text string"),
+                       spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = {(d, i): b for d, text in docs for i, t in items if (b := best_of_all(text, t))}
+    assert {(r.doc_id, r.item_id): (r.n_equal, r.n_compared) for r in got} == want and len(got) == len(want)
+    assert {sizes[i] for _, i in want} == set(sizes)
