@@ -20,7 +20,16 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+#: What may follow the first four characters: groups of four, the last one shorter.
+_GROUPS = re.compile(r"(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?")
+_WORD_CHAR = re.compile(r"[A-Za-z0-9]")
+#: Characters of an IBAN by country; of other countries any length may be.
+IBAN_SIZE = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 "
+    "ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 "
+    "SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
 
 CONTEXT_CHARS = 40
 CONTEXT = {
@@ -30,7 +39,7 @@ CONTEXT = {
     "phone": ({"phone", "tel", "telephone", "call", "mobile", "fax"}, {"version", "sum", "score"}),
     "iban": ({"iban", "bank", "account", "transfer", "konto"}, {"serial", "part", "hash"}),
 }
-START = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8}
+START = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.7}
 _WORD = re.compile(r"[A-Za-z]+")
 
 
@@ -83,9 +92,24 @@ def _phones(text):
 
 
 def _ibans(text):
+    """Ends at the country's length, else the longest end at which the check holds; words that only look like further groups are left out.
+
+    An end lies where no letter or digit follows; groups are at most 34 characters, so each start has
+    a bounded number of ends. A start inside a span found before is part of it.
+    """
+    over = 0
     for m in _IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            yield m.span()
+        start = m.start()
+        if start < over or not (groups := _GROUPS.match(text, m.end())):
+            continue
+        size = IBAN_SIZE.get(text[start:start + 2])
+        for end in range(groups.end(), m.end() + 7, -1):
+            if text[end - 1] != " " and not _WORD_CHAR.match(text, end):
+                whole = text[start:end].replace(" ", "")
+                if size in (None, len(whole)) and mod97(whole):
+                    over = end
+                    yield start, end
+                    break
 
 
 FINDERS = (("email", "@", _emails), ("ip", ".", _ips), ("card", "", _cards), ("phone", "+", _phones), ("iban", "", _ibans))

@@ -41,6 +41,26 @@ def test_checks_and_context():
     assert pii.luhn("4242424242424242") and not pii.luhn("4242424242424241")
 
 
+def ibans(text):
+    return [text[s["start"]:s["end"]] for s in pii.spans_of(text) if s["kind"] == "iban"]
+
+
+def test_iban_before_other_tokens():
+    good = ["ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]
+    for iban in good:
+        for after in ("", ".", " BIC: X", " 12 items", " X", " AB12 CD34 EF56 GH78", " A1 and", " SWIFT", "\n12", " 1 2 3"):
+            assert ibans(f"IBAN {iban}{after}") == [iban], (iban, after)
+        assert ibans(f"{iban}x") == ibans(f"x{iban}") == ibans(iban + "7") == []
+    assert ibans(" ".join(good)) == good
+    assert ibans("ES92 2100 0418 4502 0005 1332 BIC: X") == []
+
+
+def test_context_rejects_an_added_span():
+    iban = "AT611904300234573201"
+    assert ibans(f"serial {iban}") == ibans(f"{iban} is a hash") == []
+    assert ibans(iban) == ibans(f"serial or bank account {iban}") == [iban]
+
+
 def test_long_runs_take_linear_time():
     pii.spans_of("a" * 300_000 + " " + "1" * 300_000 + " " + "+1" + "." * 300_000)
 
