@@ -10,9 +10,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words a language claims; a document without letters is rejected."""
+    """Documents that the model takes for a language it knows, and all with letters if there is none to learn from."""
     model = langid.learn(docs)
-    return langid.predict(docs, model, keep=COLUMNS).where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+    return langid.predict(docs, model, keep=COLUMNS, claimed=True).where("claimed").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ SLICE, LANES = 300_000, 2048
 SCALE_EVERY = 4
 #: Characters of a run of letters that are looked at; longer runs are no words.
 LONGEST_WORD = 64
+#: A text of so many words is claimed by a language only if its words are this certain of theirs on average.
+ENOUGH_WORDS, CERTAIN = 20, 0.75
 
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -285,6 +287,14 @@ class Tagger:
 
     def tag(self, word_lists):
         """(label, score) of each list of words; (``und``, 0) of an empty one."""
+        return [found[:2] for found in self.judged(word_lists)]
+
+    def judged(self, word_lists):
+        """(label, score, claimed) of each list of words.
+
+        Words of a known language are certain of theirs, also where a text switches languages; those
+        of none are torn between all. A text of a few words is no evidence against it.
+        """
         new = set().union(*word_lists).difference(self.at)
         if new and len(self.at) + len(new) > CACHE_WORDS:
             self.forget()
@@ -294,34 +304,41 @@ class Tagger:
             self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
             self.scores = np.concatenate([self.scores, self.model.emissions([shown(w) for w in new])])
         sizes = np.fromiter(map(len, word_lists), np.int64, len(word_lists))
-        out = [(UNKNOWN, 0.0)] * len(word_lists)
+        out = [(UNKNOWN, 0.0, False)] * len(word_lists)
         full = np.flatnonzero(sizes)
         if len(full):
             flat = np.fromiter(map(self.at.__getitem__, chain.from_iterable(word_lists)), np.int64, int(sizes.sum()))
             heads = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
             first = np.zeros(len(flat), bool)
             first[heads] = True
-            mass = np.add.reduceat(self.chain.posteriors(self.scores[flat], first), heads, axis=0) / sizes[full][:, None]
-            for i, best, row in zip(full.tolist(), mass.argmax(axis=1).tolist(), mass):
-                out[i] = (self.model.labels[best], min(1.0, float(row[best])))
+            by_word = self.chain.posteriors(self.scores[flat], first)
+            mass = np.add.reduceat(by_word, heads, axis=0) / sizes[full][:, None]
+            certain = np.add.reduceat(by_word.max(axis=1), heads) / sizes[full]
+            claimed = (certain >= CERTAIN) | (sizes[full] < ENOUGH_WORDS)
+            for i, best, row, ok in zip(full.tolist(), mass.argmax(axis=1).tolist(), mass, claimed.tolist()):
+                out[i] = (self.model.labels[best], min(1.0, float(row[best])), ok)
         return out
 
-    def texts(self, texts):
+    def texts(self, texts, judged: bool = False):
+        tag = self.judged if judged else self.tag
         held, size = [], 0
         for text in texts:
             words = raw_words(text)
             if held and size + len(words) > SLICE:
-                yield from self.tag(held)
+                yield from tag(held)
                 held, size = [], 0
             held.append(words)
             size += len(words)
         if held:
-            yield from self.tag(held)
+            yield from tag(held)
 
 
-def predict(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", keep: tuple = ()) -> DataFrame:
+def predict(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", keep: tuple = (), claimed: bool = False) -> DataFrame:
     """One row per input row: the key, ``keep`` columns, ``lang_pred`` and ``score`` (0 to 1).
 
+    With ``claimed`` also whether the model takes the text for one of a language it knows, which no
+    text without a letter is; without a model there is nothing against a text that has letters.
+
     ``lang_pred`` is ``und``, score 0, for null and empty texts, for texts without a letter, and for
     all if there is no model. Repeated rows are answered each; columns not named are not read.
     """
@@ -333,12 +350,14 @@ def predict(df: DataFrame, model: Model | None, key: str = "doc_id", text: str =
         tagger = Tagger(model) if model else None
         for batch in batches:
             texts = batch.column(len(names)).to_pylist()
-            found = list(tagger.texts(texts)) if tagger else [(UNKNOWN, 0.0)] * len(texts)
+            found = list(tagger.texts(texts, judged=True)) if tagger else [(UNKNOWN, 0.0, bool(raw_words(t))) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(names)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*inside, "lang_pred", "score"])
+                [*batch.columns[:len(names)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                 pa.array([f[2] for f in found], pa.bool_())],
+                names=[*inside, "lang_pred", "score", "claimed"])
 
     source = df.select(*(F.col(c).alias(i) for c, i in zip(names, inside)), F.col(text).cast("string").alias("text_in"))
-    schema = ", ".join([f"{i} {types[c]}" for c, i in zip(names, inside)] + ["lang_pred string", "score double"])
+    schema = ", ".join([f"{i} {types[c]}" for c, i in zip(names, inside)] + ["lang_pred string", "score double", "claimed boolean"])
     out = source.mapInArrow(run, schema)
-    return out.select(*(F.col(i).alias(c) for c, i in zip(names, inside)), "lang_pred", "score")
+    return out.select(*(F.col(i).alias(c) for c, i in zip(names, inside)), "lang_pred", "score",
+                      *(["claimed"] if claimed else []))

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as pipeline
 from pyspark.sql import functions as F
 
@@ -34,3 +36,15 @@ def test_run_over_documents(spark):
     for r in rows:
         whole[r.doc_id] = whole.get(r.doc_id, 0) + r.length
     assert all(whole[r.doc_id] == r.doc_tokens for r in rows)
+
+
+def test_language_id_decides(spark):
+    rng = random.Random(3)
+    junk = {k: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(300))
+            for k, letters in ((-1, "abcdefghijklmnopqrstuvwxyz"), (-2, "bcdfghjklmnpqrstvwxz"), (-3, "日本語天地人山川"))}
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*pipeline.COLUMNS)
+    extra = spark.createDataFrame([(k, t, None, "s", len(t)) for k, t in junk.items()], clean.schema)
+    kept = {r.doc_id for r in pipeline.language_id(spark, clean.unionByName(extra), SF).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in clean.where(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
+    unlabelled = extra.unionByName(spark.createDataFrame([(1, "some text", None, "s", 9), (2, "12 !!", None, "s", 5), (3, None, None, "s", None)], clean.schema))
+    assert {r.doc_id for r in pipeline.language_id(spark, unlabelled, SF).collect()} == {-1, -2, -3, 1}
