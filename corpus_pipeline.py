@@ -16,9 +16,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of recurring templates; a document left without a line goes."""
+    """Documents without the lines of recurring templates and without recurring passages; one left without a word goes."""
     out = lines.dedup_lines(docs, keep=COLUMNS)
-    return (out.where((F.col("n_dropped") == 0) | (F.col("n_dropped") < F.col("n_lines")))
+    out = (out.where((F.col("n_dropped") == 0) | (F.col("n_dropped") < F.col("n_lines")))
+           .withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS))
+    out = lines.dedup_passages(written(out, "without-lines"), keep=COLUMNS)
+    return (out.where((F.col("n_dropped") == 0) | F.col("text").rlike("\\S"))
             .withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS))
 
 

@@ -9,6 +9,10 @@ smallest document stays, all its others are dropped.
 Leaves are counted, never gathered: the tree is a key, positions are rows, and lines that share a
 template meet by its hash. Only lines of leaves that ``MIN_DOCS`` documents share are read a second
 time, one for each distinct line.
+
+A passage inside a line, or across lines that also hold a document's own words, is no line of the
+tree. ``dedup_passages`` finds it in sentences: stretches of whole sentences with ``PASSAGE`` tokens or
+more that ``MIN_DOCS`` documents share stay in the smallest document and are dropped from all others.
 """
 
 import re
@@ -21,6 +25,10 @@ from listwise.llm.common import written
 DEPTH = 4
 MIN_DOCS = 5
 VARIABLE = 0.3
+#: Tokens of a stretch of sentences that counts as a passage.
+PASSAGE = 25
+#: Where sentences end: after a line, and after a mark and a space. Java and Python read it alike.
+SENTENCE = "(?<=\n)|(?<=[.!?] )"
 ANY = "<*>"
 _DIGITS = re.compile(r"\S*[0-9]\S*")
 _HAS_DIGIT = re.compile(r"[0-9]")
@@ -120,3 +128,59 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tu
                       F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
                       F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
                           F.array_join(F.transform("_left", lambda i: F.get("_body", i)), "\n")).alias(text))
+
+
+def _stretches(docs: DataFrame, passage: int) -> DataFrame:
+    """(key, mark, first, last, stretch): from each sentence on, the fewest whole sentences of ``passage`` tokens."""
+    kind = docs.schema["key"].dataType.simpleString()
+    ends = re.compile(SENTENCE)
+
+    def run(batches):
+        for batch in batches:
+            rows, firsts, lasts, found = [], [], [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                units = [(n, tokens) for n, unit in enumerate(ends.split(text) if text else ()) if (tokens := masked(unit))]
+                until, size = 0, 0
+                for at, (number, tokens) in enumerate(units):
+                    while size < passage and until < len(units):
+                        size += len(units[until][1])
+                        until += 1
+                    if size < passage:
+                        break
+                    rows.append(i)
+                    firsts.append(number)
+                    lasts.append(units[until - 1][0])
+                    found.append(_hash(" ".join(t for _, unit in units[at:until] for t in unit)))
+                    size -= len(tokens)
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(firsts, pa.int32()),
+                                              pa.array(lasts, pa.int32()), pa.array(found, pa.int64())],
+                                             names=["key", "mark", "first", "last", "stretch"])
+
+    return docs.select("key", "mark", "text").mapInArrow(run, f"key {kind}, mark long, first int, last int, stretch long")
+
+
+def dedup_passages(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple = (), min_docs: int = MIN_DOCS,
+                   passage: int = PASSAGE) -> DataFrame:
+    """One row per input row: key, ``keep`` columns, n_dropped (sentences), and the text without recurring passages.
+
+    Keys, nulls and repeated rows are as in ``dedup_lines``. Line ends stay. A sentence is dropped only
+    if the same stretch stands in a smaller place, so one copy of it always stays.
+    """
+    names = list(dict.fromkeys(c for c in keep if c not in (key, text)))
+    docs = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text).cast("string")).alias("mark"), F.col(text).cast("string").alias("text"),
+                     *(F.col(c).alias(f"_{i}") for i, c in enumerate(names)))
+    stretches = written(_stretches(docs.where("key IS NOT NULL"), passage), "stretches")
+    place = F.struct("key", "mark", "first")
+    recurring = (stretches.groupBy("stretch", "key", "mark").agg(F.min("first").alias("first"))
+                 .groupBy("stretch").agg(F.count("*").alias("n"), F.min(place).alias("smallest"))
+                 .where(F.col("n") >= min_docs).select("stretch", "smallest"))
+    dropped = (stretches.join(recurring, "stretch").where(place != F.col("smallest"))
+               .select("key", "mark", F.explode(F.sequence("first", "last")).alias("unit"))
+               .distinct().groupBy("key", "mark").agg(F.collect_set("unit").alias("dropped")))
+    units = F.split("text", SENTENCE)
+    left = F.transform(units, lambda u, i: F.when(~F.array_contains("dropped", i), u).when(u.endswith("\n"), F.lit("\n")).otherwise(F.lit("")))
+    return docs.join(dropped, ["key", "mark"], "left").select(
+        F.col("key").alias(key), *(F.col(f"_{i}").alias(c) for i, c in enumerate(names)),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(left, "")).alias(text))

@@ -71,3 +71,19 @@ def test_odd_rows(spark):
     got = sorted((str(r.doc_id), r.n_lines, r.n_dropped) for r in ln.dedup_lines(df, keep=("doc_id",)).collect())
     assert got == sorted([("None", 0, 0)] * 3 + [("0", 2, 0)] + [(str(k), 2, 2) for k in (1, 2, 3, 3, 4, 5)] + [("3", 1, 0)])
     assert ln.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_passages_inside_lines(spark):
+    shared = "It was a long and quiet day by the sea. Nobody came to see the boats go out that morning. We sat there until the evening and then went home."
+    own = [f"This is what document {'abcdefghij'[k] * 4} has to say of itself." for k in range(8)]
+    rows = [(k, f"{own[k]} {shared} And {own[k]}\nThe end {'abcdefghij'[k]}") for k in range(6)]
+    rows += [(6, f"{own[6]} {shared.split('. ')[0]}. And more.\nlast"), (7, f"{own[7]} half {shared.replace('. ', '.' + chr(10), 1)} And so on"),
+             (None, shared), (9, None), (10, ""), (11, "A line of its own.")]
+    got = {r.doc_id: (r.n_dropped, r.text, r.x) for r in ln.dedup_passages(
+        spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, x int"), keep=("x",)).collect()}
+    want = {k: (0, t, 1) for k, t in rows}
+    for k in range(1, 6):
+        want[k] = (3, f"{own[k]} And {own[k]}\nThe end {'abcdefghij'[k]}", 1)
+    assert got == want
+    few = spark.createDataFrame(rows[:4], "doc_id long, text string")
+    assert {r.n_dropped for r in ln.dedup_passages(few).collect()} == {0}
