@@ -31,7 +31,7 @@ SCALE_EVERY = 4
 #: Characters of a run of letters that are looked at; longer runs are no words.
 LONGEST_WORD = 64
 #: A text of so many words is claimed by a language only if its words are this certain of theirs on average.
-ENOUGH_WORDS, CERTAIN = 20, 0.75
+ENOUGH_WORDS, CERTAIN = 30, 0.69
 
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
