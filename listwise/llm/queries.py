@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from listwise.llm import chat, decontaminate, fingerprints, langid, lines, neardup, packing, pii, scoring, warc
+from listwise.llm import chat, decontaminate, fingerprints, langid, lines, neardup, packing, pii, repair, scoring, warc
 from listwise.llm.common import crc_mod, own_dir, table
 
 QUERIES: dict = {}
@@ -154,3 +154,61 @@ def op4(spark, sf):
                           F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
                           F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
                           "record_type", F.col("refers_to").try_cast("long").alias("refers_to"))
+
+
+# One step of the repair: what a turn's edits cost from each state (struct: cost, edits, repaired turns), then insertions before it.
+def _edit(cost, letter, state, shown=None):
+    rest = f"{state}.o" if shown is None else f"{shown} || CASE WHEN {state}.o = '' THEN '' ELSE chr(10) || {state}.o END"
+    return f"{{'c': {state}.c + {cost}, 'a': '{letter}' || {state}.a, 'o': {rest}}}"
+
+
+def _choices(state, takes, keeps):
+    """Keep, re-role and delete from a state, as a list; ``keeps``: (initial, state after it)."""
+    role = {"w2": "user", "w3": "assistant"}[takes]
+    kept = "".join(f"WHEN initial = '{i}' THEN [{_edit('cut', 'K', after, 'line')}] " for i, after in keeps)
+    none = "list_filter([w0], lambda x: false)"
+    return (f"list_min([{_edit(4, 'D', state)}] || CASE WHEN gone THEN {none} ELSE [{_edit('3 + cut', 'R', takes, f"'{role}:' || text")}] "
+            f"|| CASE {kept}ELSE {none} END END)")
+
+
+def _insert(role, state):
+    return _edit(3, "I", state, f"'{role}:'")
+
+
+@query("op11_conversation_repair", f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crc AS (SELECT k, xor(4294967295, list_reduce(list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda h, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(h, b)), 4294967295)) % 20 AS d
+  FROM (SELECT DISTINCT k FROM src)),
+dm AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE d WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM src JOIN crc USING (k) WHERE d <> 0),
+ob AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dm),
+nb AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM ob),
+ft AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault FROM nb),
+rw AS (SELECT conv_id, i, text, role || ':' || text AS line, left(role, 1) AS initial, fault IN ('blank', 'duplicate') AS gone,
+    CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS cut FROM ft),
+dp(conv_id, i, w0, w1, w2, w3) AS (
+  SELECT conv_id, max(i) + 1, {{'c': 0, 'a': '', 'o': ''}}, {{'c': 6, 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:'}},
+    {{'c': 3, 'a': 'I', 'o': 'assistant:'}}, {{'c': 0, 'a': '', 'o': ''}} FROM rw GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, list_min([b0, {_insert('user', 'y2')}]), list_min([b1, {_insert('user', 'y2')}]), y2, y3 FROM (
+    SELECT *, list_min([b2, {_insert('assistant', 'b3')}]) AS y2, list_min([b3, {_insert('user', 'b2')}]) AS y3 FROM (
+      SELECT rw.conv_id, rw.i, {_choices("w0", "w2", (("s", "w1"), ("u", "w2")))} AS b0, {_choices("w1", "w2", (("u", "w2"),))} AS b1,
+        {_choices("w2", "w3", (("a", "w3"),))} AS b2, {_choices("w3", "w2", (("u", "w2"),))} AS b3
+      FROM dp JOIN rw ON rw.conv_id IS NOT DISTINCT FROM dp.conv_id AND rw.i = dp.i - 1))),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM ft GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w0.c, 0) AS BIGINT) AS cost,
+  coalesce(w0.a, '') AS audit, sha256(coalesce(w0.o, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM c.conv_id AND dp.i = 1""")
+def op11(spark, sf):
+    """Every conversation, damaged by a fixed rule, and the cheapest repair of it."""
+    return repair.repair_damaged(table(spark, sf, "conversations"))
