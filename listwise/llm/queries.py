@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from listwise.llm import chat, decontaminate, fingerprints, langid, lines, neardup, packing, pii, repair, scoring, warc
+from listwise.llm import chat, decontaminate, fingerprints, langid, lines, mixing, neardup, packing, pii, repair, scoring, warc
 from listwise.llm.common import crc_mod, own_dir, table
 
 QUERIES: dict = {}
@@ -212,3 +212,49 @@ LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM c.conv_id AND dp.i = 1""")
 def op11(spark, sf):
     """Every conversation, damaged by a fixed rule, and the cheapest repair of it."""
     return repair.repair_damaged(table(spark, sf, "conversations"))
+
+
+def _hash(z):
+    """``mixing.hashed`` as SQL."""
+    z = f"(({z}) % {mixing.PRIME})"
+    for m, shift in zip(mixing.MULTIPLIERS, (15, 13, 17)):
+        z = f"(({z} * {m} + 12345) % {mixing.PRIME})"
+        z = f"(xor({z}, {z} >> {shift}) % {mixing.PRIME})"
+    return z
+
+
+def _round_key(which):
+    return _hash(f"((rank * 8 + epoch) * {mixing.ROUNDS} + r) * 4 + {which} + {mixing.SEED * 65537}")
+
+
+@query("op12_source_mixing", f"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM s0),
+s2 AS (SELECT *, CAST([5, 2, 1][(rank - 1) % 3 + 1] AS DOUBLE) AS weight FROM s1),
+s3 AS (SELECT *, CAST(sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS rest,
+    sum(weight) OVER (ORDER BY source_size / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM s2),
+s4 AS (SELECT *, 3 * source_size / weight >= rest / share AS free FROM s3),
+lv AS (SELECT rest AS l, share AS sh FROM s4 WHERE free ORDER BY source_size / weight, rank LIMIT 1),
+s5 AS (SELECT rank, source, source_size, CASE WHEN free THEN l * weight / sh ELSE 3.0::DOUBLE * source_size END AS target,
+    CAST(ceil(source_size / {mixing.BLOCK}) AS BIGINT) AS blocks FROM s4, lv),
+s AS (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target * blocks / source_size + 0.5) AS BIGINT), 3 * blocks) ELSE 0 END AS quota FROM s5),
+ks AS (SELECT rank, epoch, list(({_round_key(0)} * {mixing.PRIME} + {_round_key(1)}) % blocks ORDER BY r) AS mirror,
+    list({_round_key(2)} % {mixing.PRIME - 1} + 1 ORDER BY r) AS by_, list({_round_key(3)} ORDER BY r) AS plus
+  FROM s, range(3) AS e(epoch), range({mixing.ROUNDS}) AS q(r) WHERE blocks > 0 GROUP BY rank, epoch),
+j AS (SELECT rank, blocks, unnest(range(quota)) AS j FROM s WHERE blocks > 0),
+b AS (SELECT rank, list_reduce(range({mixing.ROUNDS}), lambda x, r:
+      CASE WHEN ((greatest(x, (mirror[r + 1] - x + blocks) % blocks) % {mixing.PRIME} * by_[r + 1] + plus[r + 1]) % {mixing.PRIME}) >> 7 & 1 = 1
+      THEN (mirror[r + 1] - x + blocks) % blocks ELSE x END, j % blocks) AS block
+  FROM j JOIN ks USING (rank) WHERE epoch = j // blocks),
+times AS (SELECT rank, block, count(*) AS times FROM b GROUP BY ALL),
+p AS (SELECT doc_id, size, rank, row_number() OVER () AS id,
+    CAST(sum(size) OVER (PARTITION BY rank ORDER BY doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+c AS (SELECT *, unnest(range(start // {mixing.BLOCK}, (start + size - 1) // {mixing.BLOCK} + 1)) AS block FROM p WHERE size > 0),
+t AS (SELECT id, sum((least(start + size, (block + 1) * {mixing.BLOCK}) - greatest(start, block * {mixing.BLOCK})) * times) AS taken
+  FROM c JOIN times USING (rank, block) GROUP BY id)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM p JOIN s USING (rank) LEFT JOIN t USING (id)""")
+def op12(spark, sf):
+    """How often the mix to the target weights takes the words of every document."""
+    return mixing.taken(mixing.mix(table(spark, sf, "documents")))
