@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from listwise.llm import chat, decontaminate, fingerprints, langid, lines, mixing, neardup, packing, pii, repair, scoring, warc
+from listwise.llm import chat, decontaminate, fingerprints, langid, lines, mixing, neardup, packing, pii, repair, scoring, warc, whitening
 from listwise.llm.common import crc_mod, own_dir, table
 
 QUERIES: dict = {}
@@ -258,3 +258,9 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS
 def op12(spark, sf):
     """How often the mix to the target weights takes the words of every document."""
     return mixing.taken(mixing.mix(table(spark, sf, "documents")))
+
+
+@query("op13_embedding_whitening")
+def op13(spark, sf):
+    """The leading whitened coordinates of every embedding."""
+    return whitening.whiten(table(spark, sf, "embeddings"))
