@@ -92,9 +92,31 @@ def matches(c: Column, pattern: str) -> Column:
     return F.coalesce(c.rlike(pattern), F.lit(False))
 
 
+def phrase_trie(phrases) -> str:
+    """A pattern for any of the phrases, as a trie of their characters; where one begins another, the longer is tried first.
+
+    At a place in a text it looks at one branch of each letter, where a list of alternatives tries every phrase.
+    """
+    root: dict = {}
+    for phrase in phrases:
+        node = root
+        for ch in phrase:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def shown(node: dict) -> str:
+        branches = [(" " if ch == " " else re.escape(ch)) + shown(after) for ch, after in node.items() if ch]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 and "" not in node else "(?:" + "|".join(branches) + ")"
+        return body + "?" if "" in node else body
+
+    return shown(root)
+
+
 def phrase_regex(phrases) -> str:
-    """One alternation, earlier phrases preferred, bounded by word edges."""
-    return r"\b(" + "|".join(re.escape(p).replace(r"\ ", " ").replace(r"\-", "-") for p in phrases) + r")\b"
+    """Known phrases bounded by word edges, the longest at a place."""
+    return r"\b(" + phrase_trie(phrases) + r")\b"
 
 
 def dedupe_tokens(c: Column) -> Column:

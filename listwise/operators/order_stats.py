@@ -8,7 +8,9 @@ one key neither survives, so every group, large or small, goes one way:
   hot key over all tasks by its values;
 * a histogram per key, whose number of bins is fixed by the value range and not by the
   row count, gives the rows below each bin by a running sum;
-* only bins that hold a wanted rank are looked into, by a running sum per (key, bin).
+* only bins that hold a wanted rank are looked into, by a running sum per (key, bin);
+* where values may lie so close that a bin holds very many of them, ``cuts`` has dense bins cut by
+  their own range, and dense parts again, so that no running sum is over more than a bounded number.
 
 The result is exact: a bin only decides where to look, never what the value is. NaN is
 no value and counts like NULL.
@@ -24,6 +26,11 @@ from listwise.operators.joining import join_null_safe
 # bins per group each side of zero, whatever the number of rows.
 BINS_PER_EFOLD = 4096
 
+# Distinct values that one running sum takes where bins are cut, and parts of one cut. A bin holds at most 2 ** 41
+# doubles (but for the one around zero), so two cuts leave a few thousand of them, however they lie.
+DENSE = 100_000
+PARTS = 65_536
+
 RankOf = Callable[[Column], Column]
 
 
@@ -50,35 +57,59 @@ def _bin_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
     carried = [c for c in counts.columns if c.startswith("__x_")]
     hist = counts.groupBy(*keys, "__bin").agg(
         F.sum("__n").alias("__in"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-        *[F.max(c).alias(c) for c in carried])
+        F.count("__v").alias("__distinct"), *[F.max(c).alias(c) for c in carried])
     # Without keys the bins of the whole table meet in one task: a fixed number of rows.
     whole = Window.partitionBy(*keys)
     running = whole.orderBy("__bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hist.select(*keys, "__bin", "__in",
+    return hist.select(*keys, "__bin", "__in", "__distinct", F.col("__min").alias("__low"), F.col("__max").alias("__high"),
                        (F.sum("__in").over(running) - F.col("__in")).alias("__below"),
                        F.sum("__in").over(whole).alias("__total"),
                        F.min("__min").over(whole).alias("__min"), F.max("__max").over(whole).alias("__max"),
                        *[F.max(c).over(whole).alias(f"__w{c}") for c in carried])
 
 
-def _locate(counts: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+def _locate(counts: DataFrame, offsets: DataFrame, keys: list[str], cuts: int) -> DataFrame:
     """Rank range [start, end) of each value inside the kept bins."""
     values = counts.select(*keys, "__bin", "__v", "__n")
-    within = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.col("__below") + F.sum("__n").over(within)
-    return join_null_safe(values, offsets.drop("__in"), [*keys, "__bin"]).select(
-        "*", end.alias("__end"), (end - F.col("__n")).alias("__start"))
+    return _placed(join_null_safe(values, offsets.drop("__in"), [*keys, "__bin"]), [*keys, "__bin"], cuts)
+
+
+def _placed(rows: DataFrame, cell: list[str], cuts: int) -> DataFrame:
+    """Rank ranges of the values of each cell, a group of rows with the rows ``__below`` it, its ``__distinct`` values, ``__low`` and ``__high``.
+
+    With ``cuts``, cells of more than ``DENSE`` values are cut into parts of their own range, which are cells themselves. Without any,
+    adaptive execution finds their branch empty and leaves it out, but the input is planned several times over.
+    """
+    c = F.col
+    within = Window.partitionBy(*cell).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = c("__below") + F.sum("__n").over(within)
+    plain = rows.where(c("__distinct") <= DENSE) if cuts else rows
+    out = plain.withColumns({"__end": end, "__start": end - c("__n")}).drop("__distinct", "__low", "__high")
+    if not cuts:
+        return out
+    dense, part = rows.where(c("__distinct") > DENSE), f"__part{cuts}"
+    parts = F.least(F.lit(PARTS), F.ceil(c("__distinct") * 4 / DENSE))
+    low, high, value = (c(n).cast("double") for n in ("__low", "__high", "__v"))
+    dense = dense.withColumn(part, F.least(F.floor((value - low) / (high - low) * parts), parts - 1))
+    deeper = [*cell, part]
+    inner = dense.groupBy(*deeper).agg(F.sum("__n").alias("__in"), F.count("__v").alias("__distinct"), F.min("__v").alias("__low"),
+                                       F.max("__v").alias("__high"), F.max("__below").alias("__base"))
+    running = Window.partitionBy(*cell).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = inner.withColumn("__below", c("__base") + F.sum("__in").over(running) - c("__in")).drop("__base", "__in")
+    dense = join_null_safe(dense.drop("__below", "__distinct", "__low", "__high"), inner, deeper)
+    return out.unionByName(_placed(dense, deeper, cuts - 1).drop(part))
 
 
 def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str, RankOf],
                      total: str = "n", *, lowest: str | None = None, highest: str | None = None,
-                     newest: dict[str, str] | None = None) -> DataFrame:
+                     newest: dict[str, str] | None = None, cuts: int = 0) -> DataFrame:
     """One row per group: its row count and the value at each zero-based rank.
 
     ``ranks`` maps an output column to a function of the group's count of values; a rank
     outside the group yields NULL. ``lowest``, ``highest`` and ``newest`` (output name to
     source column, by maximum over all rows of the group) come along in the same pass.
-    Without keys the table is one group; an empty table has no group.
+    Without keys the table is one group; an empty table has no group. Two ``cuts`` are enough for
+    values of any density; they cost plan size, so they are for values known to lie close.
     """
     newest = newest or {}
     rows = df.select(*keys, stated(df, value).alias("__v"), *[F.col(source).alias(f"__x_{name}") for name, source in newest.items()])
@@ -98,7 +129,7 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str
     picks += [F.min("__min").alias(lowest)] if lowest else []
     picks += [F.max("__max").alias(highest)] if highest else []
     picks += [F.max(f"__w__x_{name}").alias(name) for name in newest]
-    out = _locate(counts, offsets.where(hit), keys).groupBy(*keys).agg(*picks)
+    out = _locate(counts, offsets.where(hit), keys, cuts).groupBy(*keys).agg(*picks)
     return out if keys else out.where(F.col(total).isNotNull())
 
 
@@ -165,13 +196,13 @@ def interpolated_quantiles(df: DataFrame, keys: list[str], value: str,
     return stats.select(*keys, total, *outs)
 
 
-def with_value_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank") -> DataFrame:
+def with_value_rank(df: DataFrame, keys: list[str], value: str, name: str = "rank", cuts: int = 0) -> DataFrame:
     """Each row with the competition rank (1 + rows below) of its value in its group.
 
     Without keys the whole table is one group, and there is no global sort. Rows without
     a value keep a NULL rank.
     """
     counts = _value_counts(df.select(*keys, stated(df, value).alias("__v")).where("__v IS NOT NULL"), keys)
-    ranks = _locate(counts, _bin_offsets(counts, keys), keys).select(
+    ranks = _locate(counts, _bin_offsets(counts, keys), keys, cuts).select(
         *keys, F.col("__v").alias(value), (F.col("__start") + 1).alias(name))
     return join_null_safe(df, ranks, [*keys, value], "left")

@@ -5,6 +5,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from listwise import fixed_values as V
+from listwise.session import settle
 
 
 def cap_per_key(df: DataFrame, key: str, limit: int, order: list[str]) -> DataFrame:
@@ -48,6 +49,42 @@ def stratified_shortlist(df: DataFrame, categories: dict[str, Column], quota: in
             .orderBy(F.desc("stage"), *order).limit(total))
 
 
+def greedy_shortlist(df: DataFrame, categories: dict[str, Column], quota: int, total: int, order: list[Column | str],
+                     group: str = "slab_key", item: str = "item_id", seed: DataFrame | None = None) -> DataFrame:
+    """A cover of the categories in rounds, one round per category as listed (rarest first), then the best of the rest.
+
+    In ``order``, a round takes rows of its category, one per group and none of a group already
+    chosen, until ``quota`` chosen rows belong to it; a row counts toward every category it is in,
+    whichever round took it. ``seed`` rows (with the same columns, groups distinct) are chosen from the start and count
+    as well. Ends at ``total`` rows; ``round`` names what took a row. Rows with a NULL group are one group.
+
+    What is chosen never exceeds ``total`` rows, which is the feature; a round reads the pool
+    once, reduces it to one row per group before it is ordered, and is checkpointed, as the next one builds on it.
+    """
+    tags = {f"__in_{i}": F.coalesce(test, F.lit(False)) for i, test in enumerate(categories.values())}
+    place = F.struct(*[c.alias(f"o{i}") if isinstance(c, Column) else F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                     F.col(item).alias("__tie"))
+    pool = df.withColumns({**tags, "__group": F.struct(F.col(group).alias("g")), "__place": place})
+    kept = [*df.columns, *tags, "__group", "__place"]
+    start = (seed if seed is not None else df.limit(0)).withColumns({**tags, "__group": F.struct(F.col(group).alias("g")), "__place": place})
+    chosen = settle(start.orderBy("__place").limit(total).select(*kept, F.lit("seed").alias("round")))
+    for name, tag in [*zip(categories, tags), (None, None)]:
+        wanted = total if tag is None else quota
+        rows = pool if tag is None else pool.where(F.col(tag))
+        rows = rows.join(chosen.select("__group"), "__group", "left_anti")
+        firsts = rows.groupBy("__group").agg(F.min_by(F.struct(*[c for c in kept if c != "__group"]), F.col("__place")).alias("__row"))
+        firsts = firsts.orderBy(F.col("__row.__place")).limit(wanted).select(*[c if c == "__group" else F.col(f"__row.{c}").alias(c) for c in kept])
+        both = firsts.withColumn("round", F.lit(name or "fill")).withColumn("__new", F.lit(True)).unionByName(chosen.withColumn("__new", F.lit(False)))
+        # At most ``total`` chosen rows and as many as the round may add meet in one window.
+        every = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        old = ~F.col("__new")
+        have = F.count_if(old & F.col(tag)).over(every) if tag else F.lit(0)
+        nth = F.row_number().over(Window.partitionBy("__new").orderBy("__place"))
+        fits = (nth <= wanted - have) & (nth <= total - F.count_if(old).over(every))
+        chosen = settle(both.withColumn("__fits", old | fits).where("__fits").select(*kept, "round"))
+    return chosen.select(*df.columns, "round")
+
+
 def bounded_selection(rows: DataFrame, known: DataFrame, researched: DataFrame, *, key: str, limit: int,
                       eligible_reason: Column, order: list[str], item: str = "item_id") -> DataFrame:
     """Every row with its outcome: ``selected`` or the first reason against it.

@@ -1,5 +1,8 @@
-"""The previous row of a key, for keys of any size."""
+"""The previous row of a key, for keys of any size, and neighbours in the order of a whole table."""
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -32,3 +35,36 @@ def state_changes(df: DataFrame, key: str, order: list[str], state: list[str], c
     for s in state:
         same = same & F.col(s).eqNullSafe(F.col(f"previous.{s}"))
     return out.where(F.col("previous").isNotNull() & ~same)
+
+
+def falls_in_order(df: DataFrame, order: str, value: str) -> DataFrame:
+    """One row (groups, steps_down): rows in ``order``, and how often ``value`` falls from one group to the next.
+
+    Rows equal in ``order`` are one group, which falls if its least value is below the greatest of the
+    group before. Both columns are numbers; rows without either are left out. Groups are counted out by partial
+    aggregation, dealt by range, and each range is read once in its own order; a range hands its last
+    group to the next one that has any, so neighbours meet without a rank or a sort in one task.
+    """
+    given = df.select(F.col(order).cast("double").alias("o"), F.col(value).cast("double").alias("v")).where(
+        "o IS NOT NULL AND v IS NOT NULL AND NOT isnan(o) AND NOT isnan(v)")
+    groups = given.groupBy("o").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+
+    def run(batches):
+        first = last = None
+        count = steps = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            low, high = (batch.column(i).to_numpy() for i in (1, 2))
+            first = low[0] if first is None else first
+            before = np.concatenate(([-np.inf if last is None else last], high[:-1]))
+            steps += int((before > low).sum())
+            count, last = count + len(low), high[-1]
+        if count:
+            row = [TaskContext.get().partitionId(), float(first), float(last), count, steps]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["part", "first", "last", "groups", "steps"])
+
+    ranges = groups.repartitionByRange("o").sortWithinPartitions("o").mapInArrow(run, "part long, first double, last double, groups long, steps long")
+    handed = ranges.withColumn("before", F.lag("last").over(Window.partitionBy(F.lit(0)).orderBy("part")))
+    return handed.agg(F.coalesce(F.sum("groups"), F.lit(0)).alias("groups"),
+                      F.coalesce(F.sum(F.col("steps") + F.coalesce((F.col("before") > F.col("first")).cast("long"), F.lit(0))), F.lit(0)).alias("steps_down"))

@@ -5,13 +5,50 @@ from pyspark.sql import Column, DataFrame, functions as F
 from listwise import fixed_values as V
 from listwise.functions import text as T
 from listwise.operators.order_stats import group_median
-from listwise.plans.evidence import classify_comps
+from listwise.plans.evidence import CANDIDATE_FIELDS, classify_comps
 from listwise.plans.valuation import benchmark, decision_columns
 
 
-def reclassified(stored: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Stored rows with the state today's rules give them. Returns a plan; writing is the caller's step."""
-    return classify_comps(stored, candidates)
+#: The version of the rules; a new one makes every stored decision stale.
+RULE_VERSION = "1"
+_DECIDED_BY = ("raw_title", "source_item_id", "raw_text", "sale_type", "sale_format", "quantity_sold", "best_offer", "actual_price_known",
+               "total_price", "sold_price", "displayed_original_price")
+
+
+def _fingerprint(df: DataFrame, columns) -> Column:
+    fields = [F.col(n).cast("string") if n in df.columns else F.lit(None).cast("string") for n in columns]
+    return F.sha2(F.to_json(F.struct(*[f.alias(f"f{i}") for i, f in enumerate(fields)]), {"ignoreNullFields": "false"}), 256)
+
+
+def with_digest(stored: DataFrame, candidates: DataFrame, version: str = RULE_VERSION, name: str = "digest") -> DataFrame:
+    """``stored`` with a digest of all that decides a row: its own inputs, its candidate's fields, and the rules' version.
+
+    NULL for a row whose candidate is gone.
+    """
+    cand = candidates.select(F.col("item_id").alias("__cid"), _fingerprint(candidates, [n for n in CANDIDATE_FIELDS]).alias("__cand"))
+    df = stored.withColumn("__own", _fingerprint(stored, _DECIDED_BY)).join(cand, F.col("candidate_item_id") == F.col("__cid"), "left")
+    digest = F.when(F.col("__cand").isNotNull(), F.sha2(F.concat_ws("|", F.lit(version), "__own", "__cand"), 256))
+    return df.withColumn(name, digest).drop("__cid", "__own", "__cand")
+
+
+def stale_rows(stored: DataFrame, candidates: DataFrame, version: str = RULE_VERSION) -> DataFrame:
+    """Stored rows (with ``digest``, ``state``, ``reason_code``, ``reason``) to decide again: those whose digest is no longer the stored one."""
+    now = with_digest(stored, candidates, version, "__now")
+    return now.where(F.col("__now").isNotNull() & ~F.col("__now").eqNullSafe(F.col("digest"))).withColumn("digest", F.col("__now")).drop("__now")
+
+
+def reclassified(stored: DataFrame, candidates: DataFrame, version: str = RULE_VERSION) -> DataFrame:
+    """Every stored row with the state that today's rules give it, and its new digest.
+
+    Only rows that moved - their inputs, their candidate or the rules - are read as titles; all others
+    keep their state as it is, and so do rows whose candidate is gone. A plan; writing it is the caller's step.
+    """
+    kept = [n for n in stored.columns if n not in ("state", "reason_code", "reason", "digest")]
+    decided = ["state", "reason_code", "reason", "digest"]
+    again = classify_comps(stale_rows(stored, candidates, version).drop("state", "reason_code", "reason"), candidates)
+    now = with_digest(stored, candidates, version, "__now")
+    same = now.where(F.col("__now").isNull() | F.col("__now").eqNullSafe(F.col("digest"))).drop("__now")
+    return same.select(*kept, *decided).unionByName(again.select(*kept, *decided))
 
 
 def reclassify_diff(before: DataFrame, after: DataFrame, row: str = "row_id") -> DataFrame:

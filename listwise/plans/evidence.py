@@ -8,7 +8,10 @@ from listwise import fixed_values as V
 from listwise.functions import keys as K
 from listwise.functions import text as T
 from listwise.functions import values as N
+from listwise.operators.containment import containing_pairs
+from listwise.operators.joining import join_null_safe
 from listwise.plans.identity import parse_titles
+from listwise.session import settle
 
 CANDIDATE_FIELDS = ("item_id", "year", "manufacturer", "set", "subject", "card_number", "parallel", "print_run",
                     "psa_grade", "grade_type", "qualifier", "is_auto", "auto_grade")
@@ -209,17 +212,36 @@ def classify_comps(comps: DataFrame, candidates: DataFrame) -> DataFrame:
     return df.drop(*[col for col in df.columns if col.startswith(("__", "c_"))])
 
 
+_TITLE_FIELDS = ("normalized", "athlete", "year", "manufacturer", "set_name", "parallel", "print_run", "card_number", "grade_type",
+                 "grade_value", "grade_qualifier", "is_auto", "auto_grade")
+
+
+def _classes(candidates: DataFrame) -> DataFrame:
+    """Candidates with the key of their class: those that agree in every field a match reads."""
+    fields = [F.col(n) for n in CANDIDATE_FIELDS if n != "item_id"]
+    return candidates.withColumn("__class", F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256))
+
+
 def attribute(rows: DataFrame, candidates: DataFrame, title: str = "raw_title") -> DataFrame:
     """Which candidate each title belongs to: exactly one must accept it.
 
-    Distinct titles are matched once, however often they were sold, and meet only the
-    candidates that agree on the eight fields the match requires to be equal (NULL equals
-    NULL). Without an accepting candidate, the card ignoring grade and variety decides,
-    again only when exactly one fits; there both sides are first reduced to their distinct
-    subjects. Ambiguity is recorded, never resolved.
+    Distinct titles are parsed and matched once, however often they were sold, and meet only
+    the classes of candidates that agree on the eight fields the match requires to be equal
+    (NULL equals NULL); candidates alike in every field are one class. Without an accepting
+    candidate, the card ignoring grade and variety decides, again only when exactly one fits:
+    subjects meet through an index of their pieces, a missing subject fits every other of its
+    year and number, which is a count. Ambiguity is recorded, never resolved:
+    ``ambiguous`` lists the accepting classes, each by its smallest item and its number of
+    candidates; ``ambiguous_candidates`` has their members as rows.
     """
     c = F.col
     titles = parse_titles(rows.select(F.col(title).alias("__t")).distinct(), "__t", "p_")
+    # Four joins below read the parsed titles; they are parsed once.
+    left = settle(titles.select("__t", *[f"p_{n}" for n in _TITLE_FIELDS]))
+    keyed = _classes(candidates)
+    sizes = keyed.groupBy("__class").agg(F.count(F.lit(1)).alias("copies"), F.min("item_id").alias("first"))
+    fields = keyed.groupBy("__class").agg(*[F.first(n).alias(n) for n in CANDIDATE_FIELDS if n != "item_id"])
+    right = prefixed(fields.withColumn("item_id", c("__class")))
     block = {
         "year": (c("p_year"), c("c_year")), "number": (T.norm(c("p_card_number")), T.norm(c("c_card_number"))),
         "type": (c("p_grade_type"), c("c_grade_type")), "grade": (T.norm(c("p_grade_value")), T.norm(c("c_psa_grade"))),
@@ -228,31 +250,50 @@ def attribute(rows: DataFrame, candidates: DataFrame, title: str = "raw_title")
         "auto": (_flag(c("p_is_auto")), _flag(c("c_is_auto"))),
         "run": (F.nullif(c("p_print_run"), F.lit(0)), F.nullif(c("c_print_run").cast("int"), F.lit(0))),
     }
-    left = titles.withColumns({f"__l_{n}": a for n, (a, _) in block.items()})
-    right = prefixed(candidates).withColumns({f"__r_{n}": b for n, (_, b) in block.items()})
+    left = left.withColumns({f"__l_{n}": a for n, (a, _) in block.items()})
+    right = right.withColumns({f"__r_{n}": b for n, (_, b) in block.items()})
     on = reduce(lambda a, b: a & b, [c(f"__l_{n}").eqNullSafe(c(f"__r_{n}")) for n in block])
     graded = left.where(c("p_grade_type").isNotNull())
-    accepted = (with_match(graded.join(right, on)).where(c("match_code").isNull())
-                .groupBy("__t").agg(F.count(F.lit(1)).alias("hits"), F.min("c_item_id").alias("hit")))
+    accepted = (with_match(graded.join(right, on)).where(c("match_code").isNull()).select("__t", c("c_item_id").alias("__class"))
+                .join(sizes, "__class").groupBy("__t").agg(
+                    F.sum("copies").alias("hits"), F.min("first").alias("hit"),
+                    F.sort_array(F.collect_list(F.struct(c("first").alias("item_id"), "copies"))).alias("classes")))
+
     # Same card, ignoring grade and variety.
-    subjects = right.groupBy("__r_year", "__r_number", T.norm(c("c_subject")).alias("__r_subject")).agg(
-        F.count(F.lit(1)).alias("near_n"), F.min("c_item_id").alias("near_id"))
-    names = left.select("__l_year", "__l_number", T.norm(c("p_athlete")).alias("__l_subject")).distinct()
-    a, b = c("__l_subject"), c("__r_subject")
-    fits = a.isNull() | b.isNull() | a.contains(b) | b.contains(a)
-    near = (names.join(subjects, c("__l_year").eqNullSafe(c("__r_year")) & c("__l_number").eqNullSafe(c("__r_number")) & fits)
-            .groupBy("__l_year", "__l_number", "__l_subject").agg(F.sum("near_n").alias("near_n"), F.min("near_id").alias("near_id")))
-    keyed = left.select("__t", "__l_year", "__l_number", T.norm(c("p_athlete")).alias("__l_subject"))
-    renamed = near.select(*[F.col(x).alias(f"__n{x}") for x in ("__l_year", "__l_number", "__l_subject")], "near_n", "near_id")
-    out = keyed.join(renamed, reduce(lambda x, y: x & y, [
-        c(x).eqNullSafe(c(f"__n{x}")) for x in ("__l_year", "__l_number", "__l_subject")]), "left")
-    out = out.select("__t", "near_n", "near_id").join(accepted, "__t", "left")
+    cards = ["__year", "__number"]
+    subjects = (candidates.select(c("year").alias("__year"), T.norm(c("card_number")).alias("__number"), T.norm(c("subject")).alias("__theirs"), "item_id")
+                .groupBy(*cards, "__theirs").agg(F.count(F.lit(1)).alias("near_n"), F.min("item_id").alias("near_id")))
+    everyone = subjects.groupBy(*cards).agg(F.sum("near_n").alias("near_n"), F.min("near_id").alias("near_id"))
+    names = left.select(c("__l_year").alias("__year"), c("__l_number").alias("__number"), T.norm(c("p_athlete")).alias("__ours")).distinct()
+    pairs = containing_pairs(names, subjects, cards, "__ours", "__theirs")
+    fitting = join_null_safe(pairs, subjects, [*cards, "__theirs"]).select(*cards, "__ours", "near_n", "near_id")
+    nameless = join_null_safe(names.where("__ours IS NOT NULL"), subjects.where("__theirs IS NULL").drop("__theirs"), cards)
+    anyone = join_null_safe(names.where("__ours IS NULL"), everyone, cards)
+    near = (fitting.unionByName(nameless).unionByName(anyone).groupBy(*cards, "__ours")
+            .agg(F.sum("near_n").alias("near_n"), F.min("near_id").alias("near_id")))
+    of_titles = left.select("__t", c("__l_year").alias("__year"), c("__l_number").alias("__number"), T.norm(c("p_athlete")).alias("__ours"))
+    out = join_null_safe(of_titles, near, [*cards, "__ours"], "left").select("__t", "near_n", "near_id").join(accepted, "__t", "left")
     hits, near_n = F.coalesce(c("hits"), F.lit(0)), F.coalesce(c("near_n"), F.lit(0))
     out = out.select(
         c("__t").alias(title), F.when(hits == 1, c("hit")).when((hits == 0) & (near_n == 1), c("near_id")).alias("candidate_item_id"),
         F.when(hits > 1, F.concat(F.lit("row matches "), hits.cast("string"), F.lit(" candidates ambiguously")))
-        .when((hits == 0) & (near_n != 1), F.lit("row matches no pilot candidate")).alias("attribution_error"))
-    return rows.drop("candidate_item_id").join(out, title, "left")
+        .when((hits == 0) & (near_n != 1), F.lit("row matches no pilot candidate")).alias("attribution_error"),
+        F.when(hits > 1, c("classes")).alias("ambiguous"))
+    return join_null_safe(rows.drop("candidate_item_id", "attribution_error", "ambiguous"), out, [title], "left")
+
+
+def ambiguous_candidates(attributed: DataFrame, candidates: DataFrame, title: str = "raw_title") -> DataFrame:
+    """(title, candidate_item_id): each ambiguous title of ``attribute`` with every candidate that accepts it.
+
+    A class of any size is rows, never a list.
+    """
+    c = F.col
+    found = (attributed.where(c("ambiguous").isNotNull()).groupBy(title).agg(F.first("ambiguous").alias("ambiguous"))
+             .select(title, F.explode("ambiguous").alias("__hit")).select(title, c("__hit.item_id").alias("__first")))
+    keyed = _classes(candidates).select("__class", "item_id")
+    firsts = keyed.groupBy("__class").agg(F.min("item_id").alias("__first"))
+    members = keyed.join(firsts, "__class").select("__first", c("item_id").alias("candidate_item_id"))
+    return found.join(members, "__first").select(title, "candidate_item_id")
 
 
 def shape_sold_rows(rows: DataFrame) -> DataFrame:
@@ -284,18 +325,24 @@ def unique_sale_key(df: DataFrame) -> Column:
 def import_ledger(rows: DataFrame, candidates: DataFrame, stored: DataFrame, order: str = "item_id") -> DataFrame:
     """Prepared rows as one import: every row with its candidate, its sale key and what became of it.
 
-    ``added`` rows are new by (candidate, source, sale key), the first in ``order`` of their
-    batch; the others of that key, and keys already ``stored``, are ``duplicate``. A row
+    Of the rows new by (candidate, source, sale key) the first in ``order`` of their batch is
+    ``added``; the others of that key, and keys already ``stored``, are ``duplicate``. Rows equal in
+    ``order`` go by their other columns, and of rows equal in all of them one is added. A row
     whose title no single candidate accepts is ``unattributed`` and kept with the reason.
     """
     c, keys = F.col, ["candidate_item_id", "source", "sale_key"]
     df = attribute(shape_sold_rows(rows), candidates).withColumn("sale_key", unique_sale_key(rows))
+    # Rows equal in every column are counted, marked by a copy number, and become rows again.
+    place = F.struct(c(order), F.sha2(F.to_json(F.struct(*[c(n) for n in df.columns if n != "ambiguous"])), 256).alias("__row"))
+    df = df.withColumn("__place", place)
+    df = df.groupBy("__place").agg(F.count(F.lit(1)).alias("__copies"), *[F.first(n).alias(n) for n in df.columns if n != "__place"])
     known = stored.select(*keys, F.lit(True).alias("__stored")).distinct()
-    first = df.where(c("candidate_item_id").isNotNull()).groupBy(*keys).agg(F.min(order).alias("__first"))
-    df = df.join(known, keys, "left").join(first, keys, "left")
+    first = df.where(c("candidate_item_id").isNotNull()).groupBy(*keys).agg(F.min("__place").alias("__first"))
+    df = join_null_safe(join_null_safe(df, known, keys, "left"), first, keys, "left")
+    df = df.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), c("__copies"))))
     status = (F.when(c("candidate_item_id").isNull(), "unattributed").when(c("__stored"), "duplicate")
-              .when(c(order) == c("__first"), "added").otherwise("duplicate"))
-    return df.withColumn("status", status).drop("__stored", "__first")
+              .when((c("__place") == c("__first")) & (c("__copy") == 1), "added").otherwise("duplicate"))
+    return df.withColumn("status", status).drop("__stored", "__first", "__place", "__copies", "__copy")
 
 
 def uncertain_evidence(classified: DataFrame) -> DataFrame:

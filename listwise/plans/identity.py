@@ -18,7 +18,7 @@ CONFIDENCES = ("sport", "year", "manufacturer", "set_name", "insert_name", "para
 _PARALLEL_ORDER = V.PARALLEL_COLORS + V.PARALLEL_PHRASES
 _PARALLEL_REGEX = T.phrase_regex(V.PARALLEL_PHRASES + V.PARALLEL_COLORS)
 _SPORT_ORDER = [token for token, _ in V.SPORT_TOKENS]
-_SPORT_REGEX = r"(?<= )(" + "|".join(sorted(_SPORT_ORDER, key=len, reverse=True)) + r")(?=[ -])"
+_SPORT_REGEX = r"(?<= )(" + T.phrase_trie(_SPORT_ORDER) + r")(?=[ -])"
 # A slash pair that is neither a hashed number nor a grade standing over a year.
 _SERIAL_PAIR = (r"(?<![\d/.#])(?!(?<=PSA\s{0,9})\d{1,4}\s*/\s*(?:19|20)\d\d(?!\d))"
                 r"(\d{1,4})\s*/\s*(\d{1,5})(?![\d/])")
@@ -164,7 +164,7 @@ def parse_titles(df: DataFrame, title: str = "title", prefix: str = "") -> DataF
         first_stop == 0, tail_words).otherwise(F.slice(tail_words, F.lit(1), F.greatest(
             first_stop.cast("int") - 1, F.lit(1)))), " ")
     hints = F.array_join(F.array_intersect(T.lit_array(V.INSERT_HINTS), _all(
-        c("_set"), r"\b(" + "|".join(V.INSERT_HINTS) + r")\b", 1)), " ")
+        c("_set"), T.phrase_regex(V.INSERT_HINTS), 1)), " ")
     df = df.withColumns({
         "_athlete": F.nullif(F.regexp_replace(name, r"^[\-,'. ]+|[\-,'. ]+$", ""), F.lit("")),
         "_insert": F.nullif(hints, F.lit("")), "_maker": F.coalesce(c("_named"), c("_implied"))})

@@ -9,6 +9,7 @@ from listwise.functions import values as N
 from listwise.operators.joining import join_null_safe
 from listwise.operators.order_stats import (
     INDEX_QUARTILES, LOWER_MEDIAN, UPPER_MEDIAN, exclusive_quartiles, group_median, middle_of, order_statistics, with_value_rank)
+from listwise.operators.sequences import falls_in_order
 
 
 def dispersion(n: Column, low: Column, high: Column) -> Column:
@@ -156,16 +157,36 @@ def shipping_diagnostic(listings: DataFrame, comps: DataFrame, key: str = "slab_
         .otherwise(F.lit("gap is mostly the item"))})
 
 
+def run_statuses(valued: DataFrame, runs: DataFrame, item: str = "item_id", sold_on: str = "most_recent_sale") -> DataFrame:
+    """(item, run_status, run_status_at_sale): the latest run of each candidate, and the one in force at its newest sale.
+
+    ``runs`` has (candidate_id, status, updated_at). One row per candidate meets its runs, which are then
+    reduced by their times, partially aggregated; a run on the day of the sale is in force.
+    """
+    at = F.struct("updated_at", "status")
+    met = valued.select(item, sold_on).join(runs.select(F.col("candidate_id").alias(item), "status", "updated_at"), item)
+    in_force = F.to_date("updated_at") <= F.col(sold_on)
+    return met.groupBy(item).agg(F.max(at)["status"].alias("run_status"), F.max(F.when(in_force, at))["status"].alias("run_status_at_sale"))
+
+
 def economic_report(listings: DataFrame, comps: DataFrame, today, key: str = "slab_key",
-                    uncertain: DataFrame | None = None) -> DataFrame:
-    """One row per listing with every measure; the median shows even below three comps."""
+                    uncertain: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
+    """One row per listing with every measure; the median shows even below three comps.
+
+    With ``runs`` each listing has the status of its collection run, now and as of the newest sale.
+    """
     df = decide(listings, comps, today, key, uncertain)
     markup = N.markup_pct(F.col("total_cost"), F.col("benchmark_median"))
-    return df.withColumns({
+    df = df.withColumns({
         "population": population(F.col("comp_count")), "markup_percent": markup,
         "cost_to_market_ratio": F.when(F.col("benchmark_median") != 0, F.col("total_cost") / F.nullif(
             F.col("benchmark_median"), F.lit(0.0))),
         "markup_band": N.markup_band(markup)})
+    if runs is None:
+        return df
+    # The sale date is read from the comps again, so that the runs do not wait for the whole report.
+    newest = comps.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("sale_date").alias("most_recent_sale"))
+    return df.join(run_statuses(listings.select("item_id", key).join(newest, key, "left"), runs), "item_id", "left")
 
 
 def what_if(report: DataFrame, discounts=V.WHAT_IF_DISCOUNTS) -> DataFrame:
@@ -239,21 +260,10 @@ def check_report(report: DataFrame) -> DataFrame:
         (F.count_if(bench & F.col("gross_gap").isNotNull()) == 0).alias("unvalued_rows_have_no_gap"))
 
 
-def rank_is_monotonic(ranked: DataFrame) -> DataFrame:
-    """Adjacent ranks never step down in markup.
-
-    Ranks sharing a markup form one group, so neighbours are compared through the
-    rank that follows the group: one equi join, no global sort.
-    """
-    groups = ranked.groupBy("markup_rank").agg(F.min("markup_percent").alias("low"),
-                                               F.max("markup_percent").alias("high"),
-                                               F.count(F.lit(1)).alias("rows"))
-    following = groups.select((F.col("markup_rank") + F.col("rows")).alias("markup_rank"),
-                              F.col("high").alias("previous"))
-    return groups.join(following, "markup_rank", "left").agg(
-        F.count(F.lit(1)).alias("rank_groups"),
-        F.count_if(F.col("previous").isNull()).alias("first_groups"),
-        F.count_if(F.col("previous") > F.col("low")).alias("steps_down"))
+def rank_is_monotonic(report: DataFrame, order: str = "cost_to_market_ratio") -> DataFrame:
+    """Valued rows in the order of a measure never step down in markup: rank groups and steps down."""
+    valued = report.where(F.col("population") == "valued")
+    return falls_in_order(valued, order, "markup_percent").withColumnRenamed("groups", "rank_groups")
 
 
 def research_watch(auctions: DataFrame, comps: DataFrame, key: str = "slab_key") -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from listwise.plans import audit as A
 from listwise.plans import valuation as P
+from listwise.session import settle
 from listwise.workloads import base as B
 from listwise.workloads import evidence as E
 from listwise.workloads.registry import query
@@ -36,6 +37,18 @@ def reclassify_diff(spark, sf):
     return A.reclassify_diff(before, after, "item_id").select("item_id", "old_state", "new_state", "old_rule", "rule_responsible")
 
 
+@query("redecided", f"""{E.CLASSIFIED_SQL}
+SELECT item_id, cid AS candidate_item_id, state, reason FROM decided""")
+def redecided(spark, sf):
+    """Rows of some parts are stored as decided, some of them under a candidate that has changed since; the rest was never decided."""
+    candidates, sold = E.candidates(spark, sf), E.sold_titles(spark, sf)
+    known = F.col("slab_key") % 3 == 0
+    older = candidates.withColumn("psa_grade", F.when(F.col("slab_key") % 2 == 0, "8").otherwise(F.col("psa_grade")))
+    stored = settle(A.reclassified(sold.where(known).withColumns({n: F.lit(None).cast("string") for n in ("state", "reason_code", "reason", "digest")}), older))
+    never = sold.where(~known).withColumns({n: F.lit(None).cast("string") for n in ("state", "reason_code", "reason", "digest")})
+    return A.reclassified(stored.unionByName(never), candidates).select("item_id", "candidate_item_id", "state", "reason")
+
+
 @query("immutability", """WITH b AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 3),
 a AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 4 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders WHERE o_orderkey % 10 <> 5)
 SELECT count(*) FILTER (b.o_orderkey IS NULL) AS added, count(*) FILTER (a.o_orderkey IS NULL) AS removed,

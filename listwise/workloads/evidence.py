@@ -106,16 +106,51 @@ def match_reasons(spark, sf):
     return matched.groupBy(F.coalesce("match_code", F.lit("match")).alias("code")).agg(F.count(F.lit(1)).alias("comps"))
 
 
-@query("attribute_rows", f"""{CANDIDATES_SQL},
-near AS (SELECT m.item_id, count(o.cid) AS n, min(o.cid) AS id FROM matched m LEFT JOIN cands o ON o.c_year = m.year AND o.c_number = m.card_number
-   AND (contains(replace(m.athlete, ' ', ''), replace(o.c_subject, ' ', '')) OR contains(replace(o.c_subject, ' ', ''), replace(m.athlete, ' ', '')))
-   GROUP BY m.item_id)
-SELECT item_id, CASE WHEN code IS NULL THEN cid WHEN n = 1 THEN id END AS candidate_item_id,
-       CASE WHEN code IS NOT NULL AND n <> 1 THEN 'row matches no pilot candidate' END AS attribution_error
+# Twins of every 23rd candidate make its titles ambiguous. Candidates of a grade that no title has are never accepted, but are the
+# same card as titles without a number: by subject, or, lacking one themselves, by year alone.
+NEAR_SQL = f"""{CANDIDATES_SQL},
+pool AS (SELECT cid, p, c_year, c_number, c_subject, false AS unlike FROM cands
+  UNION ALL SELECT 'twin|' || (1000000 + p), p, c_year, c_number, c_subject, false FROM cands WHERE p % 23 = 0
+  UNION ALL SELECT 'bare|' || (1000000 + p), p, c_year, NULL, CASE WHEN p % 8 <> 0 THEN c_subject END, true FROM cands WHERE p % 4 = 0),
+subject AS (SELECT DISTINCT year, card_number, athlete FROM matched),
+fit AS (SELECT s.*, count(o.cid) AS n, min(o.cid) AS id FROM subject s LEFT JOIN pool o ON o.c_year IS NOT DISTINCT FROM s.year
+   AND o.c_number IS NOT DISTINCT FROM s.card_number AND (s.athlete IS NULL OR o.c_subject IS NULL
+     OR contains(replace(s.athlete, ' ', ''), replace(o.c_subject, ' ', '')) OR contains(replace(o.c_subject, ' ', ''), replace(s.athlete, ' ', '')))
+   GROUP BY ALL),
+near AS (SELECT m.item_id, n, id FROM matched m JOIN fit f ON f.year IS NOT DISTINCT FROM m.year AND f.card_number IS NOT DISTINCT FROM m.card_number
+   AND f.athlete IS NOT DISTINCT FROM m.athlete)"""
+
+
+def pooled_candidates(spark, sf):
+    given = candidates(spark, sf)
+    number = (F.col("slab_key") + 1000000).cast("string")
+    twins = given.where("slab_key % 23 = 0").withColumn("item_id", F.concat(F.lit("twin|"), number))
+    bare = given.where("slab_key % 4 = 0").withColumns({
+        "item_id": F.concat(F.lit("bare|"), number), "card_number": F.lit(None).cast("string"), "psa_grade": F.lit("4.5"),
+        "subject": F.when(F.col("slab_key") % 8 != 0, F.col("subject"))})
+    return given.unionByName(twins).unionByName(bare)
+
+
+def attributed_titles(spark, sf):
+    return E.attribute(sold_titles(spark, sf).select("item_id", "raw_title"), pooled_candidates(spark, sf))
+
+
+@query("attribute_rows", f"""{NEAR_SQL}
+SELECT item_id, CASE WHEN code IS NULL THEN CASE WHEN p % 23 <> 0 THEN cid END WHEN n = 1 THEN id END AS candidate_item_id,
+  CASE WHEN code IS NULL AND p % 23 = 0 THEN 'row matches 2 candidates ambiguously' WHEN code IS NOT NULL AND n <> 1 THEN 'row matches no pilot candidate' END AS attribution_error,
+  CASE WHEN code IS NULL AND p % 23 = 0 THEN 'twin|' || (1000000 + p) || ' x2' END AS ambiguous
 FROM matched JOIN near USING (item_id)""")
 def attribute_rows(spark, sf):
-    rows = sold_titles(spark, sf).select("item_id", "raw_title")
-    return E.attribute(rows, candidates(spark, sf)).select("item_id", "candidate_item_id", "attribution_error")
+    shown = F.array_join(F.transform("ambiguous", lambda a: F.concat(a["item_id"], F.lit(" x"), a["copies"].cast("string"))), ", ")
+    return attributed_titles(spark, sf).select("item_id", "candidate_item_id", "attribution_error", shown.alias("ambiguous"))
+
+
+@query("ambiguous_candidates", f"""{CANDIDATES_SQL},
+hit AS (SELECT DISTINCT p FROM matched WHERE code IS NULL AND p % 23 = 0)
+SELECT cid AS candidate_item_id FROM cands JOIN hit USING (p) UNION ALL SELECT 'twin|' || (1000000 + p) FROM hit""")
+def ambiguous_candidates(spark, sf):
+    found = E.ambiguous_candidates(attributed_titles(spark, sf), pooled_candidates(spark, sf))
+    return found.select("candidate_item_id").distinct()
 
 
 @query("year_disagreement", f"""{NINES_SQL},
@@ -202,14 +237,15 @@ def uncertain_evidence(spark, sf):
     return E.uncertain_evidence(classified(spark, sf)).select("item_id", "candidate_item_id")
 
 
-# Line 6 is imported twice, line 7 is stored already.
+# Line 6 is imported twice, line 5 twice in equal rows; line 7 is stored already.
 @query("import_ledger", f"""{CANDIDATES_SQL},
 near AS (SELECT m.item_id, count(o.cid) AS n, min(o.cid) AS id FROM matched m LEFT JOIN cands o ON o.c_year = m.year AND o.c_number = m.card_number
    AND (contains(replace(m.athlete, ' ', ''), replace(o.c_subject, ' ', '')) OR contains(replace(o.c_subject, ' ', ''), replace(m.athlete, ' ', '')))
    GROUP BY m.item_id),
 a AS (SELECT item_id, line, CASE WHEN code IS NULL THEN cid WHEN n = 1 THEN id END AS candidate_item_id FROM matched JOIN near USING (item_id)),
-batch AS (SELECT *, item_id AS row_id FROM a UNION ALL SELECT *, item_id || '-again' FROM a WHERE line = 6)
-SELECT row_id, candidate_item_id, CASE WHEN candidate_item_id IS NULL THEN 'unattributed' WHEN line = 7 OR row_id <> item_id THEN 'duplicate' ELSE 'added' END AS status,
+batch AS (SELECT *, item_id AS row_id, false AS twice FROM a UNION ALL SELECT *, item_id || '-again', false FROM a WHERE line = 6
+  UNION ALL SELECT *, item_id, true FROM a WHERE line = 5)
+SELECT row_id, candidate_item_id, CASE WHEN candidate_item_id IS NULL THEN 'unattributed' WHEN line = 7 OR row_id <> item_id OR twice THEN 'duplicate' ELSE 'added' END AS status,
   CASE WHEN candidate_item_id IS NULL THEN 'row matches no pilot candidate' END AS attribution_error FROM batch""")
 def import_ledger(spark, sf):
     sold = sold_titles(spark, sf).select(
@@ -219,5 +255,6 @@ def import_ledger(spark, sf):
     again = sold.where("line = 6").withColumn("row_id", F.concat("row_id", F.lit("-again")))
     stored = E.attribute(sold.where("line = 7"), candidates(spark, sf)).select(
         "candidate_item_id", "source", F.col("source_item_id").alias("sale_key"))
-    return E.import_ledger(sold.unionByName(again), candidates(spark, sf), stored, "row_id").select(
+    batch = sold.unionByName(again).unionByName(sold.where("line = 5"))
+    return E.import_ledger(batch, candidates(spark, sf), stored, "row_id").select(
         "row_id", "candidate_item_id", "status", "attribution_error")

@@ -208,6 +208,32 @@ def stratified_shortlist(spark, sf):
         "numbered": F.col("seller") % 7 == 0, "rookie": F.col("line") == 1}, 12, 100, "price").select("item_id", "category", "stage")
 
 
+_TESTS = {"qualifier": "discount >= 0.095 AND line IN (1, 7)", "auto": "line IN (2, 5, 7)", "numbered": "seller % 7 = 0", "rookie": "line IN (1, 2)"}
+
+
+def _round_sql(n, name, quota, total):
+    """One round of the greedy cover after rounds 0 to n - 1, all of them in ``g<n - 1>``."""
+    wanted = f"SELECT * FROM r WHERE {_TESTS[name]}" if name else "SELECT * FROM r"
+    left = f"{quota} - (SELECT count(*) FROM g{n - 1} WHERE {_TESTS[name]})" if name else str(total)
+    return f"""f{n} AS MATERIALIZED (SELECT * EXCLUDE k, row_number() OVER (ORDER BY price DESC, item_id) AS k FROM (
+    SELECT *, row_number() OVER (PARTITION BY slab_key ORDER BY price DESC, item_id) AS k FROM ({wanted}) WHERE slab_key NOT IN (SELECT slab_key FROM g{n - 1})) WHERE k = 1),
+  g{n} AS MATERIALIZED (SELECT * FROM g{n - 1} UNION ALL SELECT * EXCLUDE k, '{name or 'fill'}' FROM f{n}
+    WHERE k <= {left} AND k <= {total} - (SELECT count(*) FROM g{n - 1}))"""
+
+
+@query("greedy_shortlist", f"""WITH {B.LISTINGS_SQL},
+r AS (SELECT item_id, slab_key, price, line, seller, discount FROM listings),
+g0 AS (SELECT *, 'seed' AS round FROM r WHERE slab_key IN (5, 11) AND item_id IN (SELECT min(item_id) FROM r GROUP BY slab_key)),
+{', '.join(_round_sql(n, name, 12, 60) for n, name in enumerate([*_TESTS, None], 1))}
+SELECT item_id, round FROM g5""")
+def greedy_shortlist(spark, sf):
+    df = B.listings(spark, sf).select("item_id", "slab_key", "price", "line", "seller", "discount")
+    first = df.where("slab_key IN (5, 11)").groupBy("slab_key").agg(F.min("item_id").alias("item_id"))
+    seed = df.join(first.select("item_id"), "item_id", "left_semi").select(*df.columns)
+    tests = {name: F.expr(test) for name, test in _TESTS.items()}
+    return X.greedy_shortlist(df, tests, 12, 60, [-F.col("price")], seed=seed).select("item_id", "round")
+
+
 @query("bands_fixed", f"""WITH {B.LISTINGS_SQL}
 SELECT CASE WHEN price < 25 THEN '0-25' WHEN price < 100 THEN '25-100' WHEN price < 500 THEN '100-500'
             WHEN price < 5000 THEN '500-5000' ELSE '5000+' END AS band, count(*) AS listings FROM listings GROUP BY 1""")

@@ -6,6 +6,7 @@ from listwise import fixed_values as V
 from listwise.operators import order_stats as O
 from listwise.plans import valuation as P
 from listwise.workloads import base as B
+from listwise.session import settle
 from listwise.workloads.registry import query
 
 DECISION_COLUMNS = ["item_id", "slab_key", "comp_count", "confidence", "total_cost", "cost_complete",
@@ -81,9 +82,26 @@ REPORT_COLUMNS = ["item_id", "slab_key", "population", "total_cost", "comp_count
                   "decision", "reason", "downgrade_reason"]
 
 
-@query("economic_report", f"{REPORT} SELECT {', '.join(REPORT_COLUMNS)} FROM banded")
+# Up to three runs of a listing, weeks apart; every fifth listing was never run.
+_RUNS_SQL = """runs AS (SELECT item_id, day - 400 + CAST(60 * n AS INTEGER) AS ran, ['failed', 'no_results', 'completed'][(quantity + n) % 3 + 1] AS status
+  FROM listings, range(3) AS t(n) WHERE quantity % 5 <> 0 AND n <= quantity % 3),
+latest AS (SELECT item_id, max_by(status, ran) AS run_status FROM runs GROUP BY item_id),
+in_force AS (SELECT r.item_id, max_by(r.status, ran) AS run_status_at_sale FROM runs r JOIN listings USING (item_id) JOIN bench USING (slab_key)
+  WHERE ran <= most_recent_sale GROUP BY r.item_id)"""
+
+
+def runs(spark, sf):
+    df = B.listings(spark, sf).where("quantity % 5 <> 0").select("item_id", "day", "quantity", F.explode(F.sequence(F.lit(0), F.col("quantity") % 3)).alias("n"))
+    status = F.get(F.array(*[F.lit(x) for x in ("failed", "no_results", "completed")]), (F.col("quantity") + F.col("n")) % 3)
+    return df.select(F.col("item_id").alias("candidate_id"), status.alias("status"),
+                     F.date_add("day", F.col("n") * 60 - 400).cast("timestamp").alias("updated_at"))
+
+
+@query("economic_report", f"""{REPORT}, {_RUNS_SQL}
+SELECT {', '.join(REPORT_COLUMNS)}, run_status, run_status_at_sale FROM banded LEFT JOIN latest USING (item_id) LEFT JOIN in_force USING (item_id)""")
 def economic_report(spark, sf):
-    return report(spark, sf).select(*REPORT_COLUMNS)
+    full = P.economic_report(B.listings(spark, sf), B.accepted(spark, sf), B.TODAY, uncertain=B.uncertain(spark, sf), runs=runs(spark, sf))
+    return full.select(*REPORT_COLUMNS, "run_status", "run_status_at_sale")
 
 
 @query("what_if", f"""{REPORT},
@@ -149,14 +167,33 @@ def ranked_by_markup(spark, sf):
     return P.ranked_by_markup(report(spark, sf)).select("item_id", "markup_percent", "markup_rank")
 
 
+# Prices moved so close together that they share a few bins, which are cut by their own range.
+_CLOSE = "100::DOUBLE + l_orderkey * 1e-9::DOUBLE + l_linenumber * 1e-13::DOUBLE"
+
+
+@query("close_medians", f"""WITH v AS (SELECT l_returnflag AS flag, CAST({_CLOSE} AS DOUBLE) AS v FROM lineitem),
+r AS (SELECT flag, v, row_number() OVER (PARTITION BY flag ORDER BY v) - 1 AS i, count(*) OVER (PARTITION BY flag) AS n FROM v)
+SELECT flag, any_value(n) AS n, (max(v) FILTER (i = (n - 1) // 2) + max(v) FILTER (i = n // 2)) / 2 AS median, max(v) FILTER (i = n // 4) AS q1_index FROM r GROUP BY flag""")
+def close_medians(spark, sf):
+    value = F.lit(100.0) + F.col("l_orderkey") * F.lit(1e-9) + F.col("l_linenumber") * F.lit(1e-13)
+    rows = B.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("flag"), value.alias("v"))
+    stats = O.order_statistics(rows, ["flag"], "v", {"__lo": O.LOWER_MEDIAN, "__hi": O.UPPER_MEDIAN, "q1_index": lambda n: F.floor(n / 4)}, cuts=2)
+    return stats.select("flag", "n", O.middle_of().alias("median"), "q1_index")
+
+
+# By ratio and by markup the order is the same; by gap it is not.
 @query("rank_monotonic", f"""{REPORT},
-r AS (SELECT markup_percent, rank() OVER (ORDER BY markup_percent) AS k FROM valued),
-g AS (SELECT k, min(markup_percent) AS low, max(markup_percent) AS high FROM r GROUP BY k),
-p AS (SELECT low, lag(high) OVER (ORDER BY k) AS previous FROM g)
-SELECT count(*) AS rank_groups, count(*) FILTER (previous IS NULL) AS first_groups,
-       count(*) FILTER (previous > low) AS steps_down FROM p""")
+v AS (SELECT markup_percent, total_cost / nullif(benchmark_median, 0.0) AS ratio, gross_gap FROM valued),
+o AS (SELECT 'cost_to_market_ratio' AS measure, ratio AS o, markup_percent AS m FROM v UNION ALL SELECT 'markup_percent', markup_percent, markup_percent FROM v
+      UNION ALL SELECT 'gross_gap', gross_gap, markup_percent FROM v),
+g AS (SELECT measure, o, min(m) AS low, max(m) AS high FROM o WHERE o IS NOT NULL AND m IS NOT NULL GROUP BY ALL),
+p AS (SELECT measure, low, lag(high) OVER (PARTITION BY measure ORDER BY o) AS previous FROM g)
+SELECT measure, count(*) AS rank_groups, count(*) FILTER (previous > low) AS steps_down FROM p GROUP BY measure""")
 def rank_monotonic(spark, sf):
-    return P.rank_is_monotonic(P.ranked_by_markup(report(spark, sf)))
+    rows = settle(report(spark, sf).select("population", "cost_to_market_ratio", "markup_percent", "gross_gap"))
+    checks = [P.rank_is_monotonic(rows, measure).withColumn("measure", F.lit(measure))
+              for measure in ("cost_to_market_ratio", "markup_percent", "gross_gap")]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
 @query("consistency", f"""{REPORT} SELECT

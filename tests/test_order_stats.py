@@ -5,6 +5,8 @@ import statistics
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from listwise.operators import order_stats as O
 
 
@@ -75,3 +77,36 @@ def test_table_as_one_group(spark):
     df = frame(spark, {"a": [5.0, 1.0], "b": [3.0]})
     assert [(r.n, r["median"]) for r in O.group_median(df, [], "v").collect()] == [(3, 3.0)]
     assert O.group_median(df.limit(0), [], "v").count() == 0
+
+
+def test_dense_bin_is_cut(spark, monkeypatch):
+    """Distinct doubles inside a hundredth of a percent, which all fall into one bin or two; values far denser in one place; ties."""
+    monkeypatch.setattr(O, "DENSE", 200)
+    rng = random.Random(8)
+    values = [100 + k * 1e-8 for k in range(4000)] + [100.002 + k * 1e-13 for k in range(3000)] + [100.001] * 500 + [-100 - k * 1e-8 for k in range(3000)]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(None if k % 3 else "a", v) for k, v in enumerate(values)], "k string, v double").repartition(5)
+    for key in (None, "a"):
+        mine = sorted(v for k, v in enumerate(values) if (None if k % 3 else "a") == key)
+        row = O.order_statistics(df, ["k"], "v", {"q1": lambda n: F.floor(n / 4), "lo": O.LOWER_MEDIAN, "hi": O.UPPER_MEDIAN, "top": O.LARGEST}, lowest="least", cuts=2).where(
+            F.col("k").eqNullSafe(F.lit(key))).first()
+        n = len(mine)
+        assert (row.n, row.q1, row.lo, row.hi, row.top, row.least) == (n, mine[n // 4], mine[(n - 1) // 2], mine[n // 2], mine[-1], mine[0])
+    ranks = {r.v: r.r for r in O.with_value_rank(df.drop("k"), [], "v", "r", cuts=2).collect()}
+    below, seen = {}, 0
+    for v in sorted(values):
+        below.setdefault(v, seen + 1)
+        seen += 1
+    assert ranks == below
+
+
+def test_ten_million_values_in_one_bin(spark):
+    """The exact median of ten million distinct doubles inside 0.01 %, and no running sum over a million of them."""
+    n = 10_000_000
+    df = spark.range(n, numPartitions=16).select((100 + F.col("id") * 1e-9).alias("v"))
+    counts = O._value_counts(df.select(F.col("v").alias("__v")), [])
+    row = O.group_median(df, [], "v", cuts=2).first()
+    want = sorted((100 + (n // 2 - 1) * 1e-9, 100 + n // 2 * 1e-9))
+    assert row.n == n and row.median == sum(want) / 2
+    bins = O._bin_offsets(counts, []).agg(F.max("__distinct").alias("most")).first().most
+    assert bins > 1_000_000 and bins * 4 / min(O.PARTS, -(-bins * 4 // O.DENSE)) <= 4 * O.DENSE < 1_000_000

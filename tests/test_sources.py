@@ -68,7 +68,7 @@ def test_pages(spark):
     keys = list(PAGES)
     pages = spark.createDataFrame([(i, PAGES[k][0]) for i, k in enumerate(keys)], "page_id long, html string")
     blocks = G.page_blocks(pages)
-    states = {keys[r.page_id]: r.state for r in G.page_states(pages, blocks).collect()}
+    states = {keys[r.page_id]: r.state for r in G.page_states(pages).collect()}
     assert states == {k: state for k, (_, state) in PAGES.items()}
     rows = G.records_to_rows(G.sold_records(blocks)).where("page_id = 0").collect()
     assert {(r.raw_title, r.sold_price, r.shipping, str(r.sale_date)) for r in rows} == {
