@@ -11,7 +11,7 @@ template meet by its hash. Only lines of leaves that ``MIN_DOCS`` documents shar
 time, one for each distinct line.
 
 A passage inside a line, or across lines that also hold a document's own words, is no line of the
-tree. ``dedup_passages`` finds it in sentences: stretches of whole sentences with ``PASSAGE`` tokens or
+tree. ``dedup_passages`` finds it by another method, hashes of sentences: stretches of whole sentences with ``PASSAGE`` tokens or
 more that ``MIN_DOCS`` documents share stay in the smallest document and are dropped from all others.
 """
 
@@ -20,7 +20,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from listwise.llm.common import written
+from listwise.llm.common import discard, written
 
 DEPTH = 4
 MIN_DOCS = 5
@@ -111,6 +111,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tu
                  .where(F.col("n_rare") <= variable * F.col("n_tokens"))
                  .select("leaf", "line", F.xxhash64("leaf", F.array_join(F.col("t.token"), " ")).alias("template")))
     templates = written(templates, "templates")
+    discard(open_lines, tokens)
     recurring = (per_doc.join(templates, ["leaf", "line"]).groupBy("template", "key", "mark").agg(F.min("line_no").alias("line_no"))
                  .groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct("key", "mark", "line_no")).alias("first"))
                  .where(F.col("n") >= min_docs).select("template", "first"))
@@ -118,7 +119,9 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tu
     dropped = (lines.join(dropped, ["leaf", "line"]).where(F.struct("key", "mark", "line_no") != F.col("first"))
                .select("key", "mark", "line_no").distinct().groupBy("key", "mark").agg(F.collect_list("line_no").alias("dropped")))
     counts = lines.groupBy("key", "mark", "line_no").count().groupBy("key", "mark").agg(F.count("*").alias("n_lines"))
-    facts = counts.join(dropped, ["key", "mark"], "left")
+    # The documents' drop lists are all that the texts need.
+    facts = written(counts.join(dropped, ["key", "mark"], "left"), "line-facts")
+    discard(lines, templates)
     body = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(body) - 1), F.col("dropped"))
     out = docs.join(facts, ["key", "mark"], "left")
@@ -170,17 +173,25 @@ def dedup_passages(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
     names = list(dict.fromkeys(c for c in keep if c not in (key, text)))
     docs = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text).cast("string")).alias("mark"), F.col(text).cast("string").alias("text"),
                      *(F.col(c).alias(f"_{i}") for i, c in enumerate(names)))
-    stretches = written(_stretches(docs.where("key IS NOT NULL"), passage), "stretches")
+    found = written(_stretches(docs.where("key IS NOT NULL"), passage), "stretches")
+    # Most stretches occur once: only those that occur often enough in all are looked at by place.
+    frequent = found.groupBy("stretch").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("stretch")
+    stretches = written(found.join(frequent, "stretch", "left_semi"), "frequent-stretches")
+    discard(found)
     place = F.struct("key", "mark", "first")
     recurring = (stretches.groupBy("stretch", "key", "mark").agg(F.min("first").alias("first"))
                  .groupBy("stretch").agg(F.count("*").alias("n"), F.min(place).alias("smallest"))
                  .where(F.col("n") >= min_docs).select("stretch", "smallest"))
     dropped = (stretches.join(recurring, "stretch").where(place != F.col("smallest"))
                .select("key", "mark", F.explode(F.sequence("first", "last")).alias("unit"))
-               .distinct().groupBy("key", "mark").agg(F.collect_set("unit").alias("dropped")))
-    units = F.split("text", SENTENCE)
-    left = F.transform(units, lambda u, i: F.when(~F.array_contains("dropped", i), u).when(u.endswith("\n"), F.lit("\n")).otherwise(F.lit("")))
-    return docs.join(dropped, ["key", "mark"], "left").select(
+               .distinct().groupBy("key", "mark").agg(F.collect_list("unit").alias("dropped")))
+    dropped = written(dropped, "dropped-sentences")
+    discard(stretches)
+    out = docs.join(dropped, ["key", "mark"], "left").withColumn("_units", F.split("text", SENTENCE))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_units") - 1), F.col("dropped")), lambda i: F.struct(i.alias("i"), F.get("_units", i).alias("u")))
+    ends = F.transform("dropped", lambda i: F.struct(i.alias("i"), F.when(F.get("_units", i).endswith("\n"), F.lit("\n")).otherwise(F.lit("")).alias("u")))
+    left = F.transform(F.sort_array(F.concat(kept, ends)), lambda x: x["u"])
+    return out.select(
         F.col("key").alias(key), *(F.col(f"_{i}").alias(c) for i, c in enumerate(names)),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(left, "")).alias(text))
