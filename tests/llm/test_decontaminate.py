@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from listwise.llm import decontaminate as dec
 
@@ -9,19 +10,14 @@ def tokens(text):
 
 
 def best(doc, item):
-    """Most equal tokens of an item's window on any diagonal that has a seed's tokens in common."""
+    """Most equal tokens of an item's window on any diagonal."""
     d, t = tokens(doc), tokens(item)
-    width, most = min(len(t), dec.WINDOW), -1
+    width = min(len(t), dec.WINDOW)
+    most = 0
     for shift in range(-len(t), len(d) + 1):
         same = [0 <= j + shift < len(d) and d[j + shift] == w for j, w in enumerate(t)]
-        for p in range(len(t) - dec.SPAN + 1):
-            if p + shift < 0 or p + shift + dec.SPAN > len(d) or not any(all(same[p + m] for m in mask) for mask in dec.MASKS):
-                continue
-            for s in range(max(0, p + dec.SPAN - width), min(p, len(t) - width) + 1):
-                most = max(most, sum(same[s:s + width]))
-            for s in range(max(0, p + dec.SPAN - dec.WINDOW), min(len(t), p + dec.WINDOW) - width + 1):
-                most = max(most, sum(same[s:s + width]))
-    return (most, width) if most >= dec.LEAST * width else None
+        most = max([most, *(sum(same[s:s + width]) for s in range(len(t) - width + 1))])
+    return (most, width) if width and most >= dec.LEAST * width else None
 
 
 def test_against_all_diagonals(spark):
@@ -56,26 +52,45 @@ def test_shuffled_way_and_filter(spark, monkeypatch):
     assert dec.overlaps(docs, items.limit(0)).count() == 0 and dec.overlaps(docs.limit(0), items).count() == 0
 
 
-def best_of_all(doc, item):
-    """Most equal tokens of an item's window on any diagonal, seed or none."""
-    d, t = tokens(doc), tokens(item)
-    width = min(len(t), dec.WINDOW)
-    most = 0
-    for shift in range(-len(t), len(d) + 1):
-        same = [0 <= j + shift < len(d) and d[j + shift] == w for j, w in enumerate(t)]
-        most = max([most, *(sum(same[s:s + width]) for s in range(len(t) - width + 1))])
-    return (most, width) if width and most >= dec.LEAST * width else None
+def test_every_pattern_leaves_a_mask():
+    """Of each width all patterns of as many substitutions as the threshold allows; fewer are parts of these."""
+    for width in range(1, dec.WINDOW + 1):
+        miss, masks = dec.misses(width), dec.masks(width)
+        assert 1 <= len(masks) <= dec.MASKS and width - miss >= dec.LEAST * width > width - miss - 1
+        # A mask ignores a place wherever a token may differ.
+        assert all((len(m) < m[-1] + 1) == bool(miss) for m in masks)
+        places = [sum(1 << (p + at) for p in m) for m in masks for at in range(width - m[-1])]
+        for gone in combinations(range(width), miss):
+            pattern = sum(1 << p for p in gone)
+            assert any(not pattern & bits for bits in places), (width, gone)
 
 
-def test_every_pattern_has_a_run():
-    for width in range(1, dec.WINDOW + 1):
-        run, full = dec.run_of(width), (1 << width) - 1
-        for bits in range(1 << width):
-            if bits.bit_count() >= dec.LEAST * width:
-                left = bits
-                for _ in range(run - 1):
-                    left &= left >> 1
-                assert left, (width, f"{bits & full:b}")
+def test_wider_windows_are_covered():
+    rng = random.Random(2)
+    for width in (23, 32, 50):
+        masks, miss = dec.masks(width), dec.misses(width)
+        for _ in range(300):
+            gone = set(rng.sample(range(width), miss)) if rng.random() < .5 else set(range(rng.randint(0, 3), width, 4))
+            assert any(all(p + at not in gone for p in m) for m in masks for at in range(width - m[-1])) or len(gone) > miss
+
+
+def test_long_texts_and_texts_of_one_key(spark, monkeypatch):
+    """A document of 100,000 words, with few and with many seeds; two texts under one key and under none are judged each by itself."""
+    item = "one swift brown fox jumps over some lazy dog near that old river bank while seven gulls watch from above"
+    words = [f"w{k % 977}x{k % 89}" for k in range(100000)]
+    part = item.split()
+    part[4] = part[9] = "other"
+    words[70000:70000] = part
+    rows = [(1, " ".join(words)), (2, "clean text of the second key"), (2, "so it is said: " + item), (None, item), (None, "clean"), (3, None)]
+    docs = spark.createDataFrame([(*r, 0, "x", "y") for r in rows], "doc_id long, text string, shift int, key string, item string")
+    items = spark.createDataFrame([(1, item), (1, None), (2, " ".join(f"w{k % 977}x{k % 89}" for k in range(500, 560)))], "item_id long, text string")
+    for limit in (dec.BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(dec, "BROADCAST_SEEDS", limit)
+        got = {(r.doc_id, r.item_id): (r.n_equal, r.n_compared) for r in dec.overlaps(docs, items).collect()}
+        assert got == {(1, 1): (len(part) - 2, len(part)), (1, 2): (20, 20), (2, 1): (len(part), len(part)), (None, 1): (len(part), len(part))}
+        left = dec.without_overlaps(docs, items)
+        assert left.columns == docs.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, "clean"), (2, "clean text of the second key"), (3, "")]
 
 
 def test_against_all_diagonals_without_seeds(spark):
@@ -96,6 +111,6 @@ def test_against_all_diagonals_without_seeds(spark):
         docs.append((k, " ".join([word() for _ in range(rng.randint(0, 8))] + part + [word() for _ in range(rng.randint(0, 8))])))
     got = dec.overlaps(spark.createDataFrame(docs + [(200, None), (201, "")], "doc_id long, text string"),
                        spark.createDataFrame(items, "item_id long, text string")).collect()
-    want = {(d, i): b for d, text in docs for i, t in items if (b := best_of_all(text, t))}
+    want = {(d, i): b for d, text in docs for i, t in items if (b := best(text, t))}
     assert {(r.doc_id, r.item_id): (r.n_equal, r.n_compared) for r in got} == want and len(got) == len(want)
     assert {sizes[i] for _, i in want} == set(sizes)
