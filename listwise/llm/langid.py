@@ -7,19 +7,20 @@ windows of documents of one or two languages; prediction runs forward-backward o
 document and adds up the posteriors.
 
 The fit sees a bounded sample: at most ``docs_per_lang`` labelled documents of each language, drawn
-by a hash of the id, and ``windows`` windows of ``WINDOW`` words from anywhere in them. Prediction
+by a hash of the id, and ``windows`` windows of ``WINDOW`` words from anywhere in them, as many of each
+language as it has up to its share. Prediction
 reads every word of every text, shuffles nothing, and holds a slice of one Arrow batch.
 """
 
-import re
 import zlib
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 BUCKETS = 1 << 15
 WINDOW = 32
 UNKNOWN = "und"
@@ -28,7 +29,7 @@ CACHE_WORDS = 400_000
 SLICE, LANES = 300_000, 2048
 #: Steps after which messages are scaled anew; scores differ by far less than 700 in so many.
 SCALE_EVERY = 4
-#: Characters of a run of letters that are looked at; longer runs are no words.
+#: A longer run of letters is so many words of this length, as in scripts without spaces a run may be a whole text.
 LONGEST_WORD = 64
 #: A text of so many words is claimed by a language only if its words are this certain of theirs on average.
 ENOUGH_WORDS, CERTAIN = 30, 0.69
@@ -53,7 +54,7 @@ def features(words: list[str]):
     ``heads``: where each word begins there; ``by_word``: affixes of 3 and 4, and the length.
     What a short word lacks is place BUCKETS, whose weight is always 0.
     """
-    marked = [f"^{w[:LONGEST_WORD]}$" for w in words]
+    marked = [f"^{w}$" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     ends = np.cumsum(size)
@@ -225,18 +226,20 @@ def fit(labels: list[str], windows: list[tuple[str, list[str]]], epochs: int = 2
 
 
 #: In Latin-1: letters in lower case, all else a space.
-_LETTERS = bytes(b if b in (0xAA, 0xBA) else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
+_LETTERS = bytes(ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 
 
 def raw_words(text: str | None) -> list:
-    """Lower-case words: Latin-1 bytes where the text allows it, which is much faster, else strings."""
+    """Lower-case runs of letters, cut into pieces: Latin-1 bytes where the text allows it, which is much faster, else strings."""
     if not text:
         return []
     try:
-        return text.encode("latin-1").translate(_LETTERS).split()
+        words = text.encode("latin-1").translate(_LETTERS).split()
     except UnicodeEncodeError:
         words = WORD.findall(text.lower())
-        return words if any(c.isalpha() for w in words for c in w) else []
+    if words and max(map(len, words)) > LONGEST_WORD:
+        words = [w[i:i + LONGEST_WORD] for w in words for i in range(0, len(w), LONGEST_WORD)]
+    return words
 
 
 def shown(word) -> str:
@@ -267,8 +270,11 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
                                               enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "words", "draw"])
 
     source = rows.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    sample = (source.join(chosen, "key", "left_semi").select("key", "text", "lang")
-              .mapInArrow(cut, "lang string, words string, draw long").orderBy("draw", "words", "lang").limit(windows).collect())
+    languages = rows.select(lang).distinct().count()
+    share = Window.partitionBy("lang").orderBy("draw", "words")
+    sample = (source.join(chosen, "key", "left_semi").select("key", "text", "lang").mapInArrow(cut, "lang string, words string, draw long")
+              .withColumn("nth", F.row_number().over(share)).where(F.col("nth") <= max(1, windows // max(1, languages)))
+              .orderBy("draw", "words", "lang").select("lang", "words").collect())
     if not sample:
         return None
     return fit(sorted({r.lang for r in sample}), [(r.lang, r.words.split(" ")) for r in sample])

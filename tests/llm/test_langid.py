@@ -57,3 +57,29 @@ def test_texts_without_letters(spark):
     assert got[1:] == [(1, "en"), (2, "es"), (2, "es"), (3, "und"), (4, "und"), (5, "und")] and got[0][1] in ("en", "es")
     assert langid.learn(df.limit(0)) is None
     assert {r.lang_pred for r in langid.predict(df, None).collect()} == {"und"}
+
+
+def test_one_rule_for_words_and_long_runs():
+    assert langid.words_of("m² é") == ["m", "é"] and langid.words_of("m² 日本") == ["m", "日本"] == langid.words_of("M_² 日本")
+    run = "กขค" * 70
+    pieces = langid.words_of(run)
+    assert "".join(pieces) == run and max(map(len, pieces)) == langid.LONGEST_WORD
+    assert langid.words_of("a" * 130) == ["a" * 64, "a" * 64, "aa"]
+
+
+def test_the_tail_of_a_run_decides():
+    windows = [(lang, [c * 40] * 8) for lang, c in (("one", "กข"), ("two", "คง")) for _ in range(20)]
+    tagger = langid.Tagger(langid.fit(["one", "two"], [(lang, [p for w in words for p in langid.words_of(w)]) for lang, words in windows]))
+    head, tail = "กข" * 20, "คง" * 80
+    assert [t[0] for t in tagger.texts([head + tail, head])] == ["two", "one"]
+
+
+def test_rare_language_is_learned(spark):
+    """Three short documents of one language among large ones of others; windows are shared by language."""
+    docs = [(i, " ".join(["the", "thing", "with", "that"] * 500), "en") for i in range(20)] + [(100 + i, " ".join(["que", "para", "los", "cosa"] * 500), "es") for i in range(20)]
+    docs += [(200 + i, "zwölf boxkämpfer jagen viktor quer", "de") for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.learn(df, windows=30)
+    assert model.labels == ["de", "en", "es"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, model).collect()}
+    assert all(got[i] == lang for i, _, lang in docs)
