@@ -2,9 +2,9 @@
 
 A document longer than a window fills whole windows first. Its rest goes, online, to the fill level
 at which the sum of the squared counts of partly filled windows becomes smallest (Csirik et al.);
-the counts stand in a level array. Documents may be cut, so the windows still open at the end of a
-partition, or whenever ``open_limit`` are open, are laid out anew without gaps, and the last of them
-is cut at powers of two, which need no padding.
+the counts stand in a level array. Documents may be cut, so of the windows still open at the end of a
+partition, or whenever ``open_limit`` are open, the fullest stay as they were packed, and the emptiest are
+dissolved to fill their gaps; the last tokens are cut at powers of two, which need no padding.
 
 Each partition packs on its own: no shuffle, and memory is bounded by ``open_limit`` windows.
 """
@@ -125,40 +125,40 @@ class Levels:
         self.full = level + size == self.window
         return pieces
 
-    def drain(self) -> list:
-        """All pieces of open windows, fullest window first; afterwards none is open."""
-        pieces = [p for level in reversed(self.open) for w in level for p in w]
+    def drain(self) -> list[tuple[int, list]]:
+        """(fill, pieces) of all open windows, fullest first; afterwards none is open."""
+        windows = [(fill, pieces) for fill in range(self.window - 1, 0, -1) for pieces in self.open[fill]]
         self.__init__(self.window)
-        return pieces
+        return windows
 
 
-def laid_out(pieces: list, window: int, last: bool):
-    """Sequences without gaps from pieces (doc, start, ids, total).
+def laid_out(windows: list, window: int, last: bool):
+    """Sequences without gaps from open windows (fill, pieces), fullest first, where a piece is (doc, start, ids, total).
 
-    Full windows come first; what is left over is cut at powers of two if ``last``, else returned.
+    As many windows as the tokens fill keep what was placed in them, the fullest ones; the others are dissolved, and
+    their pieces, cut where needed, fill the gaps. What is left over is cut at powers of two if ``last``, else returned.
     """
-    def cut(need, queue):
+    total = sum(fill for fill, _ in windows)
+    kept = windows[:total // window]
+    queue = [p for _, pieces in reversed(windows[len(kept):]) for p in reversed(pieces)]
+
+    def cut(need):
         out = []
         while need:
-            doc, start, ids, total = queue.pop()
+            doc, start, ids, size = queue.pop()
             take = min(need, len(ids) // 4)
-            out.append((doc, start, ids[:4 * take], total))
+            out.append((doc, start, ids[:4 * take], size))
             if 4 * take < len(ids):
-                queue.append((doc, start + take, ids[4 * take:], total))
+                queue.append((doc, start + take, ids[4 * take:], size))
             need -= take
         return out
 
-    queue = pieces[::-1]
-    left = sum(len(p[2]) for p in pieces) // 4
-    sequences = []
-    while left >= window:
-        sequences.append(cut(window, queue))
-        left -= window
-    if last:
-        while left:
-            size = 1 << (left.bit_length() - 1)
-            sequences.append(cut(size, queue))
-            left -= size
+    sequences = [pieces + cut(window - fill) for fill, pieces in kept]
+    left = total % window
+    while last and left:
+        size = 1 << (left.bit_length() - 1)
+        sequences.append(cut(size))
+        left -= size
     return sequences, queue[::-1]
 
 
