@@ -30,6 +30,8 @@ LEAST_REVISIT = 100
 SALTS = 16
 #: Bytes of an archive that one reading task takes at a stretch.
 STRETCH = 4_000_000
+#: Bytes of archives for each reading task.
+TASK_BYTES = 64_000_000
 _CAPTURE = "surt string, file string, start long, length long"
 _RESPONSE = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
@@ -253,7 +255,9 @@ def lookup(keys: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
             (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["surt", "file", "start", "length"])
 
     asked = keys.select("surt").mapInArrow(places, "surt string, shard long")
-    return asked.repartition("shard", F.pmod(F.xxhash64("surt"), F.lit(8))).sortWithinPartitions("shard", "surt").mapInArrow(run, _CAPTURE)
+    # Captures are small rows, reading them is not: the number of tasks is set, or adaptive execution would merge them into one.
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return asked.repartition(tasks, "shard", F.pmod(F.xxhash64("surt"), F.lit(8))).sortWithinPartitions("shard", "surt").mapInArrow(run, _CAPTURE)
 
 
 RECORD = ("page string, record_type string, url string, payload binary, payload_bytes long, payload_digest string, refers_to string")
@@ -282,5 +286,10 @@ def read(captures: DataFrame, folder: str) -> DataFrame:
     def flushed(held):
         return pa.RecordBatch.from_arrays([pa.array([h[n] for h in held], t) for n, t in zip(names, types)], names=names)
 
-    return (captures.select("file", "start", "length").repartition("file", F.floor(F.col("start") / STRETCH))
+    # As many tasks as the archives' bytes need, at least those of any shuffle.
+    from pyarrow import fs
+    where, base = _opened(folder)
+    found = where.get_file_info(fs.FileSelector(f"{base}/archives", allow_not_found=True))
+    tasks = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sum(f.size or 0 for f in found) // TASK_BYTES))
+    return (captures.select("file", "start", "length").repartition(tasks, "file", F.floor(F.col("start") / STRETCH))
             .sortWithinPartitions("file", "start").mapInArrow(run, RECORD))
