@@ -141,7 +141,7 @@ def drawn(sources: DataFrame, total: int, shard: int = SHARD, seed: int = SEED)
     return _located(slots, "at", _tiled(sources, F.col("quota")), total).groupBy("shard", "rank").agg(F.count("*").alias("n"))
 
 
-def settled(counts: DataFrame, sources: DataFrame) -> DataFrame:
+def settled(counts: DataFrame, sources: DataFrame, total: int) -> DataFrame:
     """(shard, rank, j): the slots of the shards, numbered from 0 in each source up to its quota.
 
     Numbers run on from shard to shard, summed over spans of shards and inside each. Slots beyond a source's quota are as many as those that other sources
@@ -157,6 +157,9 @@ def settled(counts: DataFrame, sources: DataFrame) -> DataFrame:
     over = _tiled(totals, F.greatest(F.col("got") - F.col("quota"), F.lit(0))).select(F.col("rank"), F.col("low").alias("spare"))
     under = (_tiled(totals, F.greatest(F.col("quota") - F.col("got"), F.lit(0)))
              .join(totals.select("rank", "got"), "rank").withColumnRenamed("rank", "to"))
+    # A count is a small row that becomes many: the number of tasks is set, or adaptive execution would merge the rows into one.
+    tasks = max(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (1 << 20)))
+    numbered = numbered.repartition(tasks, "shard", "rank")
     slots = numbered.join(totals.select("rank", "quota"), "rank").withColumn("j", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)))
     kept = slots.where("j < quota").select("shard", "rank", "j")
     surplus = slots.where("j >= quota").join(over, "rank").select("shard", (F.col("spare") + F.col("j") - F.col("quota")).alias("at"))
@@ -181,7 +184,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     counts = written(drawn(sources, total, shard, seed), "shard-counts")
     epochs = sources.where("blocks > 0").select(F.col("rank").alias("of"), F.col("blocks").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("epoch"))
     epochs = epochs.withColumn("keys", round_keys(F.col("of"), F.col("epoch"), F.col("b"), seed))
-    slots = settled(counts, sources).join(sources.select("rank", "blocks"), "rank").withColumn("e", F.floor(F.col("j") / F.col("blocks")))
+    slots = settled(counts, sources, total).join(sources.select("rank", "blocks"), "rank").withColumn("e", F.floor(F.col("j") / F.col("blocks")))
     slots = slots.join(epochs, (F.col("rank") == F.col("of")) & (F.col("e") == F.col("epoch")))
     slots = slots.select("shard", "rank", "j", permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("keys")).alias("block"))
     return Mix(sources, documents, slots)

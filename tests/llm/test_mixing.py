@@ -115,7 +115,7 @@ def test_draws_are_multinomial_and_settle(spark):
         mean = sum(ns) / 100
         variance = sum((n - mean) ** 2 for n in ns) / 99
         assert abs(mean - 1000 * p) < 8 and 0.6 < variance / (1000 * p * (1 - p)) < 1.6
-    slots = mx.settled(counts, sources).collect()
+    slots = mx.settled(counts, sources, 100000).collect()
     numbers = defaultdict(list)
     for r in slots:
         numbers[r["rank"]].append(r.j)
