@@ -90,6 +90,17 @@ class Encoder:
                 yield b"".join(map(self.seen.__getitem__, words)) + self.end
 
 
+_ENCODERS: dict = {}
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    """The encoder of a worker process, which keeps the runs it has seen from task to task."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
+
+
 class Levels:
     """The level array: how many windows are open at each fill, and which."""
 
@@ -211,12 +222,12 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 1, key: str = "doc_id
     def run(batches):
         from pyspark import TaskContext
         base = TaskContext.get().partitionId() * PER_PARTITION
-        encoder, kinds = Encoder(tokenizer_path, end_id), []
+        ids_of, kinds = encoder(tokenizer_path, end_id), []
 
         def docs():
             for batch in batches:
                 kinds[:] = [batch.schema.field(0).type]
-                yield from zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist()))
+                yield from zip(batch.column(0).to_pylist(), ids_of.batch(batch.column(1).to_pylist()))
 
         def out(rows):
             doc, start, ids, total, number, offset = zip(*rows)
