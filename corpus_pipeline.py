@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from listwise.llm import decontaminate, langid, lines, neardup, packing
-from listwise.llm.common import table, written
+from listwise.llm.common import discard, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,9 +26,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.struct("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.struct("doc_id") == F.col("_kept"), "left_semi").select(*COLUMNS)
+    """One document of each component of near-duplicates; two texts under one id are two documents, a row repeated is one."""
+    docs = docs.withColumn("_row", F.struct("doc_id", F.xxhash64("text").alias("mark")))
+    kept = neardup.near_duplicates(docs, key="_row").where("kept").select(F.col("_row").alias("_kept")).distinct()
+    return docs.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another over the documents of ``sf_dir``; a stage's table goes when the next one's is written."""
+    docs = before = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if name != STAGES[0][0]:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
