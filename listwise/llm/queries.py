@@ -74,7 +74,8 @@ def op10(spark, sf):
 
     base = F.filter("spans", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
     return found.select("doc_id", *(count(k) for k in ("email", "ip", "card", "phone")),
-                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                        F.size("spans").cast("long").alias("n_found"), F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("risk"))
 
 
 @query("op3_decontamination")
