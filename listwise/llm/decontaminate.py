@@ -29,6 +29,8 @@ MASKS = 3
 ENUMERATED = 20
 #: Up to so many seeds (about 50 bytes each) every task holds them all; beyond, both sides are shuffled by seed.
 BROADCAST_SEEDS = 500_000
+#: Up to so many documents that are hit (about 100 bytes each) every task knows them all when it reads the texts again; beyond, the texts are shuffled.
+BROADCAST_DOCS = 1_000_000
 #: Places of an item that are compared at once, and tokens of a document's block.
 CHUNK = 20
 BLOCK = 64
@@ -138,7 +140,10 @@ def _found(docs: DataFrame, items: DataFrame, key: str, item_key: str, text: str
 
     # Blocks of the documents that are hit, by place.
     wanted = hits.select("key", "key_mark", "block").distinct()
-    texts = corpus.join(wanted.select("key", "key_mark").distinct(), ["key", "key_mark"], "left_semi")
+    hit = wanted.select("key", "key_mark").distinct()
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_DOCS else hit
+    raw = docs.select(F.struct(F.col(key).alias("v")).alias("key"), F.col(text).cast("string").alias("text"))
+    texts = raw.withColumn("key_mark", F.xxhash64("text")).join(hit, ["key", "key_mark"], "left_semi").withColumn("words", tokens(F.col("text")))
     cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / BLOCK).cast("int")), lambda b: F.struct(
         b.alias("block"), F.slice("words", b * BLOCK + 1, BLOCK + reach).alias("there")))
     blocks = texts.where(F.size("words") > 0).select("key", "key_mark", F.explode(cut).alias("b")).select("key", "key_mark", "b.block", "b.there")

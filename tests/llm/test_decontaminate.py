@@ -86,6 +86,7 @@ def test_long_texts_and_texts_of_one_key(spark, monkeypatch):
     items = spark.createDataFrame([(1, item), (1, None), (2, " ".join(f"w{k % 977}x{k % 89}" for k in range(500, 560)))], "item_id long, text string")
     for limit in (dec.BROADCAST_SEEDS, 0):
         monkeypatch.setattr(dec, "BROADCAST_SEEDS", limit)
+        monkeypatch.setattr(dec, "BROADCAST_DOCS", limit)
         got = {(r.doc_id, r.item_id): (r.n_equal, r.n_compared) for r in dec.overlaps(docs, items).collect()}
         assert got == {(1, 1): (len(part) - 2, len(part)), (1, 2): (20, 20), (2, 1): (len(part), len(part)), (None, 1): (len(part), len(part))}
         left = dec.without_overlaps(docs, items)
