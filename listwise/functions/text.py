@@ -2,6 +2,7 @@
 
 import re
 import unicodedata
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -371,11 +372,20 @@ def visible_text(html: Column) -> Column:
     return F.lower(squeeze(unescape(bare)))
 
 
+#: Every named character reference of the HTML standard but the ampersand, from the standard library's table.
+_REFERENCES = {f"&{name}": text for name, text in html5.items() if name.endswith(";") and name not in ("amp;", "AMP;")}
+
+
 def unescape(c: Column) -> Column:
-    """The five XML entities, the no-break space, and every character given by its number."""
-    for entity, text in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
-        c = F.replace(c, F.lit(entity), F.lit(text))
-    return F.replace(let(c, _numbered_characters), F.lit("&amp;"), F.lit("&"))
+    """Character references as the characters they name, by name or number; what names none stays.
+
+    The ampersand comes last, so that what it uncovers is not read again.
+    """
+    names = F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in _REFERENCES.items())), F.lit("\u0001"), F.lit("\u0002"))
+    c = let(c, lambda text: F.aggregate(F.array_distinct(F.regexp_extract_all(text, F.lit(r"&[A-Za-z][A-Za-z0-9]*;"), F.lit(0))), text,
+                                        lambda acc, ref: F.replace(acc, ref, F.coalesce(F.try_element_at(names, ref), ref))))
+    c = F.replace(c, F.lit("\u00a0"), F.lit(" "))
+    return F.regexp_replace(let(c, _numbered_characters), "&(amp|AMP);", "&")
 
 
 def _numbered_characters(c: Column) -> Column:

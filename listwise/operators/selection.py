@@ -102,7 +102,7 @@ def bounded_selection(rows: DataFrame, known: DataFrame, researched: DataFrame,
     firsts = open_rows.groupBy("__unit").agg(F.min(F.struct(*order)).alias("__first"))
     # The cap is the feature here: at most ``limit`` units are ever admitted.
     chosen = firsts.orderBy("__first").limit(limit).select("__unit", F.col("__first").alias("__picked"))
-    out = df.join(F.broadcast(chosen), "__unit", "left")
+    out = df.join(chosen, "__unit", "left")
     outcome = (F.when(F.col("__why").isNotNull(), F.col("__why"))
                .when(F.col("__picked").isNull(), F.lit("over_candidate_cap"))
                .when(F.struct(*order) == F.col("__picked"), F.lit("selected"))

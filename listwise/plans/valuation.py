@@ -296,6 +296,28 @@ def cheapest_peer_effect(decided: DataFrame, cheapest: DataFrame, key: str = "sl
         "cost_reduction": F.col("total_cost") - F.col("peer_cost")})
 
 
+def rescored_at_peer(listings: DataFrame, comps: DataFrame, cheapest: DataFrame, today, key: str = "slab_key") -> DataFrame:
+    """Each listing decided as it is, and again at the complete cost of its key's cheapest eligible peer.
+
+    ``outcome`` tells where that cost stands to the market, or that the comps carry no statement; it is
+    ``no_eligible_peer`` for a key without one, which is decided once.
+    """
+    c = F.col
+    peer = cheapest.select(key, c("item_id").alias("peer_item_id"), c("cost").alias("peer_cost"))
+    base = listings.select("item_id", key, "price", "shipping_cost", "active").join(benchmark(comps, key), key, "left").join(peer, key, "left")
+    stages = F.array(F.struct(F.lit(False).alias("moved"), c("price").alias("p"), c("shipping_cost").alias("s"), c("active").alias("a")),
+                     F.struct(F.lit(True).alias("moved"), c("peer_cost").alias("p"), F.lit(0.0).alias("s"), F.lit(True).alias("a")))
+    rows = base.withColumn("__stage", F.explode(stages)).where(~c("__stage.moved") | c("peer_item_id").isNotNull())
+    rows = decision_columns(rows.withColumns({"price": c("__stage.p"), "shipping_cost": c("__stage.s"), "active": c("__stage.a")}), today)
+    below = c("gross_gap") / F.nullif(c("median_total"), F.lit(0.0))
+    outcome = (F.when(c("comp_count") < V.MIN_COMPS, "excluded_insufficient_or_unreliable_comps").when(below >= V.WATCH_DISCOUNT, "below_market_10pct_or_more")
+               .when(below > 0, "within_10pct_of_market").otherwise("above_market"))
+    pick = lambda value, moved: F.max(F.when(c("__stage.moved") == moved, value))
+    return rows.withColumn("__outcome", outcome).groupBy("item_id").agg(
+        F.max("peer_item_id").alias("peer_item_id"), pick(c("decision"), F.lit(False)).alias("decision"), pick(c("decision"), F.lit(True)).alias("decision_at_peer"),
+        pick(c("reason"), F.lit(True)).alias("reason_at_peer"), F.coalesce(pick(c("__outcome"), F.lit(True)), F.lit("no_eligible_peer")).alias("outcome"))
+
+
 def revaluation_stages(listings: DataFrame, comps: DataFrame, today, stages: dict[str, dict],
                        key: str = "slab_key") -> DataFrame:
     """The same listings under several rule sets: one benchmark, one column set per stage.

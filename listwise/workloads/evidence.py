@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from listwise.functions import text as T
 from listwise.plans import evidence as E
 from listwise.plans import identity as I
-from listwise.session import settle
+from listwise.session import own_dir, settle
+from listwise.sources import exports as X
 from listwise.workloads import base as B
 from listwise.workloads.registry import query
 
@@ -195,14 +196,49 @@ def import_sold(spark, sf):
                                           "best_offer", "actual_price_known", "converted_total")
 
 
-@query("research_queries", f"""{CANDIDATES_SQL},
-q AS (SELECT cid, p, concat_ws(' ', c_year, c_subject, c_maker, c_set, '#' || c_number, c_parallel, 'PSA', '9') AS raw, c_parallel FROM cands)
-SELECT cid AS item_id, array_to_string(list_filter(string_split(raw, ' '), lambda x, i: list_position(string_split(raw, ' '), x) = i), ' ') AS search_query,
-  '' AS violations, 'subject|year|card_number|psa_grade|parallel|autograph_status' AS fields_that_must_match,
-  'card_number|psa_grade' || CASE WHEN c_parallel IS NOT NULL THEN '|parallel' ELSE '' END AS fields_that_must_not_be_relaxed, c_parallel IS NULL AS relaxed_allowed FROM q""")
+# The name of every 37th subject begins with the grader's, which then is stated once only: the query does not state the grade.
+_QUERIES_SQL = f"""{CANDIDATES_SQL},
+named AS (SELECT * REPLACE (CASE WHEN p % 37 = 0 THEN 'PSA ' || c_subject ELSE c_subject END AS c_subject) FROM cands),
+q AS (SELECT *, concat_ws(' ', c_year, c_subject, c_maker, c_set, '#' || c_number, c_parallel, 'PSA', '9') AS raw FROM named),
+asked AS (SELECT *, array_to_string(list_filter(string_split(raw, ' '), lambda x, i: list_position(string_split(raw, ' '), x) = i), ' ') AS search_query,
+  CASE WHEN p % 37 = 0 THEN 'grade' ELSE '' END AS violations, 'subject|year|card_number|psa_grade|parallel|autograph_status' AS fields_that_must_match,
+  'card_number|psa_grade' || CASE WHEN c_parallel IS NOT NULL THEN '|parallel' ELSE '' END AS fields_that_must_not_be_relaxed FROM q)"""
+
+
+def asked_queries(spark, sf):
+    named = F.when(F.col("slab_key") % 37 == 0, F.concat(F.lit("PSA "), F.col("subject"))).otherwise(F.col("subject"))
+    return E.research_queries(candidates(spark, sf).withColumn("subject", named))
+
+
+@query("research_queries", f"""{_QUERIES_SQL}
+SELECT cid AS item_id, search_query, violations, violations = '' AS sendable, fields_that_must_match, fields_that_must_not_be_relaxed, c_parallel IS NULL AS relaxed_allowed FROM asked""")
 def research_queries(spark, sf):
-    return E.research_queries(candidates(spark, sf)).select("item_id", "search_query", "violations", "fields_that_must_match",
-                                                           "fields_that_must_not_be_relaxed", "relaxed_allowed")
+    return asked_queries(spark, sf).select("item_id", "search_query", "violations", "sendable", "fields_that_must_match",
+                                           "fields_that_must_not_be_relaxed", "relaxed_allowed")
+
+
+@query("research_file", f"""{_QUERIES_SQL}
+SELECT cid AS candidate_item_id, CASE WHEN c_parallel IS NULL THEN 'base' ELSE 'parallel/serial' END AS candidate_type, 'STRICT' AS query_tier, search_query,
+  CAST(c_year AS VARCHAR) AS year, c_subject AS subject, c_maker AS manufacturer, c_set AS set_name, c_number AS card_number, c_parallel AS parallel,
+  NULL::VARCHAR AS qualifier, 'no' AS autograph_status, fields_that_must_not_be_relaxed FROM asked WHERE violations = ''""")
+def research_file(spark, sf):
+    """Queries that may be sent, written as a file and read back."""
+    path = own_dir(spark)
+    X.write_report(X.research_file(asked_queries(spark, sf), F.when(F.col("parallel").isNull(), "base").otherwise("parallel/serial")), path, "csv")
+    return X.read_research_file(spark, path).select(
+        "candidate_item_id", "candidate_type", "query_tier", "search_query", "year", "subject", "manufacturer", "set_name", "card_number", "parallel",
+        "qualifier", "autograph_status", "fields_that_must_not_be_relaxed")
+
+
+@query("candidate_file", f"""{CANDIDATES_SQL}
+SELECT cid AS item_id, c_year AS year, c_maker AS manufacturer, c_set AS set, c_subject AS subject, c_number AS card_number, c_parallel AS parallel,
+  '9' AS psa_grade, 'NUMERIC' AS grade_type, NULL::VARCHAR AS qualifier, 0 AS is_auto FROM cands""")
+def candidate_file(spark, sf):
+    """The pool written as JSON and read back."""
+    path = own_dir(spark)
+    X.write_report(candidates(spark, sf).drop("slab_key"), path, "json")
+    return X.read_candidates(spark, path, multi_line=False).select(
+        "item_id", "year", "manufacturer", "set", "subject", "card_number", "parallel", "psa_grade", "grade_type", "qualifier", "is_auto")
 
 
 @query("query_token_sources", f"""{CANDIDATES_SQL},

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from listwise import fixed_values as V
 from listwise.operators import order_stats as O
 from listwise.plans import valuation as P
+from listwise.plans.peers import cheapest_eligible
 from listwise.workloads import base as B
 from listwise.session import settle
 from listwise.workloads.registry import query
@@ -196,6 +197,25 @@ def rank_monotonic(spark, sf):
     return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
+_MOVED = B.decided_sql("moved", "bench").replace("FROM listings l", "FROM at_peer l")
+
+
+@query("rescored_at_peer", f"""{DECIDED},
+best AS (SELECT slab_key, min(price + shipping_cost) AS cost FROM listings WHERE active AND shipping_cost IS NOT NULL GROUP BY slab_key),
+peer AS (SELECT slab_key, cost, min(item_id) AS peer_item_id FROM best JOIN listings USING (slab_key) WHERE active AND price + shipping_cost = cost GROUP BY ALL),
+at_peer AS (SELECT l.* REPLACE (cost AS price, 0.0::DOUBLE AS shipping_cost, true AS active), peer_item_id FROM listings l JOIN peer USING (slab_key)),
+{_MOVED}
+SELECT d.item_id, m.peer_item_id, d.decision, m.decision AS decision_at_peer, m.reason AS reason_at_peer,
+  CASE WHEN m.item_id IS NULL THEN 'no_eligible_peer' WHEN m.comp_count < 3 THEN 'excluded_insufficient_or_unreliable_comps'
+       WHEN m.pct >= 0.1 THEN 'below_market_10pct_or_more' WHEN m.pct > 0 THEN 'within_10pct_of_market' ELSE 'above_market' END AS outcome
+FROM decided d LEFT JOIN moved m USING (item_id)""")
+def rescored_at_peer(spark, sf):
+    rows = B.listings(spark, sf)
+    members = rows.withColumns({"acquisition_total": F.col("price") + F.col("shipping_cost"),
+                                "reject_reason": F.when(~F.col("active"), "inactive").when(F.col("shipping_cost").isNull(), "shipping_unknown")})
+    return P.rescored_at_peer(rows, B.accepted(spark, sf), cheapest_eligible(members), B.TODAY)
+
+
 @query("consistency", f"""{REPORT} SELECT
   count(*) FILTER (population = 'valued' AND markup_band IS NOT NULL) = count(*) FILTER (population = 'valued') AS bands_total_valued,
   count(*) FILTER (decision IN ('BUY', 'WATCH', 'PASS', 'REVIEW_REQUIRED')) = count(*) AS decisions_total_candidates,

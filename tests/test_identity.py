@@ -1,5 +1,7 @@
 """Golden titles, keys, second-source cases and sold-title matching."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from listwise.functions import keys as K
@@ -250,3 +252,38 @@ def test_dates_and_money(spark):
 def test_transaction_keys_tell_sales_apart(spark):
     key = lambda price: K.transaction_key(F.lit("117"), F.lit("t"), F.lit(price), F.lit(None), F.lit("2024-01-01"))
     assert one(spark, key("88.00")) != one(spark, key("53.14")) and one(spark, key("88.00")).startswith("117-")
+
+
+def brute_numbers(text):
+    """Year, copy number and print run, and grade of a text, by reading it place by place."""
+    text = " ".join((text or "").translate(str.maketrans(T.ACCENTED, T.PLAIN)).split()).upper()
+    digits = lambda at, most: next((n for n in range(most, 0, -1) if text[at:at + n].isdigit() and text[at:at + n].isascii() and len(text[at:at + n]) == n), 0)
+    year = int(text[:4]) if re.match(r"(18|19|20)[0-9][0-9](-([0-9]{4}|[0-9]{2}))?S?(\s|$|[A-Z])", text) else None
+    grades = re.findall(r"PSA\s*(10|[1-9](?:\.5)?)(?![0-9.])", text)
+    runs = []
+    for at in range(len(text)):
+        if at and text[at - 1] in "0123456789/.#" or not text[at].isdigit():
+            continue
+        n = digits(at, 4)
+        rest = at + n
+        if text[rest:rest + 1].isdigit():
+            continue
+        slash = re.match(r"\s*/\s*", text[rest:])
+        m = digits(rest + slash.end(), 5) if slash else 0
+        behind = rest + slash.end() + m if slash else 0
+        if m and text[behind:behind + 1] not in tuple("0123456789/") and int(text[at:rest]) <= int(text[rest + slash.end():behind]):
+            runs.append((int(text[at:rest]), int(text[rest + slash.end():behind])))
+    return year, runs[0] if runs else None, grades[-1] if grades else None
+
+
+def test_document_numbers_by_hand(spark):
+    """Years, copy numbers and grades over whole documents, and texts that hold them."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    hand = ["1999 copy 5/10 of PSA 9", "2004-05S set 12 / 99 PSA 10", "7/5 then 3/50", "", None, "3.5/10", "12345/99999", "1/2/3", "2010x", "PSA 8.5 4/4 PSA 7"]
+    texts |= {-1 - k: t for k, t in enumerate(hand)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in I.parse_titles(df, "text").collect():
+        year, run, grade = brute_numbers(texts[r.doc_id])
+        assert (r.year, r.grade_value if r.grade_type == "NUMERIC" else None) == (year, grade), texts[r.doc_id]
+        if "#" not in (texts[r.doc_id] or ""):
+            assert (r.serial_num, r.print_run) == (run or (None, None)), texts[r.doc_id]

@@ -127,3 +127,31 @@ def test_import_ties_and_classes(spark):
     stored = spark.createDataFrame([], "candidate_item_id string, source string, sale_key string")
     status = [r.status for r in E.import_ledger(sold, make("a"), stored).collect()]
     assert len(status) == 6 and status.count("added") == 1 and status.count("duplicate") == 4 and status.count("unattributed") == 1
+
+
+def test_sales_are_forgotten_after_the_horizon(spark, tmp_path):
+    """A sale seen again within a day is dropped; one seen again after the state has gone counts anew."""
+    home, schema = str(tmp_path), "sale string, ts timestamp"
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    batches = [[("a", 0), ("b", 1), ("a", 2)], [("a", 10), ("c", 60)], [("c", 61), ("d", 100)], [("a", 110), ("c", 111), ("d", 112)]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame([(s, at(h)) for s, h in rows], schema).coalesce(1).write.parquet(f"{home}/in/part={n}")
+        feed = spark.readStream.schema(schema).parquet(f"{home}/in/part=*")
+        S.first_sales(feed, "sale", "ts", "1 day").writeStream.format("parquet").option("checkpointLocation", f"{home}/check").trigger(
+            availableNow=True).start(f"{home}/out").awaitTermination()
+    got = sorted((r.sale, (r.ts - at(0)).total_seconds() / 3600) for r in spark.read.schema(schema).parquet(f"{home}/out").collect())
+    assert [s for s, _ in got].count("a") == 2 and ("a", 110) in got and ("c", 61) not in got and [s for s, _ in got].count("b") == 1
+
+
+def test_candidate_pool_of_one_list(spark, tmp_path):
+    from listwise.sources import exports as X
+    (tmp_path / "pool.json").write_text('[{"item_id": "a", "year": 1990, "set": "BASE", "extra": [1]},\n {"item_id": "b"}, {"year": 3}, {"item_id": "b", "year": 2001}]')
+    got = {r.item_id: (r.year, r.set, r.psa_grade) for r in X.read_candidates(spark, str(tmp_path / "pool.json")).collect()}
+    assert got == {"a": (1990, "BASE", None), "b": (2001, None, None)}
+
+
+def test_character_references(spark):
+    from listwise.functions import text as T
+    texts = {"a &eacute;&nbsp;b &amp;lt; &lt;c&gt; &hearts; &#39;x&#x27; &bogus; &amp": "a é b &lt; <c> ♥ 'x' &bogus; &amp", "&AMP;&copy;&NotEqualTilde;": "&©≂̸", "plain": "plain"}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.unescape(F.col("t")).alias("u")).collect()
+    assert {r.t: r.u for r in rows} == texts
