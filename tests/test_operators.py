@@ -155,3 +155,86 @@ def test_character_references(spark):
     texts = {"a &eacute;&nbsp;b &amp;lt; &lt;c&gt; &hearts; &#39;x&#x27; &bogus; &amp": "a é b &lt; <c> ♥ 'x' &bogus; &amp", "&AMP;&copy;&NotEqualTilde;": "&©≂̸", "plain": "plain"}
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.unescape(F.col("t")).alias("u")).collect()
     assert {r.t: r.u for r in rows} == texts
+
+
+def test_as_of_against_brute_force(spark):
+    from listwise.operators.asof import as_of, validity
+    rng = random.Random(11)
+    left = [(k, rng.choice(["a", "b", "hot", "hot", None]), rng.choice([None, rng.randint(0, 400)])) for k in range(400)]
+    right = [(rng.choice(["a", "hot", "hot", "hot", None]), rng.choice([None, rng.randint(0, 400)]), rng.choice([None, "x", "y", "z"])) for _ in range(300)]
+    a = spark.createDataFrame(left, "id int, k string, t int")
+    b = spark.createDataFrame(right, "k string, at int, v string")
+    got = {r.id: r.now_v for r in as_of(a, b, "k", "t", "at", ["v"], lambda t: (t / 50).cast("int"), "now_").collect()}
+
+    def order(v):
+        return (v is not None, v or "")
+
+    for i, k, t in left:
+        known = [(at, order(v), v) for key, at, v in right if key == k and at is not None and t is not None and k is not None and at <= t]
+        assert got[i] == (max(known)[2] if known else None), (i, k, t)
+    spans = [tuple(r) for r in validity(b, "k", "at", "v", lambda t: (t / 50).cast("int")).collect()]
+    for key in ("a", "hot"):
+        by_time = {}
+        for k, at, v in right:
+            if k == key and at is not None:
+                by_time[at] = max(by_time.get(at, (False, "")), order(v))
+        want, last = [], object()
+        for at in sorted(by_time):
+            value = by_time[at][1] if by_time[at][0] else None
+            if value != last:
+                want.append([key, value, at, None])
+                last = value
+        for one, after in zip(want, want[1:]):
+            one[3] = after[2]
+        mine = [s[1:] for s in spans if s[0] == key]
+        assert len(mine) == len(want) and set(mine) == {tuple(w[1:]) for w in want}
+
+
+def test_greedy_cover_against_one_row_at_a_time(spark):
+    from listwise.operators.selection import greedy_shortlist
+    rng = random.Random(12)
+    for quota, total in ((2, 12), (3, 40), (50, 200)):
+        rows = [(f"i{k:03}", rng.choice([None, *range(60)]), float(rng.randint(0, 30)), *(rng.random() < p for p in (.05, .15, .3, .4))) for k in range(300)]
+        names = ["qualifier", "auto", "numbered", "rookie"]
+        df = spark.createDataFrame(rows, "item_id string, slab_key int, score double, qualifier boolean, auto boolean, numbered boolean, rookie boolean")
+        seed = [r for r in rows if r[0] in ("i000", "i001")]
+        seed = seed if seed[0][1] != seed[1][1] else seed[:1]
+        chosen, groups, covered, order = [(r[0], "seed") for r in seed], {r[1] for r in seed}, dict.fromkeys(names, 0), sorted(rows, key=lambda r: (-r[2], r[0]))
+        for r in seed:
+            for n, on in zip(names, r[3:]):
+                covered[n] += on
+        for name in [*names, None]:
+            for r in order:
+                if len(chosen) >= total:
+                    break
+                if r[1] in groups or (name and (not r[3 + names.index(name)] or covered[name] >= quota)):
+                    continue
+                chosen.append((r[0], name or "fill"))
+                groups.add(r[1])
+                for n, on in zip(names, r[3:]):
+                    covered[n] += on
+        got = greedy_shortlist(df, {n: F.col(n) for n in names}, quota, total, [-F.col("score")], seed=df.where(F.col("item_id").isin([r[0] for r in seed])))
+        assert sorted((r.item_id, r.round) for r in got.collect()) == sorted(chosen)
+
+
+def test_only_moved_rows_are_decided_again(spark):
+    from listwise.plans import audit as A
+    fields = dict(year=2018, manufacturer="PANINI", set="PRIZM", subject="LUKA DONCIC", card_number="280", parallel=None, print_run=None,
+                  psa_grade="10", grade_type="NUMERIC", qualifier=None, is_auto=0, auto_grade=None)
+    schema = ("item_id string, year int, manufacturer string, set string, subject string, card_number string, parallel string, print_run int, "
+              "psa_grade string, grade_type string, qualifier string, is_auto int, auto_grade string")
+    pool = lambda **grades: spark.createDataFrame([(i, *(fields | {"psa_grade": g}).values()) for i, g in grades.items()], schema)
+    titles = [(k, i, f"2018 Panini Prizm #280 Luka Doncic PSA {9 + k % 2}", "") for k, i in enumerate("aabbc" * 4)]
+    rows = spark.createDataFrame(titles, "row_id int, candidate_item_id string, raw_title string, raw_text string")
+    rows = rows.withColumns({n: F.lit(None).cast("string") for n in ("state", "reason_code", "reason", "digest")})
+    before = pool(a="10", b="9", c="10")
+    assert A.stale_rows(rows, before).count() == len(titles)
+    first = A.reclassified(rows, before).persist()
+    full = {r.row_id: (r.state, r.reason) for r in E.classify_comps(rows.select("row_id", "candidate_item_id", "raw_title", "raw_text"), before).collect()}
+    assert {r.row_id: (r.state, r.reason) for r in first.collect()} == full and A.stale_rows(first, before).count() == 0
+    moved = pool(a="10", b="10")  # one candidate has changed, one is gone
+    assert {r.candidate_item_id for r in A.stale_rows(first, moved).collect()} == {"b"}
+    second = {r.row_id: (r.state, r.reason) for r in A.reclassified(first, moved).collect()}
+    again = {r.row_id: (r.state, r.reason) for r in E.classify_comps(rows.select("row_id", "candidate_item_id", "raw_title", "raw_text"), moved).collect()}
+    assert second == full | again and any(second[k] != full[k] for k in full)
+    assert A.stale_rows(first, before, version="2").count() == len(titles)
