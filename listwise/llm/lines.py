@@ -187,7 +187,8 @@ def dedup_passages(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                .distinct().groupBy("key", "mark").agg(F.collect_list("unit").alias("dropped")))
     dropped = written(dropped, "dropped-sentences")
     discard(stretches)
-    out = docs.join(dropped, ["key", "mark"], "left").withColumn("_units", F.split("text", SENTENCE))
+    # Only texts that lose something are cut into sentences again.
+    out = docs.join(dropped, ["key", "mark"], "left").withColumn("_units", F.when(F.col("dropped").isNotNull(), F.split("text", SENTENCE)))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_units") - 1), F.col("dropped")), lambda i: F.struct(i.alias("i"), F.get("_units", i).alias("u")))
     ends = F.transform("dropped", lambda i: F.struct(i.alias("i"), F.when(F.get("_units", i).endswith("\n"), F.lit("\n")).otherwise(F.lit("")).alias("u")))
     left = F.transform(F.sort_array(F.concat(kept, ends)), lambda x: x["u"])
