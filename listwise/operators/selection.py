@@ -8,16 +8,24 @@ from listwise import fixed_values as V
 from listwise.session import settle
 
 
+#: Up to this limit Spark applies a rank limit to each task's rows before the shuffle.
+GROUP_LIMIT = 1000
+
+
 def cap_per_key(df: DataFrame, key: str, limit: int, order: list[str]) -> DataFrame:
     """At most ``limit`` rows per key in the given order; rows without a key are kept.
 
-    Below Spark's window group limit threshold (1,000 by default) the limit is applied to
-    each task's rows before the shuffle, so a hot key sends at most ``limit`` rows per task;
-    above it the rows of a key are ranked in one task.
+    Up to ``GROUP_LIMIT`` a hot key sends at most ``limit`` rows per task. Above it the rows of a key are first
+    ranked within their own partition, so that what meets in one task is ``limit`` rows of each, never the whole key.
     """
-    ranked = df.where(F.col(key).isNotNull()).withColumn(
-        "__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("__n") <= limit)
-    return ranked.drop("__n").unionByName(df.where(F.col(key).isNull()))
+    def first(rows: DataFrame, *within: str) -> DataFrame:
+        ranked = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
+        return ranked.where(F.col("__n") <= limit).drop("__n")
+
+    rows = df.where(F.col(key).isNotNull())
+    if limit > GROUP_LIMIT:
+        rows = first(rows.withColumn("__part", F.spark_partition_id()), key, "__part").drop("__part")
+    return first(rows, key).unionByName(df.where(F.col(key).isNull()))
 
 
 def capped_keys(df: DataFrame, key: str, limit: int) -> DataFrame:

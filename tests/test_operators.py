@@ -238,3 +238,12 @@ def test_only_moved_rows_are_decided_again(spark):
     again = {r.row_id: (r.state, r.reason) for r in E.classify_comps(rows.select("row_id", "candidate_item_id", "raw_title", "raw_text"), moved).collect()}
     assert second == full | again and any(second[k] != full[k] for k in full)
     assert A.stale_rows(first, before, version="2").count() == len(titles)
+
+
+def test_caps_beyond_the_group_limit(spark):
+    from listwise.operators.selection import cap_per_key
+    df = spark.range(6000).selectExpr("CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 = 9 THEN NULL ELSE 'b' END AS k", "(id * 7919) % 6007 AS o").repartition(5)
+    rows = [(r.k, r.o) for r in df.collect()]
+    for limit in (5, 1500):
+        want = sorted(sum((sorted((r for r in rows if r[0] == k))[:limit] for k in ("hot", "b")), []) + [r for r in rows if r[0] is None], key=str)
+        assert sorted(((r.k, r.o) for r in cap_per_key(df, "k", limit, ["o"]).collect()), key=str) == want
