@@ -10,6 +10,7 @@ Each partition packs on its own: no shuffle, and memory is bounded by ``open_lim
 """
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 WINDOW = 2048
 OPEN_LIMIT = 4096
 CACHE_WORDS = 1_000_000
+#: Runs that a worker process keeps from task to task, the first it saw, which are the frequent ones; all others go with the task.
+KEPT_RUNS = 100_000
 #: Sequence numbers of one partition start at its index times this.
 PER_PARTITION = 1 << 36
 
@@ -50,6 +53,10 @@ class Encoder:
         self.digit, = self.tokenizer.encode("0", add_special_tokens=False).ids
         self.seen: dict = {}
 
+    def trim(self) -> None:
+        if len(self.seen) > KEPT_RUNS:
+            self.seen = dict(islice(self.seen.items(), KEPT_RUNS))
+
     def runs(self, text: str | None) -> list:
         if not text:
             return []
@@ -94,7 +101,7 @@ _ENCODERS: dict = {}
 
 
 def encoder(path: str, end_id: int) -> Encoder:
-    """The encoder of a worker process, which keeps the runs it has seen from task to task."""
+    """The encoder of a worker process, which keeps frequent runs from task to task."""
     if (path, end_id) not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[path, end_id] = Encoder(path, end_id)
@@ -244,6 +251,7 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 1, key: str = "doc_id
                 held = []
         if held:
             yield out(held)
+        ids_of.trim()
 
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
