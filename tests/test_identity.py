@@ -287,3 +287,9 @@ def test_document_numbers_by_hand(spark):
         assert (r.year, r.grade_value if r.grade_type == "NUMERIC" else None) == (year, grade), texts[r.doc_id]
         if "#" not in (texts[r.doc_id] or ""):
             assert (r.serial_num, r.print_run) == (run or (None, None)), texts[r.doc_id]
+
+
+def test_second_hash_behind_a_long_card_number_marks_the_serial(spark):
+    df = spark.createDataFrame([("1990 TOPPS SMALL #100896 SAM GEAR AUTO #8/199 PSA 9",), ("1990 TOPPS SMALL #2 SAM GEAR AUTO #8/199 PSA 9",)], "t string")
+    out = [r.v for r in df.select(T.repair_print_run(F.col("t"), F.lit(None).cast("int")).alias("v")).collect()]
+    assert out == ["1990 TOPPS SMALL #100896 SAM GEAR AUTO 8/199 PSA 9", "1990 TOPPS SMALL #2 SAM GEAR AUTO 8/199 PSA 9"]
