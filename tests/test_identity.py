@@ -293,3 +293,22 @@ def test_second_hash_behind_a_long_card_number_marks_the_serial(spark):
     df = spark.createDataFrame([("1990 TOPPS SMALL #100896 SAM GEAR AUTO #8/199 PSA 9",), ("1990 TOPPS SMALL #2 SAM GEAR AUTO #8/199 PSA 9",)], "t string")
     out = [r.v for r in df.select(T.repair_print_run(F.col("t"), F.lit(None).cast("int")).alias("v")).collect()]
     assert out == ["1990 TOPPS SMALL #100896 SAM GEAR AUTO 8/199 PSA 9", "1990 TOPPS SMALL #2 SAM GEAR AUTO 8/199 PSA 9"]
+
+
+def searches(df):
+    return len(re.findall(r"regexp_\w+\(|RLIKE\(", df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_a_title_is_searched_once_for_each_pattern(spark):
+    """Nested steps multiply the patterns of the steps before them."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    sold = spark.createDataFrame([("a", "x", "1990 TOPPS SMALL #1 SAM GEAR PSA 9")], "item_id string, candidate_item_id string, raw_title string")
+    wanted = spark.createDataFrame([], ", ".join(f"{n} {'int' if n in ('year', 'print_run', 'is_auto') else 'string'}" for n in E.CANDIDATE_FIELDS))
+    assert searches(I.cards(I.extract_identity(sold, "raw_title"))) <= 80
+    assert searches(E.classify_comps(sold, wanted)) <= 200
+
+
+def test_marks_around_a_stop_word_and_a_wide_gap(spark):
+    got = read(spark, ["1990 TOPPS SMALL #1 SAM GEAR ,ROOKIE. PSA 9", "1990 TOPPS SMALL #1 SAM #3/99 GEAR RCA PSA 9", "1990 TOPPS SMALL #1 'PSAX SAM PSA 9", "1990 TOPPS SMALL #1 SAM 12/ GEAR PSA 9"])
+    assert [r.athlete for r in got.values()] == ["SAM GEAR", "SAM GEAR RCA", None, "SAM"]
