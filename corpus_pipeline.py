@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with a checksum of the ids of each."""
-    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), kept_runs=0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -20,7 +20,7 @@ WINDOW = 2048
 OPEN_LIMIT = 4096
 CACHE_WORDS = 1_000_000
 #: Runs that a worker process keeps from task to task, the first it saw, which are the frequent ones; all others go with the task.
-KEPT_RUNS = 100_000
+KEPT_RUNS = 500_000
 #: Sequence numbers of one partition start at its index times this.
 PER_PARTITION = 1 << 36
 
@@ -53,9 +53,9 @@ class Encoder:
         self.digit, = self.tokenizer.encode("0", add_special_tokens=False).ids
         self.seen: dict = {}
 
-    def trim(self) -> None:
-        if len(self.seen) > KEPT_RUNS:
-            self.seen = dict(islice(self.seen.items(), KEPT_RUNS))
+    def trim(self, kept_runs: int) -> None:
+        if len(self.seen) > kept_runs:
+            self.seen = dict(islice(self.seen.items(), kept_runs))
 
     def runs(self, text: str | None) -> list:
         if not text:
@@ -215,12 +215,14 @@ def packed(docs, window: int, open_limit: int):
 
 
 def pack(df: DataFrame, tokenizer_path: str, end_id: int = 1, key: str = "doc_id", text: str = "text",
-         window: int = WINDOW, open_limit: int = OPEN_LIMIT) -> DataFrame:
+         window: int = WINDOW, open_limit: int = OPEN_LIMIT,
+         kept_runs: int = KEPT_RUNS) -> DataFrame:
     """One row per piece: key, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A null or empty text is the end id alone. Repeated rows are packed each, a null key stays null,
     no other column is read, an empty table gives no rows. ``tokenizer_path`` must exist on every
-    executor. A run again over the same partition gives the same rows.
+    executor. A run again over the same partition gives the same rows. A worker keeps ``kept_runs``
+    encoded runs for its next task; with 0 it keeps nothing, not even the tokenizer.
     """
     kind = df.schema[key].dataType.simpleString()
     fields = [("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -251,7 +253,10 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 1, key: str = "doc_id
                 held = []
         if held:
             yield out(held)
-        ids_of.trim()
+        ids_of.trim(kept_runs)
+        if not kept_runs:
+            _ENCODERS.clear()
+            pa.default_memory_pool().release_unused()
 
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

@@ -93,3 +93,13 @@ def test_most_tokens_stay_where_they_were_placed(spark):
         # The kept windows begin with the pieces that were placed in them.
         sequences, _ = packing.laid_out(windows, packing.WINDOW, True)
         assert all(s[:len(pieces)] == pieces for s, (_, pieces) in zip(sequences, windows[:left // packing.WINDOW]))
+
+
+def test_runs_kept_from_task_to_task_change_no_row(spark):
+    docs = spark.createDataFrame([(i, f"word{i} and word{i % 7}, again.") for i in range(300)], "doc_id long, text string").repartition(5, "doc_id")
+    kept, fresh = (sorted(map(tuple, packing.pack(docs, PATH, kept_runs=n).collect())) for n in (500_000, 0))
+    assert len(kept) >= 300 and kept == fresh
+    known = packing.Encoder(PATH, 1)
+    known.learn(["a", "b", "c"])
+    known.trim(2)
+    assert list(known.seen) == ["a", "b"]
