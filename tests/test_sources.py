@@ -105,3 +105,18 @@ def test_null_identity_borrows_no_evidence(spark):
     comps = spark.createDataFrame([("x", "accepted"), ("y", "accepted"), ("x", "rejected")], "candidate_item_id string, state string")
     ids = spark.createDataFrame([("x", "k"), ("y", None)], "item_id string, eff_slab string")
     assert [r.eff_slab for r in reusable_comps(comps, ids).collect()] == ["k"]
+
+
+def test_a_block_is_cleaned_once(spark):
+    pages = spark.createDataFrame([(0, "<div>x</div>")], "page_id long, html string")
+    plan = G.sold_records(G.page_blocks(pages))._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the link, once for the cells: a filter on the listing repeats neither.
+    assert plan.count("opens in a new window or tab") == 2
+
+
+def test_blocks_of_a_page_in_odd_layouts():
+    row = "<div role='row'><span role='cell'>1990 Topps Base</span><b>$5.00</b> <i>Jan 5,</i> 1997</div>"
+    columns, blocks, tables = G._page_blocks(f"<p>Last  Sold:</p>{row}<table><tr><th>a</th></tr><tr></tr></table>")
+    assert columns == ["date_last_sold"] and tables == [[["a"]]]
+    assert [(b["text"], b["cells"]) for b in blocks] == [("1990 Topps Base $5.00 Jan 5, 1997", ["1990 Topps Base"])]
+    assert G._page_blocks(None) == ([], [], [])
