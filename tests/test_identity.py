@@ -312,3 +312,19 @@ def test_a_title_is_searched_once_for_each_pattern(spark):
 def test_marks_around_a_stop_word_and_a_wide_gap(spark):
     got = read(spark, ["1990 TOPPS SMALL #1 SAM GEAR ,ROOKIE. PSA 9", "1990 TOPPS SMALL #1 SAM #3/99 GEAR RCA PSA 9", "1990 TOPPS SMALL #1 'PSAX SAM PSA 9", "1990 TOPPS SMALL #1 SAM 12/ GEAR PSA 9"])
     assert [r.athlete for r in got.values()] == ["SAM GEAR", "SAM GEAR RCA", None, "SAM"]
+
+
+def test_a_reading_that_may_be_empty_is_evaluated_once(spark):
+    """``nullif`` in a branch would evaluate its text twice, and the canonical set names with all they depend on."""
+    df = spark.createDataFrame([("a-b", True), ("--", True), (None, True), ("c", False)], "x string, on boolean")
+    out = df.select(F.when(F.col("on"), T.norm(F.col("x"))).alias("n"), F.when(F.col("on"), T.capture(F.col("x"), "(b*)$")).alias("c"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and plan.count("regexp_extract(") == 1
+    assert [tuple(r) for r in out.collect()] == [("AB", "b"), (None, None), (None, None), (None, None)]
+
+
+def test_aspects_by_name_the_last_statement_wins(spark):
+    said = [[("Grade", "8"), (" grade ", " 9 "), (None, "x"), ("SET", None), ("Season", " ")], [], None]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(said)], "id int, aspects array<struct<name: string, value: string>>")
+    rows = R.aspect_columns(df).orderBy("id").select("b_grade", "b_set_name", "b_season").collect()
+    assert [tuple(r) for r in rows] == [("9", None, None), (None, None, None), (None, None, None)]
