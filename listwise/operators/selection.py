@@ -123,12 +123,28 @@ def auction_reason(sale_format: Column, end_time: Column, bid: Column) -> Column
             .when(end_time.isNull(), F.lit("no_end_time")).when(bid.isNull(), F.lit("no_current_bid")))
 
 
+def _depth_range(v: Column, ratio: float, depth: int, min_width: float) -> tuple[Column, Column]:
+    """(least, greatest) depth that the deepest band of a value can have whose parent is wider than ``min_width``.
+
+    A band that holds ``v`` and is one step of ``q`` long is narrower than ``v * (q - 1)`` and wider than ``v * (1 - 1 / q)``;
+    rounded edges move the width by a hundredth at most. So the two differ by a few depths, whatever the range.
+    """
+    def steps(log_q: Column) -> Column:
+        return F.log2(F.lit(math.log(ratio)) / log_q)
+
+    bounded = lambda d: F.greatest(F.lit(0), F.least(F.lit(depth), d)).cast("int")
+    sure = F.when(v > min_width + 0.02, F.ceil(steps(-F.log(1 - (min_width + 0.02) / v))) - 1)
+    possible = F.when(F.lit(min_width > 0.02), F.floor(steps(F.log(1 + (min_width - 0.02) / v))) + 2)
+    return bounded(F.coalesce(sure, F.lit(0))), bounded(F.coalesce(possible, F.lit(depth)))
+
+
 def geometric_bands(df: DataFrame, value: str, low: float, high: float, ceiling: int = V.PAGING_CEILING,
                     min_width: float = V.MIN_BAND_WIDTH) -> DataFrame:
     """Split [low, high) at geometric midpoints until every band holds at most ``ceiling`` rows.
 
     Counts are real and go by the rounded edges that are reported. One aggregation by value,
-    then one by every band the value is in; the bands that can be reached are bounded by the
+    one by the deepest band a value can reach, and one by the bands around those, which hold
+    their children's edges exactly; the bands that can be reached are bounded by the
     range and ``min_width``, whatever the number of rows. A band still too dense at the
     narrowest width is reported as excluded, never dropped.
     """
@@ -140,7 +156,7 @@ def geometric_bands(df: DataFrame, value: str, low: float, high: float, ceiling:
         return F.round(F.lit(float(low)) * F.pow(F.lit(ratio), at / F.pow(F.lit(2.0), level)), 2)
 
     counted = df.where((F.col(value) >= low) & (F.col(value) < high)).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    at = counted.select("v", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("depth"))
+    at = counted.select("v", "n", F.explode(F.sequence(*_depth_range(F.col("v").cast("double"), ratio, depth, min_width))).alias("depth"))
     position = F.log(F.col("v") / F.lit(float(low))) / F.log(F.lit(ratio)) * F.pow(F.lit(2.0), F.col("depth"))
     at = at.withColumn("node", F.greatest(F.lit(0), F.least(F.floor(position), F.pow(F.lit(2.0), F.col("depth")) - 1)).cast("long"))
     # Rounding may put a value beside an edge into the neighbouring band.
@@ -148,7 +164,12 @@ def geometric_bands(df: DataFrame, value: str, low: float, high: float, ceiling:
                        + (F.col("v") >= edge(F.col("node") + 1, F.col("depth"))).cast("long"))
     parent = F.floor(F.col("node") / 2)
     wide = edge(parent + 1, F.col("depth") - 1) - edge(parent, F.col("depth") - 1) > min_width
-    nodes = at.where((F.col("depth") == 0) | wide).groupBy("depth", "node").agg(F.sum("n").alias("n"))
+    leaves = at.where((F.col("depth") == 0) | wide).groupBy("v").agg(F.max(F.struct("depth", "node")).alias("leaf"), F.first("n").alias("n"))
+    leaves = leaves.groupBy("leaf").agg(F.sum("n").alias("n"))
+    around = leaves.select("n", "leaf.*").select("n", F.col("depth").alias("leaf_depth"), F.col("node").alias("leaf_node"),
+                                                 F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("depth"))
+    node = F.floor(F.col("leaf_node") / F.pow(F.lit(2.0), F.col("leaf_depth") - F.col("depth"))).cast("long")
+    nodes = around.select("depth", node.alias("node"), "n").groupBy("depth", "node").agg(F.sum("n").alias("n"))
     nodes = nodes.withColumns({"low": edge(F.col("node"), F.col("depth")), "high": edge(F.col("node") + 1, F.col("depth"))})
     splittable = (F.col("n") > ceiling) & (F.col("high") - F.col("low") > min_width)
     split = nodes.where(splittable)

@@ -247,3 +247,24 @@ def test_caps_beyond_the_group_limit(spark):
     for limit in (5, 1500):
         want = sorted(sum((sorted((r for r in rows if r[0] == k))[:limit] for k in ("hot", "b")), []) + [r for r in rows if r[0] is None], key=str)
         assert sorted(((r.k, r.o) for r in cap_per_key(df, "k", limit, ["o"]).collect()), key=str) == want
+
+
+def test_a_value_meets_few_depths_of_bands(spark):
+    """A value goes to the depths its deepest band can have, not to all of them; the bands are those of splitting one by one."""
+    from listwise.operators import selection as X
+
+    values = [100 * 6000 ** (i / 3000) for i in range(3000)]
+    df = spark.createDataFrame([(round(v, 2),) for v in values], "v double")
+    least, greatest = X._depth_range(F.col("v"), 6000.0, 23, 1.0)
+    assert df.select(F.max(greatest - least)).first()[0] <= 4
+
+    def split(depth, node):
+        edge = lambda k: round(100 * 6000.0 ** (k / 2.0 ** depth), 2)
+        low, high = edge(node), edge(node + 1)
+        n = sum(low <= round(v, 2) < high for v in values)
+        if n > 40 and high - low > 1:
+            return split(depth + 1, 2 * node) + split(depth + 1, 2 * node + 1)
+        return [(low, high, n, n > 40)]
+
+    got = X.geometric_bands(df, "v", 100, 600000, ceiling=40, min_width=1.0)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(split(0, 0))
