@@ -9,9 +9,9 @@ from listwise.functions import keys as K
 from listwise.functions import text as T
 from listwise.functions import values as N
 from listwise.operators.containment import containing_pairs
-from listwise.operators.joining import join_null_safe
+from listwise.operators.joining import fenced, join_null_safe
 from listwise.plans.identity import parse_titles
-from listwise.session import settle
+from listwise.session import settle, spread
 
 CANDIDATE_FIELDS = ("item_id", "year", "manufacturer", "set", "subject", "card_number", "parallel", "print_run",
                     "psa_grade", "grade_type", "qualifier", "is_auto", "auto_grade")
@@ -427,8 +427,10 @@ def query_violations(query: Column) -> Column:
 def research_queries(candidates: DataFrame) -> DataFrame:
     """One safe query per candidate, the violations of an unsafe one, and what must match."""
     c = F.col
-    df = candidates.withColumn("search_query", T.dedupe_query(query_text()))
+    df = spread(candidates).withColumn("search_query", T.dedupe_query(query_text()))
     df = df.withColumn("violations", F.array_join(query_violations(c("search_query")), "|"))
+    # A filter on what may be sent would otherwise write the query text anew for every fact it looks for.
+    df = fenced(df, candidates.columns, {n: c(n) for n in ("search_query", "violations")})
     run, auto = F.coalesce(c("print_run"), F.lit(0)) != 0, _flag(c("is_auto"))
     must = F.concat_ws("|", F.lit("subject|year|card_number|psa_grade|parallel|autograph_status"),
                        F.when(run, "print_run"), F.when(c("qualifier").isNotNull(), "qualifier"),

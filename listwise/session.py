@@ -61,6 +61,11 @@ def own_dir(spark: SparkSession) -> str:
     return os.path.join(shared_dir(spark), f"run-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt to three tasks a core: a file of a few megabytes is one task, however much work its rows are."""
+    return df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a local one."""
     spark = df.sparkSession

@@ -268,3 +268,15 @@ def test_a_value_meets_few_depths_of_bands(spark):
 
     got = X.geometric_bands(df, "v", 100, 600000, ceiling=40, min_width=1.0)
     assert sorted(tuple(r) for r in got.collect()) == sorted(split(0, 0))
+
+
+def test_queries_of_candidates_in_one_file_are_spread(spark):
+    """A query text costs far more than the reading of its candidate, so one small file must not be one task."""
+    row = ("a", 2018, "PANINI", "PRIZM", "LUKA DONCIC", "280", None, None, "10", "NUMERIC", None, 0, None)
+    pool = spark.createDataFrame([row] * 400, ("item_id string, year int, manufacturer string, set string, subject string, card_number string, "
+                                               "parallel string, print_run int, psa_grade string, grade_type string, qualifier string, is_auto int, "
+                                               "auto_grade string")).coalesce(1)
+    tasks = E.research_queries(pool).groupBy(F.spark_partition_id().alias("task")).agg(F.count("search_query").alias("n")).collect()
+    assert sum(r.n for r in tasks) == 400 and len(tasks) >= 8
+    sent = E.research_queries(pool).where("sendable")._jdf.queryExecution().optimizedPlan().toString()
+    assert sent.count("aggregate(") == 1
