@@ -270,6 +270,19 @@ def test_a_value_meets_few_depths_of_bands(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(split(0, 0))
 
 
+def test_the_ledger_holds_no_attribution_in_its_plan(spark):
+    schema = ("item_id string, year int, manufacturer string, set string, subject string, card_number string, parallel string, print_run int, "
+              "psa_grade string, grade_type string, qualifier string, is_auto int, auto_grade string")
+    pool = spark.createDataFrame([("a", 2018, "PANINI", "PRIZM", "LUKA DONCIC", "280", None, None, "10", "NUMERIC", None, 0, None)], schema)
+    sold = spark.createDataFrame([(7, "s1", "2018 Panini Prizm #280 Luka Doncic PSA 10", "5", "", "", "2024-01-01", "export")],
+                                 "item_id int, source_item_id string, raw_title string, sold_price string, shipping string, currency string, "
+                                 "sale_date string, source string")
+    stored = spark.createDataFrame([("a", "export", "s0")], "candidate_item_id string, source string, sale_key string")
+    ledger = E.import_ledger(sold, pool, stored)
+    assert len(ledger._jdf.queryExecution().optimizedPlan().toString()) < 20000
+    assert [r.status for r in ledger.collect()] == ["added"]
+
+
 def test_queries_of_candidates_in_one_file_are_spread(spark):
     """A query text costs far more than the reading of its candidate, so one small file must not be one task."""
     row = ("a", 2018, "PANINI", "PRIZM", "LUKA DONCIC", "280", None, None, "10", "NUMERIC", None, 0, None)
