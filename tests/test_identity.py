@@ -328,3 +328,20 @@ def test_aspects_by_name_the_last_statement_wins(spark):
     df = spark.createDataFrame([(i, a) for i, a in enumerate(said)], "id int, aspects array<struct<name: string, value: string>>")
     rows = R.aspect_columns(df).orderBy("id").select("b_grade", "b_set_name", "b_season").collect()
     assert [tuple(r) for r in rows] == [("9", None, None), (None, None, None), (None, None, None)]
+
+
+def test_a_table_in_one_piece_is_read_by_all_cores(spark, tmp_path):
+    """A file of one row group is one task, however much reading its titles takes; a table in many pieces is not shuffled."""
+    from listwise.session import spread_few
+    least = 3 * spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_few(one).rdd.getNumPartitions() == least and spread_few(one).count() == 100
+    many = spark.range(0, 100, 1, least)
+    assert spread_few(many) is many
+    from listwise.workloads import base as B
+    spark.range(50).selectExpr(
+        "id l_orderkey", "1L l_linenumber", "id l_partkey", "id l_suppkey", "'O' l_linestatus", "'N' l_returnflag", "10D l_extendedprice", "2D l_quantity",
+        "0D l_tax", "0D l_discount", "DATE '2000-01-01' l_shipdate").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(50).selectExpr("id p_partkey", "'red fox' p_name", "'CARD' p_type", "1 p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    titled = B.titled_items(spark, str(tmp_path))
+    assert titled.count() == 50 and titled.rdd.getNumPartitions() > 1
