@@ -169,16 +169,18 @@ def replace_scope(df: DataFrame, path: str, scope: str, values: list) -> None:
 
     A named value of which ``df`` has no row loses its old rows: its place in the table is
     taken by one row without an item, which ``read_scoped`` leaves out. Rows of ``df``
-    outside the named values are an error of the caller and are not written.
+    outside the named values are an error of the caller and are not written. A writing task
+    orders its rows by ``scope``, so they are dealt in pieces of Spark's advisory size before that.
     """
     spark = df.sparkSession
     kind = df.schema[scope].dataType
     named = spark.createDataFrame([(v,) for v in values], f"`{scope}` {kind.simpleString()}")
-    inside = df.join(named, scope, "left_semi").withColumn("__row", F.lit(True))
+    inside = df.join(F.broadcast(named), scope, "left_semi").withColumn("__row", F.lit(True))
     gone = named.join(inside.select(scope).distinct(), scope, "left_anti").select(
         *[F.col(scope) if c == scope else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns],
         F.lit(False).alias("__row"))
-    (inside.unionByName(gone).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).parquet(path))
+    dealt = inside.unionByName(gone).hint("rebalance", F.col(scope))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).parquet(path)
 
 
 def read_scoped(spark: SparkSession, path: str) -> DataFrame:

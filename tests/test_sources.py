@@ -120,3 +120,12 @@ def test_blocks_of_a_page_in_odd_layouts():
     assert columns == ["date_last_sold"] and tables == [[["a"]]]
     assert [(b["text"], b["cells"]) for b in blocks] == [("1990 Topps Base $5.00 Jan 5, 1997", ["1990 Topps Base"])]
     assert G._page_blocks(None) == ([], [], [])
+
+
+def test_replace_scope_deals_rows_by_scope_before_writing(spark, tmp_path):
+    """Scopes spread over all pieces of the input are written once each, so no writing task has to order the rows of them all."""
+    path = str(tmp_path / "table")
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("id item", "cast(id % 7 as int) c")
+    S.replace_scope(rows, path, "c", list(range(7)))
+    table = S.read_scoped(spark, path)
+    assert len(table.inputFiles()) == 7 and table.distinct().count() == 200_000
