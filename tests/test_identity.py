@@ -345,3 +345,30 @@ def test_a_table_in_one_piece_is_read_by_all_cores(spark, tmp_path):
     spark.range(50).selectExpr("id p_partkey", "'red fox' p_name", "'CARD' p_type", "1 p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     titled = B.titled_items(spark, str(tmp_path))
     assert titled.count() == 50 and titled.rdd.getNumPartitions() > 1
+
+
+def plan_nodes(df):
+    """Every node of the optimized plan."""
+    found, todo = [], [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        found.append(node)
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_fence_stops_filters_and_drops_outputs_that_nobody_reads(spark):
+    from listwise.operators.joining import fenced
+    df = fenced(spark.range(4), ["id"], {"twice": F.sha1(F.col("id").cast("string")), "square": F.col("id") * F.col("id")})
+    filtered = df.where("square > 3").select("id", "square")
+    nodes = plan_nodes(filtered)
+    assert not any("sha" in n.simpleString(99) for n in nodes)
+    names = [n.nodeName() for n in nodes]
+    assert names.index("Filter") < names.index("Generate")
+    assert [tuple(r) for r in filtered.orderBy("id").collect()] == [(2, 4), (3, 9)]
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    try:
+        assert fenced(spark.range(5), ["id"], {"next": F.col("id") + 1}).where("next > 2").count() == 3
+    finally:
+        spark.conf.unset("spark.sql.codegen.wholeStage")
