@@ -129,3 +129,14 @@ def test_replace_scope_deals_rows_by_scope_before_writing(spark, tmp_path):
     S.replace_scope(rows, path, "c", list(range(7)))
     table = S.read_scoped(spark, path)
     assert len(table.inputFiles()) == 7 and table.distinct().count() == 200_000
+
+
+def test_a_line_that_is_a_whole_record_meets_no_other(spark, tmp_path):
+    """Only records over several lines are gathered by their number; the lines of an export are numbered once."""
+    path = tmp_path / "export.csv"
+    path.write_text('Report\n\nTitle,Sold price\nplain,$1.00\n"over\ntwo, lines",$2.00\n\n"doubled ""quote""",$3.00\n"three\n\nlines",$4.00\n')
+    df = X.read_exports(spark, str(path))
+    assert sorted((r["at"], r["raw_title"], r["sold_price"]) for r in df.collect()) == [
+        (3, "plain", "$1.00"), (4, "over\ntwo, lines", "$2.00"), (5, 'doubled "quote"', "$3.00"), (6, "three\n\nlines", "$4.00")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "whole" in plan and "Union" in plan
